@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,26 +24,28 @@ SUMMARY_MARTS = [
 ]
 
 
-def staging_frames(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Raw tables and the staging models they allow, all lazy.
+class ModelFrames(dict):
+    """Frames by name; a model is put together when it is first asked for.
 
-    The livestream model is there when ``raw`` holds the live event table.
+    Raw tables come from ``read_raw``. The calls between model functions are the
+    lineage, and everything stays lazy until a result is written or read.
     """
-    models = dict(raw)
-    for name, build in STAGING_MODELS.items():
-        if name == "stg_tiktok_livestream" and "raw_tiktok_live_events" not in raw:
-            continue
-        models[name] = build(raw)
-    models["youtube_channel_rows"] = youtube_channel_rows(raw)
-    return models
 
+    def __init__(self, read_raw: Callable[[str], DataFrame], as_of: date | None = None) -> None:
+        super().__init__()
+        self._read_raw = read_raw
+        self._as_of = as_of
 
-def model_frames(raw: Mapping[str, DataFrame], as_of: date | None = None) -> dict[str, DataFrame]:
-    """All models as one lazy graph, nothing stored."""
-    models = staging_frames(raw)
-    for name, build in MART_MODELS.items():
-        models[name] = build(models, as_of=as_of)
-    return models
+    def __missing__(self, name: str) -> DataFrame:
+        if name in STAGING_MODELS:
+            self[name] = STAGING_MODELS[name](self)
+        elif name in MART_MODELS:
+            self[name] = MART_MODELS[name](self, as_of=self._as_of)
+        elif name == "youtube_channel_rows":
+            self[name] = youtube_channel_rows(self)
+        else:
+            self[name] = self._read_raw(name)
+        return self[name]
 
 
 def refresh_marts(
@@ -58,16 +60,13 @@ def refresh_marts(
     A mart that feeds later ones is computed once: those read its stored rows.
     """
     configure(spark)
-    models = staging_frames(read_sources(spark, raw_root))
+    models = ModelFrames(lambda name: read_sources(spark, raw_root, [name])[name], as_of)
     if views:
         for name in STAGING_MODELS:
-            if name in models:
-                materialize_view(models[name], name)
+            materialize_view(models[name], name)
     stored = {}
-    for name, build in MART_MODELS.items():
-        stored[name] = materialize_table(
-            build(models, as_of=as_of), f"{mart_root.rstrip('/')}/{name}"
-        )
+    for name in MART_MODELS:
+        stored[name] = materialize_table(models[name], f"{mart_root.rstrip('/')}/{name}")
         models[name] = stored[name]
     return stored
 

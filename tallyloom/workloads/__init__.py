@@ -3,3 +3,12 @@
 ``data`` projects the test tables into the raw shapes of the pipeline; the other
 modules run the library on them.
 """
+
+from __future__ import annotations
+
+
+def catalog() -> dict[str, tuple]:
+    """Query name to (callable, SQL or None)."""
+    from tallyloom.workloads import models
+
+    return {**models.QUERIES}
