@@ -152,11 +152,17 @@ def mart_row_summary(marts: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def check_inputs_present(spark: SparkSession, directory: str, required: Sequence[str]) -> DataFrame:
-    """Required file names and whether the folder holds them. File contents are not read."""
+    """Required file names and whether the folder holds them; a missing one only warns.
+
+    A folder of that name with files in it counts too. File contents are not read.
+    """
+    parts = F.split("path", "/")
     listed = (
         spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
         .load(directory)
-        .select(F.url_decode(F.element_at(F.split("path", "/"), -1)).alias("file"))
+        .select(F.explode(F.array(F.element_at(parts, -1), F.element_at(parts, -2))).alias("file"))
+        .where(F.col("file").isin(list(required)))
         .groupBy("file")
         .agg(F.lit(True).alias("__found"))
     )

@@ -25,6 +25,7 @@ from tallyloom.sources.sinks import (
     materialize_view,
     serialize_events,
     sink_events,
+    write_event_jsonl,
 )
 from tallyloom.sources.tables import attach_ingested_at, read_event_jsonl, read_sources
 
@@ -52,4 +53,5 @@ __all__ = [
     "read_sources",
     "serialize_events",
     "sink_events",
+    "write_event_jsonl",
 ]

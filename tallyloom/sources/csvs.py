@@ -29,12 +29,17 @@ def read_metric_csvs(
 ) -> DataFrame:
     """UTF-16 files of (date, value) below two preamble lines and a header.
 
-    All files of the folder (and below) are one scan. Files whose name is not in
-    ``name_map`` are left out, missing ones are no error. Preamble and header rows
-    are those whose first cell is no date.
+    All files of the folder (and below) are one scan. ``name_map`` gives the metric
+    for a file name, or for the name of the folder that holds the file. Other files
+    are left out, missing ones are no error. Preamble and header rows are those whose
+    first cell is no date.
     """
     names = F.create_map(*[F.lit(x) for pair in name_map.items() for x in pair])
-    file_name = F.element_at(F.split(F.url_decode(F.col("_metadata.file_path")), "/"), -1)
+    parts = F.split(F.url_decode(F.col("_metadata.file_path")), "/")
+    metric = F.coalesce(
+        F.try_element_at(names, F.element_at(parts, -1)),
+        F.try_element_at(names, F.element_at(parts, -2)),
+    )
     rows = (
         # Splitting UTF-16 at byte offsets breaks characters, so a file is one task.
         spark.read.schema("day string, amount string")
@@ -42,7 +47,7 @@ def read_metric_csvs(
         .option("multiLine", True)
         .option("recursiveFileLookup", True)
         .csv(directory)
-        .select("day", "amount", F.try_element_at(names, file_name).alias("metric_name"))
+        .select("day", "amount", metric.alias("metric_name"))
     )
     day = F.col("day").try_cast("timestamp").cast("date")
     kept = rows.where(day.isNotNull() & F.col("metric_name").isNotNull())

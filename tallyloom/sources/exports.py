@@ -19,6 +19,14 @@ POSTS_HEADER = "Date:"
 FOLLOWERS_HEADER = "Date:"
 WATCH_HISTORY_HEADER = "Date and time:"
 
+REQUIRED_EXPORTS = [
+    "Go_LIVE_History.txt",
+    "LiveStream_Comment.txt",
+    "Posts.txt",
+    "Watch_LIVE_History.txt",
+    "Follower.txt",
+]
+
 _COMMENT_LINE = r"(?d)(\[\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\] .+)"
 
 

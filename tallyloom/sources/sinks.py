@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-FLUSH_INTERVAL = "30 seconds"  # fixed value: events are flushed this often
+# Events are flushed this often, and times are written in this form.
+FLUSH_INTERVAL = "30 seconds"
+EVENT_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
 
 def append_raw(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> bool:
@@ -39,13 +41,18 @@ def serialize_events(df: DataFrame) -> DataFrame:
     """Events as message rows: session id as key, JSON value, type and session as attributes."""
     return df.select(
         F.col("session_id").alias("key"),
-        F.to_json(F.struct("*")).alias("value"),
+        F.to_json(F.struct("*"), {"timestampFormat": EVENT_TIME_FORMAT}).alias("value"),
         F.create_map(
             F.lit("event_type"), "event_type", F.lit("session_id"), "session_id"
         ).alias("attributes"),
     )
 
 
+def write_event_jsonl(df: DataFrame, path: str) -> None:
+    """Land a batch of events as JSON lines."""
+    df.write.mode("append").option("timestampFormat", EVENT_TIME_FORMAT).json(path)
+
+
 def sink_events(
     stream_df: DataFrame,
     path: str,
@@ -61,6 +68,7 @@ def sink_events(
     writer = (
         stream_df.writeStream.format(fmt)
         .outputMode("append")
+        .option("timestampFormat", EVENT_TIME_FORMAT)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )

@@ -9,6 +9,6 @@ from __future__ import annotations
 
 def catalog() -> dict[str, tuple]:
     """Query name to (callable, SQL or None)."""
-    from tallyloom.workloads import models
+    from tallyloom.workloads import files, live, models, operators
 
-    return {**models.QUERIES}
+    return {**models.QUERIES, **operators.QUERIES, **files.QUERIES, **live.QUERIES}
