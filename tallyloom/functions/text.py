@@ -10,8 +10,12 @@ from pyspark.sql import types as T
 
 ColumnLike = Column | str
 
-# Unicode white space plus the four ASCII separators.
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# All Unicode white space, with the four ASCII separators.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def as_column(c: ColumnLike) -> Column:
@@ -20,7 +24,7 @@ def as_column(c: ColumnLike) -> Column:
 
 def strip(c: ColumnLike) -> Column:
     """Drop white space of any kind (tabs and line ends too) at both ends."""
-    return F.regexp_replace(as_column(c), _EDGE_SPACE, "")
+    return F.trim(as_column(c), F.lit(WHITE_SPACE))
 
 
 def regexp_or_null(c: ColumnLike, pattern: str, group: int = 1) -> Column:

@@ -210,7 +210,8 @@ def mart_tiktok_activity_overlap(models: Models, as_of: date | None = None) -> D
     )
 
 
-def _videos_with_comments(models: Models) -> DataFrame:
+def youtube_videos_enriched(models: Models) -> DataFrame:
+    """Videos with their comment totals, which two marts read."""
     return join_left_enrich(
         models["stg_youtube_videos"],
         models["stg_youtube_comments"],
@@ -231,7 +232,7 @@ def _engagement_rate() -> Column:
 def mart_youtube_perfomance(models: Models, as_of: date | None = None) -> DataFrame:
     """One row per video; age counts up to ``as_of``, or to today."""
     today = F.current_date() if as_of is None else F.lit(as_of)
-    return _videos_with_comments(models).select(
+    return models["youtube_videos_enriched"].select(
         "video_id",
         "video_title",
         "published_at",
@@ -250,7 +251,7 @@ def mart_youtube_perfomance(models: Models, as_of: date | None = None) -> DataFr
 
 
 def mart_youtube_videos(models: Models, as_of: date | None = None) -> DataFrame:
-    return _videos_with_comments(models).select(
+    return models["youtube_videos_enriched"].select(
         "video_id",
         "video_title",
         "published_at",

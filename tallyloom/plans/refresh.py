@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.operators import mart_row_summary, run_checks
-from tallyloom.plans.marts import MART_MODELS
+from tallyloom.plans.marts import MART_MODELS, youtube_videos_enriched
 from tallyloom.plans.staging import STAGING_MODELS, youtube_channel_rows
 from tallyloom.plans.suite import SUITE
 from tallyloom.session import configure
@@ -24,6 +25,35 @@ SUMMARY_MARTS = [
 ]
 
 
+# Frames between staging and marts.
+SHARED_PARTS = {
+    "youtube_channel_rows": youtube_channel_rows,
+    "youtube_videos_enriched": youtube_videos_enriched,
+}
+# What is written in which order: frames of one list do not read each other. The first
+# list holds what several marts read; it is stored once so that it is computed once.
+WAVES = [
+    ["stg_facebook_insights", "stg_youtube_channel", "youtube_videos_enriched"],
+    [
+        "mart_youtube_perfomance",
+        "mart_youtube_videos",
+        "mart_facebook_insights",
+        "mart_facebook_metrics",
+        "mart_facebook_posts",
+        "mart_posts_perfomance",
+        "mart_tiktok_followers",
+        "mart_tiktok_live_perfomance",
+    ],
+    [
+        "mart_tiktok_activity_overlap",
+        "mart_social_followers_snapshot",
+        "mart_social_overview",
+        "mart_executive_summary",
+    ],
+]
+THREADS = 4  # fixed value: models built at the same time
+
+
 class ModelFrames(dict):
     """Frames by name; a model is put together when it is first asked for.
 
@@ -41,8 +71,8 @@ class ModelFrames(dict):
             self[name] = STAGING_MODELS[name](self)
         elif name in MART_MODELS:
             self[name] = MART_MODELS[name](self, as_of=self._as_of)
-        elif name == "youtube_channel_rows":
-            self[name] = youtube_channel_rows(self)
+        elif name in SHARED_PARTS:
+            self[name] = SHARED_PARTS[name](self)
         else:
             self[name] = self._read_raw(name)
         return self[name]
@@ -57,18 +87,26 @@ def refresh_marts(
 ) -> dict[str, DataFrame]:
     """Rebuild every mart below ``mart_root`` and return the stored tables.
 
-    A mart that feeds later ones is computed once: those read its stored rows.
+    What feeds later marts is computed once: those read the stored rows. With ``views``
+    the staging models are also registered as temporary views.
     """
     configure(spark)
     models = ModelFrames(lambda name: read_sources(spark, raw_root, [name])[name], as_of)
     if views:
         for name in STAGING_MODELS:
-            materialize_view(models[name], name)
-    stored = {}
-    for name in MART_MODELS:
-        stored[name] = materialize_table(models[name], f"{mart_root.rstrip('/')}/{name}")
-        models[name] = stored[name]
-    return stored
+            if name != "stg_tiktok_livestream":
+                materialize_view(models[name], name)
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        folder = name if name in MART_MODELS else f"_shared/{name}"
+        return materialize_table(df, f"{mart_root.rstrip('/')}/{folder}")
+
+    with ThreadPoolExecutor(THREADS) as pool:
+        for wave in WAVES:
+            # Plans are made here, only the writes run side by side.
+            frames = [models[name] for name in wave]
+            models.update(zip(wave, pool.map(store, wave, frames)))
+    return {name: models[name] for name in MART_MODELS}
 
 
 def check_marts(stored: Mapping[str, DataFrame]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.numbers import coerce_int
+from tallyloom.functions.text import strip
 from tallyloom.sources.tables import attach_ingested_at
 
 # File name to metric name.
@@ -26,6 +27,7 @@ def read_metric_csvs(
     directory: str,
     name_map: Mapping[str, str] = METRIC_FILES,
     ingested_at: Column | None = None,
+    byte_order: str | None = None,
 ) -> DataFrame:
     """UTF-16 files of (date, value) below two preamble lines and a header.
 
@@ -33,6 +35,10 @@ def read_metric_csvs(
     for a file name, or for the name of the folder that holds the file. Other files
     are left out, missing ones are no error. Preamble and header rows are those whose
     first cell is no date.
+
+    By default the mark at the start of a file tells its byte order, and a file is one
+    task. Where all files are known to be 'LE' or 'BE', say so in ``byte_order``: lines
+    are then found by their bytes and one large file is read as many splits.
     """
     names = F.create_map(*[F.lit(x) for pair in name_map.items() for x in pair])
     parts = F.split(F.url_decode(F.col("_metadata.file_path")), "/")
@@ -40,18 +46,18 @@ def read_metric_csvs(
         F.try_element_at(names, F.element_at(parts, -1)),
         F.try_element_at(names, F.element_at(parts, -2)),
     )
+    reader = spark.read.schema("day string, amount string").option("recursiveFileLookup", True)
+    if byte_order is None:
+        reader = reader.option("encoding", "UTF-16").option("multiLine", True)
+    else:
+        reader = reader.option("encoding", f"UTF-16{byte_order}").option("lineSep", "\n")
     rows = (
-        # Splitting UTF-16 at byte offsets breaks characters, so a file is one task.
-        spark.read.schema("day string, amount string")
-        .option("encoding", "UTF-16")
-        .option("multiLine", True)
-        .option("recursiveFileLookup", True)
-        .csv(directory)
+        reader.csv(directory)
         .select("day", "amount", metric.alias("metric_name"))
     )
-    day = F.col("day").try_cast("timestamp").cast("date")
+    day = strip("day").try_cast("timestamp").cast("date")
     kept = rows.where(day.isNotNull() & F.col("metric_name").isNotNull())
     return attach_ingested_at(
-        kept.select(day.alias("date"), coerce_int("amount").alias("value"), "metric_name"),
+        kept.select(day.alias("date"), coerce_int(strip("amount")).alias("value"), "metric_name"),
         ingested_at,
     )

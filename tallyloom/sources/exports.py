@@ -32,7 +32,8 @@ _COMMENT_LINE = r"(?d)(\[\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\] .+)"
 
 def _clean(block: Column) -> Column:
     """Line ends of any kind become a newline, outer white space goes."""
-    return strip(F.regexp_replace(block, "\r\n?", "\n"))
+    one_way = F.replace(F.replace(block, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    return strip(one_way)
 
 
 def read_blocks_delim(spark: SparkSession, path: str, delim: str) -> DataFrame:

@@ -241,9 +241,7 @@ _METRIC_OF_EVENT = """
         else case when event_id % 2 = 0 then 'Visits.csv' else 'Viewers.csv' end end"""
 
 
-@query(
-    "read_metric_csvs",
-    f"""
+_METRIC_SQL = f"""
     select cast(ts as date) as date,
            case when event_id % 9 = 0 then 0 else cast(trunc(value) as bigint) end as value,
            case {_METRIC_OF_EVENT} when 'Views.csv' then 'page_views'
@@ -251,9 +249,10 @@ _METRIC_OF_EVENT = """
                when 'Viewers.csv' then 'page_viewers'
                when 'Interactions.csv' then 'page_interactions'
                else 'page_link_clicks' end as metric_name, {_STAMP}
-    from events""",
-)
-def q_read_metric_csvs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from events"""
+
+
+def _write_metric_csvs(spark: SparkSession, sf_dir: str, encoding: str) -> str:
     root = scratch_path(spark, "metric-csv")
     days = table(spark, sf_dir, "events").select(
         F.expr(_METRIC_OF_EVENT).alias("file"),
@@ -267,10 +266,24 @@ def q_read_metric_csvs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     for name in METRIC_FILES:
         rows = days.where(F.col("file") == name).select("day", "amount")
-        head.unionByName(rows).write.option("encoding", "UTF-16").csv(f"{root}/{name}")
+        head.unionByName(rows).write.option("encoding", encoding).csv(f"{root}/{name}")
+    return root
+
+
+@query("read_metric_csvs", _METRIC_SQL)
+def q_read_metric_csvs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte order from the mark in each file."""
+    root = _write_metric_csvs(spark, sf_dir, "UTF-16")
     return read_metric_csvs(spark, root, ingested_at=_at())
 
 
+@query("read_metric_csvs_split", _METRIC_SQL)
+def read_metric_csvs_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known byte order, so that large files are split."""
+    root = _write_metric_csvs(spark, sf_dir, "UTF-16LE")
+    return read_metric_csvs(spark, root, ingested_at=_at(), byte_order="LE")
+
+
 # --- payloads -----------------------------------------------------------------------
 
 

@@ -25,7 +25,7 @@ from tallyloom.streaming import (
     windowed_activity,
 )
 from tallyloom.workloads.data import raw_frame, table
-from tallyloom.workloads.models import MODEL_SQL, over_models
+from tallyloom.workloads.models import over_models
 
 QUERIES: dict[str, tuple] = {}
 
@@ -102,7 +102,7 @@ def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "normalize_live_events",
-    over_models([TIKTOK], MODEL_SQL["stg_tiktok_livestream"][1]),
+    over_models(["stg_tiktok_livestream"], "select * from stg_tiktok_livestream"),
 )
 def q_normalize_live_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_live_events(raw_frame(spark, sf_dir, TIKTOK))
