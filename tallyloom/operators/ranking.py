@@ -8,7 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.operators.dedup import qualify_row_number
-from tallyloom.operators.timeseries import _SPLIT, _match
+from tallyloom.operators.timeseries import (
+    _KEY,
+    across_splits,
+    earlier_splits,
+    inside_split,
+    split_rows,
+)
 
 
 def top_k_by_count(
@@ -64,20 +70,17 @@ def numbered(
             out = out.withColumn(size, F.count("*").over(Window.partitionBy(*group)))
         return out
 
-    keys = [*group, _SPLIT]
-    marked = df.withColumn(_SPLIT, split)
-    counts = marked.groupBy(*keys).agg(F.count("*").alias("__rows"))
-    across = Window.partitionBy(*group)
-    before = across.orderBy(F.asc_nulls_first(_SPLIT)).rowsBetween(Window.unboundedPreceding, -1)
-    extra = [F.sum("__rows").over(across).alias(size)] if size else []
-    shifts = counts.select(
-        *keys, F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__shift"), *extra
-    )
-    inside = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        _match(marked, shifts, keys)
-        .withColumn(position, F.row_number().over(inside) + F.col("__shift"))
-        .drop(_SPLIT, "__shift")
+    marked = split_rows(df, group, split)
+    counts = marked.groupBy(_KEY).agg(F.count("*").alias("__rows"))
+    whole = Window.partitionBy(*group)
+    shift = F.coalesce(F.sum("__rows").over(earlier_splits(group)), F.lit(0)).alias("__shift")
+    sizes = [F.sum("__rows").over(whole).alias(size)] if size else []
+    shifts = across_splits(counts, group, shift, *sizes)
+    placed = marked.withColumn("__row", F.row_number().over(inside_split().orderBy(*order)))
+    return placed.join(shifts, _KEY).select(
+        *df.columns,
+        (F.col("__row") + F.col("__shift")).alias(position),
+        *([size] if size else []),
     )
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.numbers import ratio_pct
 
 _SPLIT = "__split"
+_KEY = "__key"
 
 
 def date_spine(df: DataFrame, date_col: str, by: Sequence[str] = ()) -> DataFrame:
@@ -74,15 +75,33 @@ def expand_days(
     )
 
 
-def _match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join on keys that may be NULL."""
-    renamed = right
-    for k in keys:
-        renamed = renamed.withColumnRenamed(k, f"__r_{k}")
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
-    return left.join(renamed, cond, "left").drop(*[f"__r_{k}" for k in keys])
+def split_rows(df: DataFrame, by: Sequence[str], split: Column) -> DataFrame:
+    """Mark each row with the (group, split) it belongs to.
+
+    The key is one struct: equal structs match even where a field is NULL, so a plain
+    equality join works, and join and window share one partitioning.
+    """
+    return df.withColumn(_KEY, F.struct(*by, split.alias(_SPLIT)))
+
+
+def across_splits(summary: DataFrame, by: Sequence[str], *values: Column) -> DataFrame:
+    """Values computed over one row per (group, split), ready to be joined back."""
+    named = [F.col(f"{_KEY}.`{c}`").alias(c) for c in by]
+    split = F.col(f"{_KEY}.`{_SPLIT}`").alias(_SPLIT)
+    return summary.select("*", *named, split).select(_KEY, *values)
+
+
+def inside_split() -> Window:
+    return Window.partitionBy(_KEY)
+
+
+def earlier_splits(by: Sequence[str]) -> Window:
+    """The splits of the group before the current one."""
+    return (
+        Window.partitionBy(*by)
+        .orderBy(F.asc_nulls_first(_SPLIT))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
 
 
 def forward_fill(
@@ -101,29 +120,25 @@ def forward_fill(
         window = Window.partitionBy(*by).orderBy(order).rowsBetween(*up_to_now)
         return df.withColumns({c: F.last(c, ignorenulls=True).over(window) for c in cols})
 
-    keys = [*by, _SPLIT]
-    marked = df.withColumn(_SPLIT, split)
-    lasts = marked.groupBy(*keys).agg(
+    marked = split_rows(df, by, split)
+    lasts = marked.groupBy(_KEY).agg(
         *[
             F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"__last_{c}")
             for c in cols
         ]
     )
-    before = Window.partitionBy(*by).orderBy(_SPLIT).rowsBetween(Window.unboundedPreceding, -1)
-    carried = lasts.select(
-        *keys,
+    before = earlier_splits(by)
+    carried = across_splits(
+        lasts,
+        by,
         *[F.last(f"__last_{c}", ignorenulls=True).over(before).alias(f"__carry_{c}") for c in cols],
     )
-    inside = Window.partitionBy(*keys).orderBy(order).rowsBetween(*up_to_now)
+    inside = inside_split().orderBy(order).rowsBetween(*up_to_now)
+    filled = marked.withColumns({c: F.last(c, ignorenulls=True).over(inside) for c in cols})
     return (
-        _match(marked, carried, keys)
-        .withColumns(
-            {
-                c: F.coalesce(F.last(c, ignorenulls=True).over(inside), F.col(f"__carry_{c}"))
-                for c in cols
-            }
-        )
-        .drop(_SPLIT, *[f"__carry_{c}" for c in cols])
+        filled.join(carried, _KEY, "left")
+        .withColumns({c: F.coalesce(F.col(c), F.col(f"__carry_{c}")) for c in cols})
+        .select(*df.columns)
     )
 
 
@@ -141,18 +156,18 @@ def running_sum(
         window = Window.partitionBy(*by).orderBy(order)
         return df.withColumn(name, F.sum(col).over(window))
 
-    keys = [*by, _SPLIT]
-    marked = df.withColumn(_SPLIT, split)
-    totals = marked.groupBy(*keys).agg(F.sum(col).alias("__total"))
-    before = Window.partitionBy(*by).orderBy(_SPLIT).rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(*keys, F.sum("__total").over(before).alias("__carry"))
-    inside = F.sum(col).over(Window.partitionBy(*keys).orderBy(order))
+    marked = split_rows(df, by, split)
+    totals = marked.groupBy(_KEY).agg(F.sum(col).alias("__total"))
+    carried = across_splits(
+        totals, by, F.sum("__total").over(earlier_splits(by)).alias("__carry")
+    )
+    summed = marked.withColumn("__sum", F.sum(col).over(inside_split().orderBy(order)))
     # Both parts NULL means no value so far, as in a plain running sum.
     total = F.when(
-        inside.isNotNull() | F.col("__carry").isNotNull(),
-        F.coalesce(inside, F.lit(0)) + F.coalesce("__carry", F.lit(0)),
+        F.col("__sum").isNotNull() | F.col("__carry").isNotNull(),
+        F.coalesce("__sum", F.lit(0)) + F.coalesce("__carry", F.lit(0)),
     )
-    return _match(marked, carried, keys).withColumn(name, total).drop(_SPLIT, "__carry")
+    return summed.join(carried, _KEY, "left").select(*df.columns, total.alias(name))
 
 
 def lag_change(
@@ -175,21 +190,18 @@ def lag_change(
         window = Window.partitionBy(*by).orderBy(order)
         out = df.withColumn(prev_name, F.lag(col).over(window))
     else:
-        keys = [*by, _SPLIT]
-        marked = df.withColumn(_SPLIT, split)
-        lasts = marked.groupBy(*keys).agg(F.max_by(col, order).alias("__last"))
-        across = Window.partitionBy(*by).orderBy(_SPLIT)
-        carried = lasts.select(*keys, F.lag("__last").over(across).alias("__carry"))
-        inside = Window.partitionBy(*keys).orderBy(order)
+        marked = split_rows(df, by, split)
+        lasts = marked.groupBy(_KEY).agg(F.max_by(col, order).alias("__last"))
+        following = Window.partitionBy(*by).orderBy(F.asc_nulls_first(_SPLIT))
+        carried = across_splits(lasts, by, F.lag("__last").over(following).alias("__carry"))
+        inside = inside_split().orderBy(order)
+        previous = F.when(F.col("__row") == 1, F.col("__carry")).otherwise(F.col("__lag"))
         out = (
-            _match(marked, carried, keys)
-            .withColumn(
-                prev_name,
-                F.when(F.row_number().over(inside) == 1, F.col("__carry")).otherwise(
-                    F.lag(col).over(inside)
-                ),
+            marked.withColumns(
+                {"__row": F.row_number().over(inside), "__lag": F.lag(col).over(inside)}
             )
-            .drop(_SPLIT, "__carry")
+            .join(carried, _KEY, "left")
+            .select(*df.columns, previous.alias(prev_name))
         )
     change = F.col(col) - F.col(prev_name)
     return out.withColumn(pct_name, ratio_pct(change, prev_name, digits))

@@ -8,7 +8,12 @@ from pyspark.sql import functions as F
 from tallyloom.functions import gift_value
 from tallyloom.operators import dedup_earliest
 from tallyloom.session import scratch_path
-from tallyloom.sources import read_event_jsonl, sink_events, write_event_jsonl
+from tallyloom.sources import (
+    materialize_table,
+    read_event_jsonl,
+    sink_events,
+    write_event_jsonl,
+)
 from tallyloom.sources.schemas import TIKTOK_LIVE_EVENTS, YOUTUBE_LIVE_EVENTS
 from tallyloom.streaming import (
     activity_sessions,
@@ -53,6 +58,11 @@ def _once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_earliest(raw_frame(spark, sf_dir, TIKTOK), ["event_id"], "ingested_at")
 
 
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, written down: reports that read the events twice start from a table."""
+    return materialize_table(_once(spark, sf_dir), scratch_path(spark, "landed"))
+
+
 def _landed(spark: SparkSession, sf_dir: str, name: str = TIKTOK) -> str:
     """Write the live events as JSON-lines files."""
     path = scratch_path(spark, "live-events")
@@ -232,7 +242,7 @@ def session_kpis_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def q_viewer_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return viewer_curve(_once(spark, sf_dir))
+    return viewer_curve(_stored(spark, sf_dir))
 
 
 def _engagers_sql(event_type: str) -> str:
