@@ -1,7 +1,7 @@
 """Join shapes of the marts.
 
-Only one-row frames are broadcast by hint. Every other join is left to the
-optimizer, which broadcasts a side only after checking its size.
+There are no broadcast hints: the optimizer broadcasts a side only after checking its
+size, and one-row aggregates are scalar subqueries.
 """
 
 from __future__ import annotations
@@ -56,9 +56,12 @@ def join_full_outer(
 
 
 def join_cross_scalar(df: DataFrame, agg_df: DataFrame) -> DataFrame:
-    """Attach a one-row aggregate to every row.
+    """Attach the columns of a one-row aggregate to every row.
 
-    ``agg_df`` must be an aggregate without grouping: that is one row by
-    construction, which is what makes the broadcast safe.
+    This is a scalar subquery: Spark runs the aggregate once, fails if it has more
+    than one row, and neither joins nor shuffles ``df``.
     """
-    return df.crossJoin(F.broadcast(agg_df))
+    one = agg_df.select(F.struct(*agg_df.columns).alias("one")).scalar()
+    return df.withColumn("__one", one).select(
+        *df.columns, *[F.col(f"__one.`{c}`").alias(c) for c in agg_df.columns]
+    )

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.operators import numbered, running_sum
+from tallyloom.operators import agg_global, join_cross_scalar, numbered, running_sum
 from tallyloom.plans.marts import MART_MODELS
 from tallyloom.plans.staging import STAGING_MODELS
 from tallyloom.streaming import session_kpis, top_engagers
@@ -41,12 +41,19 @@ def test_staging_without_dedup_does_not_shuffle(spark, sf_dir):
 
 
 @pytest.mark.parametrize("name", list(MART_MODELS))
-def test_only_one_row_frames_are_crossed_or_broadcast(spark, sf_dir, no_broadcast, name):
+def test_nothing_is_crossed_broadcast_or_run_in_python(spark, sf_dir, no_broadcast, name):
     text = plan(models(spark, sf_dir)[name])
-    assert "CartesianProduct" not in text and "Python" not in text
-    for part in text.split("BroadcastExchange")[1:]:
-        # What is broadcast is an aggregate without keys: one row.
-        assert re.match(r"[^\n]*\n[^\n]*HashAggregate\(keys=\[\]", part), part[:300]
+    for operator in ("CartesianProduct", "NestedLoop", "BroadcastExchange", "Python"):
+        assert operator not in text
+
+
+def test_one_row_aggregates_are_subqueries(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    top = agg_global(orders, low=F.min("o_orderkey"), high=F.max("o_orderkey"))
+    text = plan(join_cross_scalar(orders, top))
+    assert text.count("- Subquery subquery") == 1 and "Join" not in text
+    with pytest.raises(Exception, match="SCALAR_SUBQUERY_TOO_MANY_ROWS"):
+        join_cross_scalar(orders, orders.withColumnRenamed("o_orderkey", "k")).collect()
 
 
 def test_enriching_videos_reuses_the_partitioning_of_dedup(spark, sf_dir, no_broadcast):
