@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.plans.refresh import THREADS
 from tallyloom.sources import (
     append_raw,
     flatten_channel,
@@ -100,15 +102,16 @@ def land_batch(
     skipped, and so is one without rows; the outcome per table is returned.
     """
     stamp = F.lit(at or datetime.now(timezone.utc))
-    outcome = {}
-    for table, (path, read) in BATCH.items():
+
+    def land(table: str) -> str:
+        path, read = BATCH[table]
         try:
             rows = read(spark, f"{landing.rstrip('/')}/{path}", stamp)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            outcome[table] = "missing"
-            continue
-        written = append_raw(rows, f"{raw_root.rstrip('/')}/{table}")
-        outcome[table] = "appended" if written else "empty"
-    return outcome
+            return "missing"
+        return "appended" if append_raw(rows, f"{raw_root.rstrip('/')}/{table}") else "empty"
+
+    with ThreadPoolExecutor(THREADS) as pool:
+        return dict(zip(BATCH, pool.map(land, BATCH)))

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+PARTITIONS_KEY = "spark.sql.shuffle.partitions"
 
 RUNTIME_SETTINGS = {
     # Dates and hours are UTC everywhere.
@@ -30,6 +31,10 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings every job here relies on to an existing session."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    context = spark.sparkContext
+    if context.master.startswith("local") and not context.getConf().contains(PARTITIONS_KEY):
+        # One machine: a partition per core. A cluster's own setting is never touched.
+        spark.conf.set(PARTITIONS_KEY, str(context.defaultParallelism))
     return spark
 
 
@@ -38,7 +43,7 @@ def local_session(cores: str = "*", partitions: int = 8, app: str = "tallyloom")
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
-        .config("spark.sql.shuffle.partitions", str(partitions))
+        .config(PARTITIONS_KEY, str(partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,13 @@ from tallyloom.operators import (
     union_all,
 )
 from tallyloom.plans.marts import MART_MODELS, mart_social_followers_snapshot
-from tallyloom.plans.refresh import SUMMARY_MARTS, ModelFrames, check_marts, refresh_marts
+from tallyloom.plans.refresh import (
+    SUMMARY_MARTS,
+    THREADS,
+    ModelFrames,
+    check_marts,
+    refresh_marts,
+)
 from tallyloom.plans.staging import STAGING_MODELS
 from tallyloom.plans.suite import SUITE
 from tallyloom.session import scratch_path
@@ -547,9 +554,10 @@ def _suite_sql() -> str:
 def _refreshed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Land the projected raw tables, then run the daily refresh on them."""
     root = scratch_path(spark, "raw")
-    for name in RAW_TABLES:
-        if name in RAW_SQL:
-            append_raw(raw_frame(spark, sf_dir, name), f"{root}/{name}")
+    names = [n for n in RAW_TABLES if n in RAW_SQL]
+    frames = [raw_frame(spark, sf_dir, n) for n in names]
+    with ThreadPoolExecutor(THREADS) as pool:
+        list(pool.map(append_raw, frames, [f"{root}/{n}" for n in names]))
     return refresh_marts(spark, root, scratch_path(spark, "marts"), as_of=AS_OF)
 
 
