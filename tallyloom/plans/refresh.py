@@ -84,14 +84,16 @@ def refresh_marts(
     mart_root: str,
     as_of: date | None = None,
     views: bool = False,
+    missing: str = "fail",
 ) -> dict[str, DataFrame]:
     """Rebuild every mart below ``mart_root`` and return the stored tables.
 
     What feeds later marts is computed once: those read the stored rows. With ``views``
-    the staging models are also registered as temporary views.
+    the staging models are also registered as temporary views. ``missing='empty'`` lets
+    raw tables be absent, as on a first day with only some sources.
     """
     configure(spark)
-    models = ModelFrames(lambda name: read_sources(spark, raw_root, [name])[name], as_of)
+    models = ModelFrames(lambda name: read_sources(spark, raw_root, [name], missing)[name], as_of)
     if views:
         for name in STAGING_MODELS:
             if name != "stg_tiktok_livestream":

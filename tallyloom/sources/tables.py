@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,10 +17,25 @@ def attach_ingested_at(df: DataFrame, at: Column | None = None) -> DataFrame:
 
 
 def read_sources(
-    spark: SparkSession, root: str, names: Iterable[str] = tuple(RAW_TABLES)
+    spark: SparkSession,
+    root: str,
+    names: Iterable[str] = tuple(RAW_TABLES),
+    missing: str = "fail",
 ) -> dict[str, DataFrame]:
-    """The raw tables below ``root`` as lazy frames under their declared schemas."""
-    return {n: spark.read.schema(RAW_TABLES[n]).parquet(f"{root.rstrip('/')}/{n}") for n in names}
+    """The raw tables below ``root`` as lazy frames under their declared schemas.
+
+    ``missing='empty'`` reads a table that was never landed as one without rows.
+    """
+
+    def read(name: str) -> DataFrame:
+        try:
+            return spark.read.schema(RAW_TABLES[name]).parquet(f"{root.rstrip('/')}/{name}")
+        except AnalysisException as e:
+            if missing != "empty" or e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], RAW_TABLES[name])
+
+    return {name: read(name) for name in names}
 
 
 def read_event_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -11,7 +11,12 @@ from tallyloom.streaming.live import (
     viewer_windows,
     windowed_activity,
 )
-from tallyloom.streaming.reports import recent_comments, top_engagers, viewer_curve
+from tallyloom.streaming.reports import (
+    recent_comments,
+    session_report,
+    top_engagers,
+    viewer_curve,
+)
 
 __all__ = [
     "activity_sessions",
@@ -19,6 +24,7 @@ __all__ = [
     "normalize_live_events",
     "recent_comments",
     "session_kpis",
+    "session_report",
     "stream_dedup",
     "stream_events",
     "top_engagers",

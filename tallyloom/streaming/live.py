@@ -15,8 +15,12 @@ WATERMARK = "10 minutes"
 def stream_events(
     spark: SparkSession, path: str, schema: str, max_files: int | None = None
 ) -> DataFrame:
-    """Landed JSON-lines files as a stream; ``max_files`` bounds one micro-batch."""
-    reader = spark.readStream.schema(schema)
+    """Landed JSON-lines files as a stream; ``max_files`` bounds one micro-batch.
+
+    Files must appear whole (written elsewhere and moved in). A line that is no JSON
+    stops the stream.
+    """
+    reader = spark.readStream.schema(schema).option("mode", "FAILFAST")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.json(path)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators import last_n, sample_every_nth, top_k_by_count
+from tallyloom.streaming.live import session_kpis
 
 ORDER = ["event_ts", "event_id"]
 
@@ -48,3 +49,20 @@ def viewer_curve(
         F.date_format("event_ts", "HH:mm").alias("label"),
         F.coalesce("viewer_count", F.lit(0)).alias("viewers"),
     )
+
+
+def session_report(df: DataFrame, chat: bool = False) -> dict[str, DataFrame]:
+    """All frames of the end-of-session report, for every session in ``df``.
+
+    With ``chat`` the messages are those of a chat stream, which has no likes.
+    """
+    messages = "chat_message" if chat else "comment"
+    report = {
+        "figures": session_kpis(df),
+        "top_commenters": top_engagers(df, messages),
+        "recent_comments": recent_comments(df, event_type=messages),
+        "viewer_curve": viewer_curve(df),
+    }
+    if not chat:
+        report["top_likers"] = top_engagers(df, "like")
+    return report

@@ -13,6 +13,7 @@ from tallyloom.streaming import (
     normalize_live_events,
     recent_comments,
     session_kpis,
+    session_report,
     stream_dedup,
     stream_events,
     top_engagers,
@@ -98,6 +99,15 @@ def test_reports(events, data):
     assert rows(viewer_curve(events, split_unit="minute")) == rows(viewer_curve(events))
 
 
+def test_session_report(events):
+    report = session_report(events)
+    assert set(report) == {
+        "figures", "top_commenters", "top_likers", "recent_comments", "viewer_curve",
+    }
+    assert rows(report["top_likers"].select("username", "events")) == [("x", 1)]
+    assert "top_likers" not in session_report(events, chat=True)
+
+
 @pytest.mark.parametrize("hot_splits", [0, 8])
 def test_stream_dedup(spark, tmp_path, events, landed, hot_splits):
     stream = stream_dedup(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyloom import sources as src
 from tallyloom.operators import check_inputs_present
 from tallyloom.plans.landing import BATCH, land_batch
+from tallyloom.plans.refresh import refresh_marts
 from tallyloom.sources import schemas as S
 from tallyloom.sources.exports import LIVE_COMMENTS_DELIMITER, LIVE_HISTORY_DELIMITER
 from tests.conftest import rows
@@ -235,5 +236,13 @@ def test_land_batch_tolerates_missing_sources(spark, tmp_path):
     assert outcome.pop("tiktok_live_history") == "appended"
     assert outcome.pop("tiktok_posts") == "empty"
     assert set(outcome.values()) == {"missing"} and len(outcome) == len(BATCH) - 2
-    table = src.read_sources(spark, str(raw), ["tiktok_live_history"])["tiktok_live_history"]
+    name = "tiktok_live_history"
+    table = src.read_sources(spark, str(raw), [name])[name]
     assert table.count() == 2 and rows(table.select("ingested_at").distinct()) == [(AT,)]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        src.read_sources(spark, str(raw))
+    assert src.read_sources(spark, str(raw), missing="empty")["facebook"].count() == 0
+    stored = refresh_marts(spark, str(raw), str(tmp_path / "marts"), missing="empty")
+    assert rows(stored["mart_tiktok_live_perfomance"].select("room_id", "total_views")) == [
+        ("11", 1234), ("13", None),
+    ]
