@@ -42,8 +42,7 @@ def extract_field(c: ColumnLike, label: str) -> Column:
 
     The dot ends at a newline only, and a value of blanks is '' and not NULL.
     """
-    hit = F.regexp_extract(as_column(c), rf"(?d)\Q{label}\E: (.+)", 1)
-    return F.when(hit != "", strip(hit))
+    return strip(regexp_or_null(c, rf"(?d)\Q{label}\E: (.+)"))
 
 
 def default_nulls(c: ColumnLike, default: object) -> Column:
@@ -71,18 +70,26 @@ def surrogate_key(*cols: ColumnLike) -> Column:
     return F.md5(F.concat_ws("|", *[F.coalesce(as_column(c), F.lit("")) for c in cols]))
 
 
+def parse_json_texts(c: ColumnLike, keys: Iterable[str]) -> Column:
+    """Some keys of JSON text as a struct of strings, nested values as their JSON text.
+
+    Accepts JSON and the printed form of a Python dict (single quotes, None).
+    """
+    fixed = F.replace(F.replace(as_column(c), F.lit("'"), F.lit('"')), F.lit("None"), F.lit("null"))
+    return F.from_json(fixed, T.StructType([T.StructField(k, T.StringType()) for k in keys]))
+
+
+def scalar_text(c: ColumnLike) -> Column:
+    """NULL for the JSON text of an object or array."""
+    c = as_column(c)
+    return F.when(~c.startswith("{") & ~c.startswith("["), c)
+
+
 def json_texts(c: ColumnLike, keys: Iterable[str]) -> Column:
-    """The scalar values of some keys as a struct of strings, parsed once per row.
+    """The scalar values of some keys of JSON text as a struct of strings.
 
-    Accepts JSON text and the printed form of a Python dict (single quotes, None).
     A missing key, a null, a nested value or broken text gives NULL.
     """
     keys = list(keys)
-    fixed = F.replace(F.replace(as_column(c), F.lit("'"), F.lit('"')), F.lit("None"), F.lit("null"))
-    parsed = F.from_json(fixed, T.StructType([T.StructField(k, T.StringType()) for k in keys]))
-    return F.struct(
-        *[
-            F.when(~parsed[k].startswith("{") & ~parsed[k].startswith("["), parsed[k]).alias(k)
-            for k in keys
-        ]
-    )
+    parsed = parse_json_texts(c, keys)
+    return F.struct(*[scalar_text(parsed[k]).alias(k) for k in keys])

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.text import ColumnLike, as_column, json_texts
+from tallyloom.functions.text import ColumnLike, as_column, parse_json_texts, scalar_text
 
 _AGGS = {"max": F.max, "min": F.min, "sum": F.sum, "count": F.count, "avg": F.avg}
 
@@ -60,10 +60,14 @@ def unpivot_reactions(
     With ``only_when``, other rows pass through unchanged; both kinds come out of
     one scan, instead of a filter per kind and a union.
     """
-    values = json_texts(json_col, keys)
+    parsed = parse_json_texts(json_col, keys)
+    if only_when is not None:
+        parsed = F.when(only_when, parsed)
     unpivoted = F.array(
         *[
-            F.struct(F.lit(f"{prefix}{k}").alias("name"), values[k].alias("value"))
+            F.struct(
+                F.lit(f"{prefix}{k}").alias("name"), scalar_text(f"__json.{k}").alias("value")
+            )
             for k in keys
         ]
     )
@@ -73,7 +77,10 @@ def unpivot_reactions(
         )
         unpivoted = F.when(only_when, unpivoted).otherwise(kept)
     rest = [c for c in df.columns if c not in (name_col, value_col)]
-    exploded = df.select(*rest, F.explode(unpivoted).alias("__pair"))
+    # Parsing has a step of its own, so that it happens once per row. The arrays are never
+    # empty; the outer form keeps Spark from adding a filter that would parse again.
+    staged = df.withColumn("__json", parsed).withColumn("__pairs", unpivoted)
+    exploded = staged.select(*rest, F.explode_outer("__pairs").alias("__pair"))
     return exploded.select(
         *rest, F.col("__pair.name").alias(name_col), F.col("__pair.value").alias(value_col)
     )

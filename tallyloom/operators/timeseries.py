@@ -58,7 +58,7 @@ def expand_days(
     spread = (
         df.where(F.col(date_col).isNotNull())
         .withColumn("__days", days)
-        .withColumn("__day", F.explode("__days"))
+        .withColumn("__day", F.explode_outer("__days"))
     )
 
     def measure(c: str) -> Column:

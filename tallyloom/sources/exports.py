@@ -74,7 +74,7 @@ def _fields(blocks: DataFrame, labels: dict[str, str]) -> DataFrame:
 
 
 def _filled(col: str) -> Column:
-    return F.col(col).isNotNull() & (F.col(col) != "")
+    return F.coalesce(F.col(col), F.lit("")) != ""
 
 
 def parse_live_history(blocks: DataFrame, ingested_at: Column | None = None) -> DataFrame:
