@@ -13,6 +13,7 @@ the right half at the first common boundary. Decoding concatenates up the same k
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 from bisect import bisect_left
 
@@ -264,7 +265,19 @@ class Bpe:
         return self.decode(ids[:half]) + self.decode(ids[half:])
 
 
-_loaded: dict[int, Bpe] = {}
+_loaded: dict[str, Bpe] = {}
+
+
+def _cached(key: str, shared) -> Bpe:
+    """One vocabulary per Python worker, with its memory, for all tasks that the worker runs.
+
+    A function of the module, so that tasks share the module's state; what a nested function
+    refers to is copied into each task.
+    """
+    if key not in _loaded:
+        _loaded.clear()
+        _loaded[key] = Bpe.from_file(shared.value)
+    return _loaded[key]
 
 
 def _vocabulary(df: DataFrame, path: str):
@@ -273,15 +286,8 @@ def _vocabulary(df: DataFrame, path: str):
     if len(content) > MAX_VOCABULARY_BYTES:
         raise ValueError(f"{path} holds more than {MAX_VOCABULARY_BYTES} bytes")
     shared = df.sparkSession.sparkContext.broadcast(content)
-    key = hash(content)
-
-    def load() -> Bpe:
-        if key not in _loaded:
-            _loaded.clear()
-            _loaded[key] = Bpe.from_file(shared.value)
-        return _loaded[key]
-
-    return load
+    key = hashlib.sha256(content).hexdigest()
+    return lambda: _cached(key, shared)
 
 
 def encode(df: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids") -> DataFrame:

@@ -4,6 +4,6 @@ from __future__ import annotations
 
 
 def catalog() -> dict[str, tuple]:
-    from tallyloom.llm import bpe
+    from tallyloom.llm import bpe, tokens
 
-    return {**bpe.QUERIES}
+    return {**bpe.QUERIES, **tokens.QUERIES}
