@@ -4,6 +4,6 @@ from __future__ import annotations
 
 
 def catalog() -> dict[str, tuple]:
-    from tallyloom.llm import bpe, substring, tokens
+    from tallyloom.llm import bpe, jaccard, substring, tokens
 
-    return {**bpe.QUERIES, **tokens.QUERIES, **substring.QUERIES}
+    return {**bpe.QUERIES, **tokens.QUERIES, **substring.QUERIES, **jaccard.QUERIES}
