@@ -4,6 +4,6 @@ from __future__ import annotations
 
 
 def catalog() -> dict[str, tuple]:
-    from tallyloom.llm import bpe, jaccard, mixing, rules, substring, tokens
+    from tallyloom.llm import bpe, jaccard, licenses, mixing, omh, rules, substring, tokens
 
-    return {**bpe.QUERIES, **tokens.QUERIES, **substring.QUERIES, **jaccard.QUERIES, **rules.QUERIES, **mixing.QUERIES}
+    return {**bpe.QUERIES, **tokens.QUERIES, **substring.QUERIES, **jaccard.QUERIES, **rules.QUERIES, **mixing.QUERIES, **omh.QUERIES, **licenses.QUERIES}
