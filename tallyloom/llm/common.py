@@ -92,6 +92,23 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers
 
 
+def run_codes(table: np.ndarray, symbols: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the runs ``symbols[begin:end]``; ``table`` has a random odd number per symbol."""
+    codes = np.empty(len(begin), np.uint64)
+    step, at = 1 << 16, 0
+    # A stretch of the symbols at a time, so that the tables of powers stay in the cache.
+    while at < len(codes):
+        low = begin[at]
+        stop = max(at + 1, int(np.searchsorted(end, low + step, "right")))
+        b, e = begin[at:stop] - low, end[at:stop] - low
+        up, down = _power_tables(int(e[-1]) + 1)
+        total = np.zeros(int(e[-1]) + 1, np.uint64)
+        np.cumsum(table[symbols[low : low + e[-1]]] * up[: e[-1]], out=total[1:])
+        codes[at:stop] = mix((total[e] - total[b]) * down[b] + (e - b).astype(np.uint64))
+        at = stop
+    return codes
+
+
 class Words:
     """The words of several texts, back to back.
 
@@ -113,22 +130,7 @@ class Words:
         self.begin, self.end = edge[0::2], edge[1::2]
         ends = np.cumsum([len(x) + 1 for x in joined])
         self.first = np.concatenate(([0], np.searchsorted(self.begin, ends))).astype(np.int64)
-        self.codes = self._hash(data)
-
-    def _hash(self, data: np.ndarray) -> np.ndarray:
-        codes = np.empty(len(self.begin), np.uint64)
-        step, at = 1 << 16, 0
-        # A stretch of the bytes at a time, so that the tables of powers stay in the cache.
-        while at < len(codes):
-            low = self.begin[at]
-            stop = max(at + 1, int(np.searchsorted(self.end, low + step, "right")))
-            b, e = self.begin[at:stop] - low, self.end[at:stop] - low
-            up, down = _power_tables(int(e[-1]) + 1)
-            total = np.zeros(int(e[-1]) + 1, np.uint64)
-            np.cumsum(_BYTE_CODES[data[low : low + e[-1]]] * up[: e[-1]], out=total[1:])
-            codes[at:stop] = mix((total[e] - total[b]) * down[b] + (e - b).astype(np.uint64))
-            at = stop
-        return codes
+        self.codes = run_codes(_BYTE_CODES, data, self.begin, self.end)
 
     def text(self, start: int, stop: int) -> bytes:
         """Words start to stop, joined by one space."""

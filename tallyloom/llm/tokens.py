@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.bpe import text_starts
-from tallyloom.llm.common import arrow_binary, map_batches, read, scratch_path, small_batches
+from tallyloom.llm.common import (
+    arrow_binary,
+    map_batches,
+    mix,
+    read,
+    run_codes,
+    scratch_path,
+    small_batches,
+)
 from tallyloom.llm.wavelet import WaveletMatrix
 
 #: Ids after which a shard is closed: bounds a row, and the memory of a task.
@@ -28,7 +37,7 @@ SHARD_TOKENS = 1 << 20
 #: Tokenizer files above this size are refused, as they are broadcast.
 MAX_TOKENIZER_BYTES = 64 << 20
 #: Pieces remembered per Python worker; two generations of this size.
-CACHE = 400_000
+CACHE = 300_000
 
 SHARD_SCHEMA = (
     "part int, shard int, bits int, n_docs long, n_tokens long, "
@@ -59,41 +68,73 @@ class PieceEncoder:
             and spec.get("post_processor") is None
         )
         self.added = [x["content"] for x in spec.get("added_tokens", [])]
-        self.young: dict[str, np.ndarray] = {}
-        self.old: dict[str, np.ndarray] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        out: list[bytes | None] = [None] * len(texts)
-        split: list[tuple[int, list[str]]] = []
-        new: dict[str, bytes] = {}
+        whole = [not self.by_piece or any(a in t for a in self.added) for t in texts]
+        out = self._by_pieces(["" if w else t for t, w in zip(texts, whole, strict=True)])
         for i, t in enumerate(texts):
-            if not self.by_piece or any(a in t for a in self.added):
-                out[i] = self._ids(self.library.encode(t, add_special_tokens=False))
-                continue
-            starts = text_starts(t).tolist()
-            pieces = list(map(t.__getitem__, map(slice, starts, [*starts[1:], len(t)])))
-            split.append((i, pieces))
-            for p in pieces:
-                if p not in self.young:
-                    if (ids := self.old.get(p)) is not None:
-                        self.young[p] = ids
-                    else:
-                        new[p] = b""
-        if new:
-            pieces = list(new)
-            found = self.library.encode_batch_fast(pieces, add_special_tokens=False)
-            for p, e in zip(pieces, found, strict=True):
-                self.young[p] = self._ids(e)
-        for i, pieces in split:
-            out[i] = b"".join(map(self.young.__getitem__, pieces))
-        if len(self.young) > CACHE:
-            self.old, self.young = self.young, {}
+            if whole[i]:
+                out[i] = array("I", self.library.encode(t, add_special_tokens=False).ids).tobytes()
         return out
 
-    @staticmethod
-    def _ids(encoding) -> bytes:
-        return np.array(encoding.ids, "<u4").tobytes()
+    def _by_pieces(self, texts: list[str]) -> list[bytes]:
+        """All pieces at once: equal pieces are found by hash, checked, and looked up once."""
+        starts = [text_starts(t) for t in texts]
+        counts = np.array([len(s) for s in starts])
+        if not counts.sum():
+            return [b""] * len(texts)
+        joined = "".join(texts)
+        offsets = np.cumsum([0, *map(len, texts)])
+        begin = np.concatenate(starts) + np.repeat(offsets[:-1], counts)
+        end = np.concatenate((begin[1:], offsets[-1:]))
+        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes = run_codes(_point_codes(), points, begin, end)
+        _, first, kind = np.unique(codes, return_index=True, return_inverse=True)
+        like = np.repeat(begin[first][kind] - begin, end - begin) + np.arange(len(points))
+        if (points[like] != points).any():  # two different pieces of one hash
+            first, kind = np.arange(len(begin)), np.arange(len(begin))
+        bounds = zip(begin[first].tolist(), end[first].tolist(), strict=True)
+        found = [self._ids(joined[a:b]) for a, b in bounds]
+        flat = np.frombuffer(b"".join(found), "<u4")
+        size = np.array([len(x) >> 2 for x in found])
+        place = np.cumsum(size) - size
+        sizes = size[kind]
+        before = np.cumsum(sizes) - sizes
+        ids = flat[np.repeat(place[kind] - before, sizes) + np.arange(int(sizes.sum()))].tobytes()
+        edge = np.concatenate((before, [len(ids) >> 2]))[np.concatenate(([0], np.cumsum(counts)))].tolist()
+        return [ids[4 * a : 4 * b] for a, b in zip(edge, edge[1:], strict=False)]
+
+    def _ids(self, piece: str) -> bytes:
+        ids = self.young.get(piece)
+        if ids is None:
+            ids = self.old.get(piece)
+            if ids is None:
+                signs = piece.encode("utf-8", "replace").decode("latin-1").translate(_SIGNS)
+                ids = array("I", [t.id for t in self.library.model.tokenize(signs)]).tobytes()
+            if len(self.young) >= CACHE:
+                self.old, self.young = self.young, {}
+            self.young[piece] = ids
+        return ids
+
+
+def _signs() -> dict[int, int]:
+    """The printable character that stands for each byte in byte-level vocabularies."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: b for b in plain} | {b: 256 + i for i, b in enumerate(rest)}
+
+
+_SIGNS = _signs()
+_tables: list[np.ndarray] = []
+
+
+def _point_codes() -> np.ndarray:
+    if not _tables:
+        _tables.append(mix(np.arange(1, 0x110001, dtype=np.uint64)) | np.uint64(1))
+    return _tables[0]
 
 
 _loaded: dict[str, PieceEncoder] = {}
@@ -142,8 +183,8 @@ def write_tokens(
         held: list[bytes] = []
         size, end = 0, np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                piece = batch.slice(at, 128)
+            for at in range(0, batch.num_rows, 256):
+                piece = batch.slice(at, 256)
                 texts = [t or "" for t in piece.column(1).to_pylist()]
                 for doc, tokens in zip(piece.column(0).to_pylist(), load().encode(texts), strict=True):
                     ids.append(doc)

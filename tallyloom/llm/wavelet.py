@@ -69,9 +69,9 @@ class WaveletMatrix:
     def of(cls, values: np.ndarray, bits: int) -> WaveletMatrix:
         planes, now = [], np.asarray(values)
         for level in range(bits - 1, -1, -1):
-            bit = ((now >> now.dtype.type(level)) & now.dtype.type(1)).astype(bool)
+            bit = (now & now.dtype.type(1 << level)) != 0
             planes.append(BitPlane.of(bit))
-            now = np.concatenate((now[~bit], now[bit]))
+            now = np.concatenate((now.take(np.flatnonzero(~bit)), now.take(np.flatnonzero(bit))))
         return cls(planes, len(values))
 
     def access(self, at: np.ndarray) -> np.ndarray:
@@ -91,8 +91,8 @@ class WaveletMatrix:
         for level, plane in enumerate(reversed(self.planes)):
             bit, back = plane.bits(), np.empty(self.n, np.uint32)
             zeros = self.n - plane.ones
-            back[~bit] = out[:zeros]
-            back[bit] = out[zeros:] | np.uint32(1 << level)
+            back[np.flatnonzero(~bit)] = out[:zeros]
+            back[np.flatnonzero(bit)] = out[zeros:] | np.uint32(1 << level)
             out = back
         return out
 
