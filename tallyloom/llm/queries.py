@@ -4,6 +4,6 @@ from __future__ import annotations
 
 
 def catalog() -> dict[str, tuple]:
-    from tallyloom.llm import bpe, jaccard, licenses, mixing, omh, rules, substring, tokens, warc
+    from tallyloom.llm import bpe, gam, jaccard, licenses, mixing, omh, rules, substring, tokens, warc
 
-    return {**bpe.QUERIES, **tokens.QUERIES, **substring.QUERIES, **jaccard.QUERIES, **rules.QUERIES, **mixing.QUERIES, **omh.QUERIES, **licenses.QUERIES, **warc.QUERIES}
+    return {**bpe.QUERIES, **tokens.QUERIES, **substring.QUERIES, **jaccard.QUERIES, **rules.QUERIES, **mixing.QUERIES, **omh.QUERIES, **licenses.QUERIES, **warc.QUERIES, **gam.QUERIES}
