@@ -26,6 +26,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyloom.llm.common import (
     Words,
@@ -89,10 +90,13 @@ def _pack(docs: DataFrame) -> DataFrame:
         squeeze = zstandard.ZstdCompressor(level=1).compress
         packed = [None if t is None else squeeze(t.encode("utf-8", "replace")) for t in batch.column(2).to_pylist()]
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), arrow_binary(packed)], ["doc_id", "row_key", "packed"]
+            [*batch.columns[:2], arrow_binary(packed), *batch.columns[3:]],
+            ["doc_id", "row_key", "packed", *batch.schema.names[3:]],
         )
 
-    return map_batches(docs, run, "doc_id long, row_key long, packed binary")
+    rest = [f for f in docs.schema.fields if f.name not in ("doc_id", "row_key", "text")]
+    schema = StructType.fromDDL("doc_id long, row_key long, packed binary")
+    return map_batches(docs, run, StructType([*schema.fields, *rest]))
 
 
 def _unpack(values: list[bytes | None]) -> list[str | None]:
@@ -212,38 +216,38 @@ def _cut(packed: DataFrame) -> DataFrame:
             removed.append(total[-1] - len(words))
         return pa.RecordBatch.from_arrays(
             [
-                batch.column(0), batch.column(1), pa.array(kept, pa.string()),
-                pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
-                pa.array([t is None for t in texts], pa.bool_()),
+                *batch.columns[:2], pa.array(kept, pa.string()),
+                pa.array(total, pa.int64()), pa.array(removed, pa.int64()), *batch.columns[4:],
             ],
-            ["doc_id", "row_key", "kept_text", "n_words", "n_removed", "no_text"],
+            ["doc_id", "row_key", "kept_text", "n_words", "n_removed", *batch.schema.names[4:]],
         )
 
-    return map_batches(
-        packed, run,
-        "doc_id long, row_key long, kept_text string, n_words long, n_removed long, no_text boolean",
-    )
+    schema = StructType.fromDDL("doc_id long, row_key long, kept_text string, n_words long, n_removed long")
+    return map_batches(packed, run, StructType([*schema.fields, *packed.schema.fields[4:]]))
 
 
 def cut_repeats(
     docs: DataFrame,
+    keep: list[str] | None = None,
     window: int = WINDOW,
     anchor: int = ANCHOR,
     hot_units: int = HOT_UNITS,
     index_words: int = INDEX_WORDS,
 ) -> DataFrame:
-    """One row per document: doc_id, row_key, kept_text, n_words, n_removed, no_text.
+    """One row per document: doc_id, row_key, kept_text, n_words, n_removed; ``keep`` as a struct, kept.
 
     Words are runs of anything but ASCII white space. A word goes if a window of ``window`` words
     over it also starts in a document with a smaller doc_id, judged on the input. Rows that share a
     doc_id are not earlier than each other and all stay; a null doc_id is neither earlier nor later
     than any. A null text has no words and an empty ``kept_text``; texts shorter than the window
     keep all words. Repeated rows are repeated in the result, an empty table gives an empty
-    result, and columns besides doc_id and text are not read. ``row_key`` is a hash of the text.
+    result, and columns besides doc_id, text and ``keep`` are not read, whatever their names. ``row_key`` is a hash of the text.
     """
     small_batches(docs.sparkSession)
-    docs = docs.select("doc_id", F.xxhash64("text").alias("row_key"), "text")
-    found = stored(_units(docs.where("doc_id is not null"), window, anchor), "units")
+    held = [F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept")] if keep else []
+    docs = docs.select("doc_id", F.xxhash64("text").alias("row_key"), "text", *held)
+    named = docs.where("doc_id is not null").select("doc_id", "row_key", "text")
+    found = stored(_units(named, window, anchor), "units")
     shared = (
         found.groupBy("anchor")
         .agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n"))
@@ -255,10 +259,9 @@ def cut_repeats(
         .groupBy("doc_id", "row_key")
         .agg(F.collect_set(F.struct("start", "windows", "anchor", "hot")).alias("wanted"))
     )
-    packed = _pack(docs)
     occurrences = stored(
         _unit_texts(
-            packed.join(wanted.hint("shuffle_hash"), ["doc_id", "row_key"]).select(
+            _pack(named).join(wanted.hint("shuffle_hash"), ["doc_id", "row_key"]).select(
                 "doc_id", "row_key", "packed", "wanted"
             ),
             window,
@@ -289,8 +292,8 @@ def cut_repeats(
         )
     )
     return _cut(
-        packed.join(cuts.hint("shuffle_hash"), ["doc_id", "row_key"], "left").select(
-            "doc_id", "row_key", "packed", "cuts"
+        _pack(docs).join(cuts.hint("shuffle_hash"), ["doc_id", "row_key"], "left").select(
+            "doc_id", "row_key", "packed", "cuts", *(["kept"] if keep else [])
         )
     )
 
