@@ -9,11 +9,13 @@
 3. In a shard, all nodes that share a member are sent to the tile of the smallest of them. So any
    two sets that can link meet in a tile. Tiles beyond ``tile_rows`` are split into blocks, and
    every two blocks meet.
-4. A tile streams its sets by ascending size. A set is compared with the ones not smaller than
-   three quarters of it, kept per size band with a hashed bitmap: the bits in which two bitmaps
-   differ bound the overlap from above. What passes is intersected exactly, unless a link to the
-   same class in the tile is already known.
-5. Links are joined to classes by alternating star contractions, written out at each step.
+4. A tile streams its sets' bitmaps by ascending size. A set is compared with the ones not smaller
+   than three quarters of it, kept per size band: the bits in which two bitmaps differ bound the
+   overlap from above. Sets that chains of such possible links join form a group; most sets that
+   share no more than a passage are in no group, and their texts go nowhere.
+5. Texts go to the tile of their group. There the same bounds hold, and what passes them is
+   intersected exactly, unless a link to the same class in the tile is already known.
+6. Links are joined to classes by alternating star contractions, written out at each step.
 """
 
 from __future__ import annotations
@@ -69,6 +71,7 @@ def _profile(docs: DataFrame) -> DataFrame:
         often = counts >= 3
         members, counts = members[often].view(np.int64), counts[often]
         n, m = len(sets), len(members)
+        maps = [bitmap(x, _level(len(x))).tobytes() for x in sets]
         digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
         return pa.RecordBatch.from_arrays(
             [
@@ -76,13 +79,16 @@ def _profile(docs: DataFrame) -> DataFrame:
                 pa.concat_arrays([batch.column(1), pa.nulls(m, pa.int64())]),
                 pa.array([*map(len, sets), *[None] * m], pa.int64()),
                 arrow_binary([*digests, *[None] * m]),
+                arrow_binary([*maps, *[None] * m]),
                 pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(members)]),
                 pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(counts.astype(np.int64))]),
             ],
-            ["doc_id", "row_key", "n", "digest", "member", "docs"],
+            ["doc_id", "row_key", "n", "digest", "bitmap", "member", "docs"],
         )
 
-    return map_batches(docs, run, "doc_id long, row_key long, n long, digest binary, member long, docs long")
+    return map_batches(
+        docs, run, "doc_id long, row_key long, n long, digest binary, bitmap binary, member long, docs long"
+    )
 
 
 def _prefix(members: np.ndarray, common: np.ndarray) -> np.ndarray:
@@ -160,82 +166,164 @@ def _meet(runs: DataFrame) -> DataFrame:
     return runs.mapInArrow(run, "node long, hub long")
 
 
+def _level(n: int) -> int:
+    """The size band of a set: sizes from 2**level to below twice that."""
+    return max(7, n.bit_length() - 1)
+
+
+def bitmap(members: np.ndarray, level: int) -> np.ndarray:
+    """One bit per hash value of the members, 2 << level bits in all."""
+    bits = 2 << level
+    flags = np.zeros(bits, np.uint8)
+    flags[(members & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(flags, bitorder="little").view("<u8")
+
+
+def _fold(bits: np.ndarray) -> np.ndarray:
+    """The bitmap of the same members in half the bits."""
+    half = len(bits) // 2
+    return bits[:half] | bits[half:]
+
+
 class _Band:
-    """Sets of about one size, with bitmaps of one width."""
+    """Sets of one size band, ascending, with their bitmaps."""
 
-    def __init__(self, bits: int) -> None:
-        self.bits, self.n = bits, 0
-        self.maps = np.zeros((16, bits // 64), np.uint64)
+    def __init__(self, level: int) -> None:
+        self.n = 0
+        self.maps = np.zeros((16, (2 << level) // 64), np.uint64)
         self.sizes = np.zeros(16, np.int64)
         self.items: list[int] = []
 
-    def bitmap(self, members: np.ndarray) -> np.ndarray:
-        flags = np.zeros(self.bits, np.uint8)
-        flags[(members & np.uint64(self.bits - 1)).astype(np.int64)] = 1
-        return np.packbits(flags, bitorder="little").view("<u8")
-
-    def add(self, item: int, members: np.ndarray) -> None:
+    def add(self, item: int, n: int, bits: np.ndarray) -> None:
         if self.n == len(self.sizes):
             self.maps = np.concatenate((self.maps, np.zeros_like(self.maps)))
             self.sizes = np.concatenate((self.sizes, np.zeros_like(self.sizes)))
-        self.maps[self.n], self.sizes[self.n] = self.bitmap(members), len(members)
+        self.maps[self.n], self.sizes[self.n] = bits, n
         self.items.append(item)
         self.n += 1
 
-    def near(self, members: np.ndarray) -> list[int]:
-        """Items whose bitmaps leave room for a link, the closest first."""
-        n = len(members)
+    def near(self, n: int, bits: np.ndarray) -> list[int]:
+        """Items whose bitmaps leave room for a link with a set of n members, closest first."""
         low = int(np.searchsorted(self.sizes[: self.n], least_overlap(n)))
         sizes = self.sizes[low : self.n]
-        apart = np.bitwise_count(self.maps[low : self.n] ^ self.bitmap(members)).sum(axis=1, dtype=np.int64)
+        apart = np.bitwise_count(self.maps[low : self.n] ^ bits).sum(axis=1, dtype=np.int64)
         most = (sizes + n - apart) // 2
         good = np.flatnonzero(DENOMINATOR * most >= NUMERATOR * (sizes + n - most))
         return [self.items[low + i] for i in good[np.argsort(apart[good], kind="stable")]]
 
 
-class Tile:
-    """Sets by ascending size; yields links that join what was apart."""
+class _Bands:
+    """Sets by ascending size: finds the earlier ones that a set may link to."""
 
     def __init__(self) -> None:
         self.bands: dict[int, _Band] = {}
-        self.nodes: list[int] = []
-        self.sets: list[np.ndarray | None] = []
         self.parent: list[int] = []
-        self.low = 0
 
-    def _root(self, i: int) -> int:
+    def root(self, i: int) -> int:
         while self.parent[i] != i:
             self.parent[i] = self.parent[self.parent[i]]
             i = self.parent[i]
         return i
 
-    def _band(self, level: int) -> _Band:
-        if level not in self.bands:
-            self.bands[level] = _Band(max(256, 2 << level))
-        return self.bands[level]
+    def place(self, n: int, bits: np.ndarray) -> tuple[int, list[int]]:
+        """The number of the new set, and earlier sets that may link to it."""
+        level, me = _level(n), len(self.parent)
+        for old in [x for x in self.bands if x < level - 1]:
+            del self.bands[old]
+        near = []
+        if level in self.bands:
+            near += self.bands[level].near(n, bits)
+        if level - 1 in self.bands and least_overlap(n) < 1 << level:
+            near += self.bands[level - 1].near(n, _fold(bits))
+        self.parent.append(me)
+        self.bands.setdefault(level, _Band(level)).add(me, n, bits)
+        return me, near
+
+
+class Tile:
+    """Sets by ascending size; yields links that join what was apart."""
+
+    def __init__(self) -> None:
+        self.bands = _Bands()
+        self.nodes: list[int] = []
+        self.sets: list[np.ndarray] = []
+        self.low = 0
 
     def add(self, node: int, members: np.ndarray) -> Iterator[tuple[int, int]]:
-        n, me = len(members), len(self.nodes)
-        level = n.bit_length() - 1
-        for old in [x for x in self.bands if x < level]:
-            del self.bands[old]
+        n = len(members)
+        me, near = self.bands.place(n, bitmap(members, _level(n)))
         while self.low < me and len(self.sets[self.low]) < least_overlap(n):
-            self.sets[self.low] = np.empty(0, np.uint64)  # too small for all that follow
+            self.sets[self.low] = members[:0]  # too small for all that follow
             self.low += 1
         self.nodes.append(node)
         self.sets.append(members)
-        self.parent.append(me)
-        band = self._band(level)
-        for other in band.near(members):
-            if self._root(other) == self._root(me):
+        for other in near:
+            a, b = self.bands.root(other), self.bands.root(me)
+            if a == b:
                 continue
             common = len(np.intersect1d(self.sets[other], members, assume_unique=True))
             if DENOMINATOR * common >= NUMERATOR * (len(self.sets[other]) + n - common):
-                self.parent[self._root(me)] = self._root(other)
+                self.bands.parent[b] = a
                 yield self.nodes[other], node
-        band.add(me, members)
-        if DENOMINATOR * n >= NUMERATOR * (2 << level):  # may link into the next band
-            self._band(level + 1).add(me, members)
+
+
+def _groups(rows: DataFrame) -> DataFrame:
+    """Per tile, the sets that chains of possible links join, and the smallest node of each chain.
+
+    The rows of a tile stand together, by ascending size.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, bands, nodes = None, _Bands(), []
+
+        def close() -> list[tuple]:
+            chains: dict[int, list[tuple]] = {}
+            for i, node in enumerate(nodes):
+                chains.setdefault(bands.root(i), []).append(node)
+            return [
+                (*node, low) for chain in chains.values() if len(chain) > 1
+                for low in [min(x[0] for x in chain)] for node in chain
+            ]
+
+        def emit(found: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*found, strict=True)) or [[], [], [], []]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in columns], ["node", "row_key", "n", "hub"]
+            )
+
+        for batch in batches:
+            found = []
+            for hub, i, j, node, row_key, n, bits in zip(
+                *(batch.column(k).to_pylist() for k in range(7)), strict=True
+            ):
+                if (hub, i, j) != key:
+                    found += close()
+                    key, bands, nodes = (hub, i, j), _Bands(), []
+                me, near = bands.place(n, np.frombuffer(bits, "<u8"))
+                nodes.append((node, row_key, n))
+                for other in near:
+                    bands.parent[bands.root(other)] = bands.root(me)
+            yield emit(found)
+        yield emit(close())
+
+    return rows.mapInArrow(run, "node long, row_key long, n long, hub long")
+
+
+def _blocks(pairs: DataFrame, tile_rows: int) -> DataFrame:
+    """Add i and j: a hub with too many nodes becomes a tile per two blocks of its nodes."""
+    blocks = (
+        pairs.groupBy("hub").agg(F.count("*").alias("rows")).where(F.col("rows") > tile_rows)
+        .select("hub", F.ceil(F.col("rows") / tile_rows).cast("int").alias("blocks"))
+    )
+    blocks_of = F.coalesce("blocks", F.lit(1))
+    split = pairs.join(blocks, "hub", "left").select(
+        *[F.col(c) for c in pairs.columns],
+        F.pmod(F.xxhash64("node"), blocks_of).cast("int").alias("own"),
+        F.explode(F.sequence(F.lit(0), blocks_of - 1)).alias("other"),
+    )
+    return split.select(
+        *pairs.columns, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    )
 
 
 def _tile_links(rows: DataFrame) -> DataFrame:
@@ -329,27 +417,20 @@ def near_duplicates(
     met = _meet(runs.repartition(parts, "shard")).distinct()
     # A set's copies hold the same members, so its first document stands for them everywhere.
     classes = (
-        sets.where("doc_id is not null and n > 0").groupBy("digest", "n")
-        .agg(F.min(F.struct("doc_id", "row_key")).alias("first"))
-        .select("digest", F.col("first.doc_id").alias("node"), F.col("first.row_key").alias("row_key"), "n")
+        sets.where("doc_id is not null and n > 0").groupBy("digest", "n", "bitmap")
+        .agg(F.min("doc_id").alias("node"), F.min_by("row_key", "doc_id").alias("row_key"))
     )
-    pairs = stored(met.join(classes.select("node", "row_key", "n").distinct(), "node"), "pairs")
-    blocks = (
-        pairs.groupBy("hub").agg(F.count("*").alias("rows")).where(F.col("rows") > tile_rows)
-        .select("hub", F.ceil(F.col("rows") / tile_rows).cast("int").alias("blocks"))
+    nodes = classes.select("node", "row_key", "n", "bitmap").distinct()
+    pairs = stored(met.join(nodes.select("node").distinct(), "node", "left_semi"), "pairs")
+    sketched = (
+        _blocks(pairs, tile_rows).join(nodes, "node")
+        .select("hub", "i", "j", "node", "row_key", "n", "bitmap")
+        .repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j", "n", "node")
     )
-    blocks_of = F.coalesce("blocks", F.lit(1))
+    groups = stored(_groups(sketched).distinct(), "groups")
     placed = (
-        pairs.join(blocks, "hub", "left")
-        .select(
-            "*",
-            F.pmod(F.xxhash64("node"), blocks_of).cast("int").alias("own"),
-            F.explode(F.sequence(F.lit(0), blocks_of - 1)).alias("other"),
-        )
-        .groupBy(F.col("node").alias("doc_id"), "row_key", "n")
-        .agg(F.collect_set(F.struct(
-            "hub", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-        )).alias("tiles"))
+        _blocks(groups, tile_rows).groupBy(F.col("node").alias("doc_id"), "row_key", "n")
+        .agg(F.collect_set(F.struct("hub", "i", "j")).alias("tiles"))
     )
     rows = (
         _pack(named).join(placed.hint("shuffle_hash"), ["doc_id", "row_key"])
