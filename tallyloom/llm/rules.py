@@ -100,25 +100,27 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return out.withColumn("n_repeat_words", covered).drop("__at")
 
 
-def _share(part: str, whole: str, more: int = 0) -> Column:
-    """A share; ``more`` damps it where the whole is small."""
-    return F.when(F.col(whole) > 0, F.col(part) / (F.col(whole) + more))
-
-
+#: Share: part, whole, and what damps the share where the whole is small.
 SHARES = {
-    "symbol_share": _share("n_symbols", "word_chars"),
-    "dup_line_share": _share("n_dup_lines", "n_lines", 4),
-    "repeat_share": _share("n_repeat_words", "n_words", 50),
-    "word_length": _share("word_chars", "n_words"),
+    "symbol_share": ("n_symbols", "word_chars", 0),
+    "dup_line_share": ("n_dup_lines", "n_lines", 4),
+    "repeat_share": ("n_repeat_words", "n_words", 50),
+    "word_length": ("word_chars", "n_words", 0),
 }
 
 
+def _share(name: str) -> Column:
+    part, whole, more = SHARES[name]
+    share = F.when(F.col(whole) > 0, F.col(part) / (F.col(whole) + more))
+    return F.coalesce(share, F.lit(0.0))
+
+
 def thresholds(counted: DataFrame, group_docs: int = GROUP_DOCS) -> DataFrame:
     """Per language and source the highest value of each share that passes: max_<share>.
 
     Sketches are made once per group and merged for the wider levels.
     """
-    sketch = [F.kll_sketch_agg_double(F.coalesce(x, F.lit(0.0)), F.lit(SKETCH_SIZE)).alias(n) for n, x in SHARES.items()]
+    sketch = [F.kll_sketch_agg_double(_share(n), F.lit(SKETCH_SIZE)).alias(n) for n in SHARES]
     groups = counted.groupBy("lang", "source").agg(F.count("*").alias("docs"), *sketch)
     groups = stored(groups, "sketches")  # one row per language and source
 
@@ -146,8 +148,8 @@ def verdicts(counted: DataFrame, limits: DataFrame) -> DataFrame:
     """Add base_failed and kept. A null language or source is a group like any other."""
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     within = F.lit(True)
-    for name, share in SHARES.items():
-        within = within & (F.coalesce(share, F.lit(0.0)) <= F.col("max_" + name))
+    for name in SHARES:
+        within = within & (_share(name) <= F.col("max_" + name))
     joined = counted.join(
         limits, F.col("lang").eqNullSafe(F.col("group_lang")) & F.col("source").eqNullSafe(F.col("group_source"))
     )
