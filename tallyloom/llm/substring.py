@@ -248,11 +248,13 @@ def cut_repeats(
     docs = docs.select("doc_id", F.xxhash64("text").alias("row_key"), "text", *held)
     named = docs.where("doc_id is not null").select("doc_id", "row_key", "text")
     found = stored(_units(named, window, anchor), "units")
-    shared = (
+    # Written out, so that both sides of the join are plain and Spark can split a hot anchor.
+    shared = stored(
         found.groupBy("anchor")
         .agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n"))
         .where("lo < hi")
-        .select("anchor", (F.col("n") > hot_units).alias("hot"))
+        .select("anchor", (F.col("n") > hot_units).alias("hot")),
+        "anchors",
     )
     wanted = (
         found.join(shared, "anchor")
