@@ -2,28 +2,45 @@
 
     spark-submit run_daily.py LANDING RAW MARTS
 
-Exits with 1 if a test fails with severity error. Results of the tests are written
-to MARTS/_checks and the row counts to MARTS/_summary.
+Exits with 1 if a test fails with severity error. Results of the tests, with those of
+the landed row counts, are written to MARTS/_checks, the row counts of marts to
+MARTS/_summary, the exports found to MARTS/_inputs and playlist ids without a video to
+MARTS/_missing_videos. Sources that have not landed yet count as empty.
 """
 
 from __future__ import annotations
 
 import sys
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
-from tallyloom.plans.landing import land_batch
+from tallyloom.operators import check_inputs_present, check_row_count, union_all
+from tallyloom.plans.landing import land_batch, videos_not_landed
 from tallyloom.plans.refresh import check_marts, refresh_marts, summarize_marts
 from tallyloom.session import configure
-from tallyloom.sources import materialize_table
+from tallyloom.sources import materialize_table, read_sources
+from tallyloom.sources.exports import REQUIRED_EXPORTS
+from tallyloom.sources.schemas import INVENTORY_TABLES, RAW_TABLES
 
 
 def main(landing: str, raw_root: str, mart_root: str) -> int:
     spark = configure(SparkSession.builder.appName("daily").getOrCreate())
-    for table, outcome in land_batch(spark, landing, raw_root).items():
+    try:
+        inputs = check_inputs_present(spark, f"{landing}/tiktok", REQUIRED_EXPORTS)
+        materialize_table(inputs, f"{mart_root}/_inputs")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        print("no exports have landed")
+    outcomes = land_batch(spark, landing, raw_root)
+    for table, outcome in outcomes.items():
         print(f"{table}: {outcome}")
-    stored = refresh_marts(spark, raw_root, mart_root)
-    checks = materialize_table(check_marts(stored), f"{mart_root}/_checks")
+    raw = read_sources(spark, raw_root, [*RAW_TABLES, *INVENTORY_TABLES], missing="empty")
+    stored = refresh_marts(spark, raw_root, mart_root, missing="empty")
+    counts = [check_row_count(raw[name], table=name, severity="warn") for name in raw]
+    checks = materialize_table(union_all(check_marts(stored), *counts), f"{mart_root}/_checks")
+    materialize_table(videos_not_landed(raw), f"{mart_root}/_missing_videos")
     materialize_table(summarize_marts(stored), f"{mart_root}/_summary")
     failed = checks.where("status = 'ERROR'").count()
     print(f"tests with errors: {failed}")

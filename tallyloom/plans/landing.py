@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from tallyloom.plans.refresh import THREADS
 from tallyloom.sources import (
     append_raw,
+    attach_ingested_at,
     flatten_channel,
     flatten_comments,
     flatten_feed,
     flatten_insights,
+    flatten_playlist,
     flatten_videos,
     parse_followers,
     parse_live_comments,
@@ -40,73 +42,84 @@ from tallyloom.sources.exports import (
 
 _HISTORY, _COMMENTS, _POSTS, _WATCHED, _FOLLOWERS = REQUIRED_EXPORTS
 
-Reader = Callable[[SparkSession, str, Column], DataFrame]
+Reader = Callable[[SparkSession, str, Column, str], DataFrame]
 
 # Raw table -> (path below the landing folder, reader).
 BATCH: dict[str, tuple[str, Reader]] = {
     "tiktok_live_history": (
         f"tiktok/{_HISTORY}",
-        lambda s, p, at: parse_live_history(read_blocks_delim(s, p, LIVE_HISTORY_DELIMITER), at),
+        lambda s, p, at, nl: parse_live_history(read_blocks_delim(s, p, LIVE_HISTORY_DELIMITER), at),
     ),
     "tiktok_live_comments": (
         f"tiktok/{_COMMENTS}",
-        lambda s, p, at: parse_live_comments(read_blocks_delim(s, p, LIVE_COMMENTS_DELIMITER), at),
+        lambda s, p, at, nl: parse_live_comments(read_blocks_delim(s, p, LIVE_COMMENTS_DELIMITER), at),
     ),
     "tiktok_posts": (
         f"tiktok/{_POSTS}",
-        lambda s, p, at: parse_posts(read_blocks_lookahead(s, p, POSTS_HEADER), at),
+        lambda s, p, at, nl: parse_posts(read_blocks_lookahead(s, p, POSTS_HEADER, newline=nl), at),
     ),
     "tiktok_watch_live_history": (
         f"tiktok/{_WATCHED}",
-        lambda s, p, at: parse_watch_history(
-            read_blocks_lookahead(s, p, WATCH_HISTORY_HEADER, blank_lines=0), at
+        lambda s, p, at, nl: parse_watch_history(
+            read_blocks_lookahead(s, p, WATCH_HISTORY_HEADER, blank_lines=0, newline=nl), at
         ),
     ),
     "tiktok_followers": (
         f"tiktok/{_FOLLOWERS}",
-        lambda s, p, at: parse_followers(read_blocks_lookahead(s, p, FOLLOWERS_HEADER), at),
+        lambda s, p, at, nl: parse_followers(read_blocks_lookahead(s, p, FOLLOWERS_HEADER, newline=nl), at),
     ),
     "facebook_csv_insights": (
         "facebook/csv",
-        lambda s, p, at: read_metric_csvs(s, p, ingested_at=at),
+        lambda s, p, at, nl: read_metric_csvs(s, p, ingested_at=at),
     ),
     "facebook": (
         "facebook/insights",
-        lambda s, p, at: flatten_insights(read_payloads(s, p, S.INSIGHTS_PAYLOAD), at),
+        lambda s, p, at, nl: flatten_insights(read_payloads(s, p, S.INSIGHTS_PAYLOAD), at),
     ),
     "facebook_posts": (
         "facebook/feed",
-        lambda s, p, at: flatten_feed(read_payloads(s, p, S.FEED_PAYLOAD), at),
+        lambda s, p, at, nl: flatten_feed(read_payloads(s, p, S.FEED_PAYLOAD), at),
     ),
     "youtube_channel": (
         "youtube/channel",
-        lambda s, p, at: flatten_channel(read_payloads(s, p, S.CHANNEL_PAYLOAD), at),
+        lambda s, p, at, nl: flatten_channel(read_payloads(s, p, S.CHANNEL_PAYLOAD), at),
     ),
     "youtube_videos": (
         "youtube/videos",
-        lambda s, p, at: flatten_videos(read_payloads(s, p, S.VIDEOS_PAYLOAD), at),
+        lambda s, p, at, nl: flatten_videos(read_payloads(s, p, S.VIDEOS_PAYLOAD), at),
+    ),
+    "youtube_playlist": (
+        "youtube/playlist",
+        lambda s, p, at, nl: attach_ingested_at(
+            flatten_playlist(read_payloads(s, p, S.PLAYLIST_PAYLOAD)), at
+        ),
     ),
     "youtube_comments": (
         "youtube/comments",
-        lambda s, p, at: flatten_comments(read_payloads(s, p, S.COMMENTS_PAYLOAD), at),
+        lambda s, p, at, nl: flatten_comments(read_payloads(s, p, S.COMMENTS_PAYLOAD), at),
     ),
 }
 
 
 def land_batch(
-    spark: SparkSession, landing: str, raw_root: str, at: datetime | None = None
+    spark: SparkSession,
+    landing: str,
+    raw_root: str,
+    at: datetime | None = None,
+    newline: str = "\n",
 ) -> dict[str, str]:
     """Append every source that has landed to its raw table.
 
     All rows of the batch carry one ingest time. A source whose files are missing is
-    skipped, and so is one without rows; the outcome per table is returned.
+    skipped, and so is one without rows; the outcome per table is returned. ``newline`` is
+    the line end by which large text exports are split; any line end is read.
     """
     stamp = F.lit(at or datetime.now(timezone.utc))
 
     def land(table: str) -> str:
         path, read = BATCH[table]
         try:
-            rows = read(spark, f"{landing.rstrip('/')}/{path}", stamp)
+            rows = read(spark, f"{landing.rstrip('/')}/{path}", stamp, newline)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -115,3 +128,9 @@ def land_batch(
 
     with ThreadPoolExecutor(THREADS) as pool:
         return dict(zip(BATCH, pool.map(land, BATCH)))
+
+
+def videos_not_landed(raw: Mapping[str, DataFrame]) -> DataFrame:
+    """Ids of the playlist inventory for which no video row has landed."""
+    known = raw["youtube_videos"].select("video_id").distinct()
+    return raw["youtube_playlist"].select("video_id").distinct().join(known, "video_id", "left_anti")

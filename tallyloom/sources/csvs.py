@@ -28,13 +28,15 @@ def read_metric_csvs(
     name_map: Mapping[str, str] = METRIC_FILES,
     ingested_at: Column | None = None,
     byte_order: str | None = None,
+    header: str = "Date",
 ) -> DataFrame:
     """UTF-16 files of (date, value) below two preamble lines and a header.
 
     All files of the folder (and below) are one scan. ``name_map`` gives the metric
     for a file name, or for the name of the folder that holds the file. Other files
-    are left out, missing ones are no error. Preamble and header rows are those whose
-    first cell is no date.
+    are left out, missing ones are no error. A row of a single cell is preamble and the
+    row that starts with ``header`` is the header; any other first cell that is no date
+    fails the job.
 
     By default the mark at the start of a file tells its byte order, and a file is one
     task. Where all files are known to be 'LE' or 'BE', say so in ``byte_order``: lines
@@ -55,8 +57,17 @@ def read_metric_csvs(
         reader.csv(directory)
         .select("day", "amount", metric.alias("metric_name"))
     )
-    day = strip("day").try_cast("timestamp").cast("date")
-    kept = rows.where(day.isNotNull() & F.col("metric_name").isNotNull())
+    read = strip("day").try_cast("timestamp").cast("date")
+    day = F.coalesce(
+        read, F.raise_error(F.concat(F.lit("no date in a metric file: "), F.col("day"))).cast("date")
+    )
+    preamble = strip(F.coalesce("amount", F.lit(""))) == ""
+    title = F.lower(strip("day")) == header.lower()
+    # A day without a reading is data; without a date as well it is preamble.
+    kept = rows.where(
+        F.col("metric_name").isNotNull() & F.col("day").isNotNull() & ~title
+        & ~(preamble & read.isNull())
+    )
     return attach_ingested_at(
         kept.select(day.alias("date"), coerce_int(strip("amount")).alias("value"), "metric_name"),
         ingested_at,

@@ -32,8 +32,11 @@ _COMMENT_LINE = r"(?d)(\[\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\] .+)"
 
 def _clean(block: Column) -> Column:
     """Line ends of any kind become a newline, outer white space goes."""
-    one_way = F.replace(F.replace(block, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
-    return strip(one_way)
+    return strip(_one_way(block))
+
+
+def _one_way(block: Column) -> Column:
+    return F.replace(F.replace(block, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
 
 
 def read_blocks_delim(spark: SparkSession, path: str, delim: str) -> DataFrame:
@@ -51,19 +54,23 @@ def read_blocks_lookahead(
     """One row per block that starts with ``header``, which stays part of the block.
 
     ``blank_lines`` is the number of empty lines before a header. ``newline`` is the
-    line end of the files, ``"\\r\\n"`` for exports written that way.
-    The reader takes the header away together with the separator; it is put back
-    except for the first block of a file, which still has it.
+    line end by which the reader splits large files; ``"\\r\\n"`` for exports written
+    that way. Files with other or mixed line ends are read whole and cut here, so they
+    give the same blocks. The reader takes the header away together with the separator;
+    it is put back except for the first block of a file, which still has it.
     """
     separator = newline * (blank_lines + 1) + header
     value = F.col("value")
     block = F.when(strip(value).startswith(header), value).otherwise(
         F.concat(F.lit(header), value)
     )
+    parts = F.split(_one_way(block), "\n" * (blank_lines + 1) + f"(?=\\Q{header}\\E)")
     return (
         spark.read.text(path, lineSep=separator)
         .where(strip(value) != "")
-        .select(_clean(block).alias("block"))
+        .select(F.explode(parts).alias("part"))
+        .where(strip("part") != "")
+        .select(strip("part").alias("block"))
     )
 
 
@@ -93,6 +100,7 @@ def parse_live_history(blocks: DataFrame, ingested_at: Column | None = None) ->
 
 
 def parse_live_comments(blocks: DataFrame, ingested_at: Column | None = None) -> DataFrame:
+    """Comments of one block each; of a comment over several lines the first line is kept."""
     fields = _fields(
         blocks,
         {"room_id": "Room ID", "comment_time_raw": "Comment Time", "comment_text": "Comment"},

@@ -8,14 +8,16 @@ from pyspark.sql import functions as F
 from tallyloom.functions.numbers import parse_iso_duration
 from tallyloom.sources.tables import attach_ingested_at
 
-MESSAGE_CHARS = 500  # fixed value: the feed keeps this many characters of a message
-
 
 def read_payloads(
     spark: SparkSession, path: str, schema: str, multiline: bool = False
 ) -> DataFrame:
-    """Payload pages under a declared schema: one per line, or one per file with ``multiline``."""
-    return spark.read.schema(schema).option("multiLine", multiline).json(path)
+    """Payload pages under a declared schema: one per line, or one per file with ``multiline``.
+
+    A page that is no JSON, as a truncated one, or holds a value of another type fails the job.
+    """
+    reader = spark.read.schema(schema).option("mode", "FAILFAST")
+    return reader.option("multiLine", multiline).json(path)
 
 
 def _items(payload: DataFrame, field: str = "items") -> DataFrame:
@@ -33,13 +35,18 @@ def flatten_insights(payload: DataFrame, ingested_at: Column | None = None) -> D
 
 
 def flatten_feed(
-    payload: DataFrame, ingested_at: Column | None = None, max_chars: int = MESSAGE_CHARS
+    payload: DataFrame, ingested_at: Column | None = None, max_chars: int | None = None
 ) -> DataFrame:
-    """Posts with message, else story, else ''; type of the first attachment or NULL."""
+    """Posts with message, else story, else ''; a post's type is that of its first attachment.
+
+    Texts are whole unless ``max_chars`` gives a limit.
+    """
     text = F.coalesce("i.message", "i.story", F.lit(""))
+    if max_chars is not None:
+        text = F.substring(text, 1, max_chars)
     rows = _items(payload, "data").select(
         F.col("i.id").alias("post_id"),
-        F.substring(text, 1, max_chars).alias("message"),
+        text.alias("message"),
         F.substring("i.created_time", 1, 10).alias("created_time"),
         F.get(F.col("i.attachments.data"), 0)["type"].alias("content_type"),
     )
@@ -47,9 +54,8 @@ def flatten_feed(
 
 
 def flatten_channel(payload: DataFrame, ingested_at: Column | None = None) -> DataFrame:
-    """The first item of each payload, counts as text."""
-    first = payload.select(F.get("items", 0).alias("i")).where("i is not null")
-    rows = first.select(
+    """Every channel of all pages, counts as text."""
+    rows = _items(payload).where("i is not null").select(
         F.col("i.id").alias("channel_id"),
         F.col("i.snippet.title").alias("channel_title"),
         F.col("i.statistics.subscriberCount").alias("subscriber_count"),

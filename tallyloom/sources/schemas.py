@@ -62,6 +62,9 @@ EVENT_TABLES = {
     "raw_youtube_live_events": YOUTUBE_LIVE_EVENTS,
 }
 
+# The full inventory of video ids; no model reads it.
+INVENTORY_TABLES = {"youtube_playlist": "video_id string, ingested_at timestamp"}
+
 # Payload files.
 INSIGHTS_PAYLOAD = (
     "data array<struct<name: string, values: array<struct<end_time: string, value: string>>>>"

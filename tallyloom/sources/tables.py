@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.sources.schemas import RAW_TABLES
+from tallyloom.sources.schemas import EVENT_TABLES, INVENTORY_TABLES, RAW_TABLES
 
 
 def attach_ingested_at(df: DataFrame, at: Column | None = None) -> DataFrame:
@@ -24,16 +24,18 @@ def read_sources(
 ) -> dict[str, DataFrame]:
     """The raw tables below ``root`` as lazy frames under their declared schemas.
 
-    ``missing='empty'`` reads a table that was never landed as one without rows.
+    ``missing='empty'`` reads a table that was never landed as one without rows. Live
+    event tables and the video inventory are read when they are named.
     """
+    schemas = {**RAW_TABLES, **EVENT_TABLES, **INVENTORY_TABLES}
 
     def read(name: str) -> DataFrame:
         try:
-            return spark.read.schema(RAW_TABLES[name]).parquet(f"{root.rstrip('/')}/{name}")
+            return spark.read.schema(schemas[name]).parquet(f"{root.rstrip('/')}/{name}")
         except AnalysisException as e:
             if missing != "empty" or e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return spark.createDataFrame([], RAW_TABLES[name])
+            return spark.createDataFrame([], schemas[name])
 
     return {name: read(name) for name in names}
 

@@ -2,6 +2,7 @@
 
 from tallyloom.streaming.live import (
     activity_sessions,
+    first_deliveries,
     latest_upserts,
     normalize_live_events,
     session_kpis,
@@ -20,6 +21,7 @@ from tallyloom.streaming.reports import (
 
 __all__ = [
     "activity_sessions",
+    "first_deliveries",
     "latest_upserts",
     "normalize_live_events",
     "recent_comments",

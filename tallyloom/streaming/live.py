@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tallyloom.operators import dedup_earliest, dedup_latest
 from tallyloom.plans.staging import map_live_columns, type_live_columns
@@ -35,6 +36,9 @@ def stream_dedup(
 ) -> DataFrame:
     """Drop repeated deliveries of an event that arrive within ``delay``.
 
+    For figures that must follow events closely. First deliveries later than ``delay`` are
+    lost, so events are landed without this step, and landed rows are deduplicated in batch.
+
     An id delivered very often would send all copies to one task. With ``hot_splits``
     copies are first dropped per (id, input partition bucket), so at most that many
     reach the final step.
@@ -49,12 +53,21 @@ def stream_dedup(
     return out.dropDuplicatesWithinWatermark([id_col])
 
 
-def normalize_live_events(df: DataFrame, delay: str = WATERMARK) -> DataFrame:
-    """Typed events, one row per event id; the first delivery in a batch, any in a stream."""
-    if df.isStreaming:
-        return type_live_columns(map_live_columns(stream_dedup(df, delay=delay)))
-    ties = ["event_ts", "session_id", "event_type"]
-    return type_live_columns(map_live_columns(dedup_earliest(df, ["event_id"], "ingested_at", ties)))
+def normalize_live_events(df: DataFrame) -> DataFrame:
+    """Typed events; in a batch one row per event id, the first delivery.
+
+    A stream cannot know the first delivery before the last one is in, so it keeps all of
+    them and no state. ``first_deliveries`` over what it has landed gives the batch's rows,
+    whatever the order of arrival.
+    """
+    typed = type_live_columns(map_live_columns(df))
+    return typed if df.isStreaming else first_deliveries(typed)
+
+
+def first_deliveries(rows: DataFrame) -> DataFrame:
+    """One row per event id of normalised events: the earliest ingested, then the smallest."""
+    ties = ["stream_session_id", "event_type", "username", "content", "value"]
+    return dedup_earliest(rows, ["event_id"], "ingested_at", ties)
 
 
 def session_kpis(df: DataFrame) -> DataFrame:
@@ -220,5 +233,6 @@ def upsert_batches(
 
 def latest_upserts(spark: SparkSession, path: str, schema, keys: list[str]) -> DataFrame:
     """Newest row per key of a folder written by ``upsert_batches``."""
-    rows = spark.read.schema(schema.add("batch_id", "long")).parquet(path)
+    stored = StructType([*schema.fields, StructField("batch_id", LongType())])
+    rows = spark.read.schema(stored).parquet(path)
     return dedup_latest(rows, keys, "batch_id").drop("batch_id")

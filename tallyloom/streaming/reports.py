@@ -30,11 +30,11 @@ def recent_comments(df: DataFrame, n: int = 8, event_type: str = "comment") -> D
 
 
 def viewer_curve(
-    df: DataFrame, step: int = 5, min_rows: int = 5, split_unit: str = "hour"
+    df: DataFrame, step: int = 5, min_rows: int = 5, split_unit: str = "minute"
 ) -> DataFrame:
     """Every ``step``-th viewer reading of a session as (HH:mm, viewers).
 
-    A session is numbered hour by hour (``split_unit``), so a long or busy one is
+    A session is numbered minute by minute (``split_unit``), so a long or busy one is
     spread over many tasks.
     """
     readings = df.where(F.col("event_type") == "viewer_count").select(

@@ -326,13 +326,13 @@ def q_flatten_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
     "flatten_feed",
     f"""
     select 'page_' || cast(doc_id as varchar) as post_id,
-           case when doc_id % 7 = 6 then '' else left(text, 500) end as message,
+           case when doc_id % 7 = 6 then '' else text end as message,
            cast(date '2024-01-01' + cast(doc_id % 300 as int) as varchar) as created_time,
            case doc_id % 3 when 0 then 'photo' end as content_type, {_STAMP}
     from documents""",
 )
 def q_flatten_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole texts go in; the feed reader's own limit of 500 characters is the feature."""
+    """Whole texts go in and come out."""
     path = scratch_path(spark, "feed")
     doc, text = F.col("doc_id"), F.col("text")
     day = F.date_add(F.lit("2024-01-01").cast("date"), (doc % 300).cast("int"))
@@ -361,12 +361,12 @@ def q_flatten_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "flatten_channel",
     f"""
-    select 'UC' || cast(c_custkey as varchar) as channel_id, c_name as channel_title,
+    select prefix || cast(c_custkey as varchar) as channel_id, c_name as channel_title,
            case when c_custkey % 9 <> 0 then cast(c_custkey * 3 as varchar) end
                as subscriber_count,
            cast(c_custkey * 1000 as varchar) as view_count,
            cast(c_nationkey as varchar) as video_count, {_STAMP}
-    from customer""",
+    from customer, (values ('UC'), ('other')) p(prefix)""",
 )
 def q_flatten_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "channel")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import gift_value
@@ -17,6 +17,7 @@ from tallyloom.sources import (
 from tallyloom.sources.schemas import TIKTOK_LIVE_EVENTS, YOUTUBE_LIVE_EVENTS
 from tallyloom.streaming import (
     activity_sessions,
+    first_deliveries,
     latest_upserts,
     normalize_live_events,
     recent_comments,
@@ -120,20 +121,30 @@ def q_normalize_live_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "normalize_live_events_stream",
-    over_events(
-        """
-    select event_id, event_type, nullif(trim(username), '') as username,
-           nullif(trim(comment_text), '') as content,
-           coalesce(like_count, viewer_count, diamond_count) as value,
-           session_id as stream_session_id, event_type = 'gift' as is_gift
-    from once"""
-    ),
+    over_models(["stg_tiktok_livestream"], "select * from stg_tiktok_livestream"),
 )
 def normalize_live_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = stream_events(spark, _landed(spark, sf_dir), TIKTOK_LIVE_EVENTS)
-    return _drained(normalize_live_events(stream), "normalized").select(
-        "event_id", "event_type", "username", "content", "value", "stream_session_id", "is_gift"
-    )
+    """Later deliveries land first; all columns of the earliest one come out."""
+    path = scratch_path(spark, "live-events")
+    every = raw_frame(spark, sf_dir, TIKTOK)
+    second = F.row_number().over(Window.partitionBy("event_id").orderBy("ingested_at")) > 1
+    ranked = every.withColumn("later", second)
+    for later in (True, False):
+        write_event_jsonl(ranked.where(F.col("later") == later).drop("later"), path)
+    stream = stream_events(spark, path, TIKTOK_LIVE_EVENTS, max_files=4)
+    return first_deliveries(_drained(normalize_live_events(stream), "normalized"))
+
+
+@query("late_events_landed", over_events("\n    select * from once"))
+def late_events_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third event arrives after all others, up to months late; none is lost."""
+    path = scratch_path(spark, "late-events")
+    every = raw_frame(spark, sf_dir, TIKTOK)
+    late = F.pmod(F.xxhash64("event_id"), F.lit(3)) == 0
+    for chosen in (~late, late):
+        write_event_jsonl(every.where(chosen), path)
+    stream = stream_events(spark, path, TIKTOK_LIVE_EVENTS, max_files=2)
+    return dedup_earliest(_drained(stream, "late-events"), ["event_id"], "ingested_at")
 
 
 @query("sink_events", over_models([YOUTUBE], f"select * from {YOUTUBE}"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions import (
@@ -762,19 +762,25 @@ def q_extract_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- joins ------------------------------------------------------------------------
 
+# Dates are moved to every third day, so that the series has gaps.
 _DAY_TOTALS = """
-    select cast(o_orderdate as date) as day, count(*) as orders,
+    select date '1992-01-01' + cast(3 * (cast(o_orderdate as date) - date '1992-01-01') as int) as day,
+           count(*) as orders,
            cast(sum(cast(round(o_totalprice * 100) as bigint)) as bigint) as cents
-    from orders where o_orderpriority = '1-URGENT' group by all"""
+    from orders group by all"""
 
 
 def _cents(col: str):
     return F.round(F.col(col) * 100).cast("bigint")
 
 
-def _urgent_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    urgent = table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT")
-    return urgent.groupBy(F.col("o_orderdate").cast("date").alias("day")).agg(
+def _spread_day() -> Column:
+    start = F.lit("1992-01-01").cast("date")
+    return F.date_add(start, 3 * F.datediff(F.col("o_orderdate").cast("date"), start)).alias("day")
+
+
+def _spread_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").groupBy(_spread_day()).agg(
         F.count("*").alias("orders"), F.sum(_cents("o_totalprice")).alias("cents")
     )
 
@@ -784,13 +790,12 @@ def _urgent_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
     with daily as ({_DAY_TOTALS}),
     days as (select cast(unnest(generate_series(
-                 (select min(cast(o_orderdate as date)) from orders),
-                 (select max(cast(o_orderdate as date)) from orders), interval 1 day)) as date) as day)
+                 (select min(day) from daily), (select max(day) from daily), interval 1 day)) as date) as day)
     select days.day, orders, cents from days left join daily on daily.day = days.day""",
 )
 def q_join_left_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("day"))
-    return join_left_spine(date_spine(days, "day"), _urgent_days(spark, sf_dir), ["day"])
+    days = table(spark, sf_dir, "orders").select(_spread_day())
+    return join_left_spine(date_spine(days, "day"), _spread_days(spark, sf_dir), ["day"])
 
 
 @query(
@@ -799,18 +804,16 @@ def q_join_left_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     select p_partkey, p_brand, count(l_orderkey) as lines,
            cast(ifnull(sum(cast(l_quantity as bigint)), 0) as bigint) as quantity,
            cast(max(l_shipdate) as date) as last_ship
-    from part left join (select * from lineitem where l_returnflag = 'R') on l_partkey = p_partkey
+    from part left join lineitem on l_partkey + l_partkey % 2 = p_partkey
     group by all""",
 )
 def q_join_left_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    returned = (
-        table(spark, sf_dir, "lineitem")
-        .where(F.col("l_returnflag") == "R")
-        .withColumnRenamed("l_partkey", "p_partkey")
-    )
+    """Lines are moved to even parts, so that odd ones have none."""
+    part = F.col("l_partkey") + F.col("l_partkey") % 2
+    lines = table(spark, sf_dir, "lineitem").withColumn("p_partkey", part)
     return join_left_enrich(
         table(spark, sf_dir, "part").select("p_partkey", "p_brand"),
-        returned,
+        lines,
         "p_partkey",
         [
             F.count("*").alias("lines"),

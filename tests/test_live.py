@@ -9,6 +9,7 @@ from tallyloom.sources import read_event_jsonl, sink_events, write_event_jsonl
 from tallyloom.sources.schemas import TIKTOK_LIVE_EVENTS, YOUTUBE_LIVE_EVENTS
 from tallyloom.streaming import (
     activity_sessions,
+    first_deliveries,
     latest_upserts,
     normalize_live_events,
     recent_comments,
@@ -96,7 +97,7 @@ def test_reports(events, data):
         ("a", "10:00", 3), ("a", "10:02", 0), ("a", "10:05", 10),
         ("b", "10:00", 0), ("b", "10:00", 1), ("b", "10:00", 2), ("b", "10:00", 3),
     ]
-    assert rows(viewer_curve(events, split_unit="minute")) == rows(viewer_curve(events))
+    assert rows(viewer_curve(events, split_unit="hour")) == rows(viewer_curve(events))
 
 
 def test_session_report(events):
@@ -202,4 +203,31 @@ def test_normalize_stream_equals_batch(spark, tmp_path, events, landed):
     out = str(tmp_path / "out")
     sink_events(stream, out, str(tmp_path / "cp"), None, "parquet").awaitTermination()
     batch = normalize_live_events(events.unionByName(events))
-    assert rows(spark.read.parquet(out)) == rows(batch)
+    assert rows(first_deliveries(spark.read.parquet(out))) == rows(batch)
+
+
+def test_earliest_delivery_wins_whatever_the_order(spark, tmp_path):
+    """The copy ingested just before midnight lands last, and an hour late."""
+    late, early = datetime(2024, 1, 2, 0, 0, 2), datetime(2024, 1, 1, 23, 59, 59)
+    names = [None] * 8
+    deliveries = [
+        [("e0", "a", "like", START, late, *names), ("e1", "a", "like", START + timedelta(hours=2), late, *names)],
+        [("e0", "a", "like", START, early, *names), ("e2", "a", "like", START + timedelta(minutes=5), late, *names)],
+    ]
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for part in deliveries:
+        write_event_jsonl(spark.createDataFrame(part, TIKTOK_LIVE_EVENTS).coalesce(1), source)
+    stream = normalize_live_events(stream_events(spark, source, TIKTOK_LIVE_EVENTS, max_files=1))
+    sink_events(stream, out, str(tmp_path / "cp"), None, "parquet").awaitTermination()
+    got = {r.event_id: r for r in first_deliveries(spark.read.parquet(out)).collect()}
+    assert set(got) == {"e0", "e1", "e2"}
+    assert (str(got["e0"].event_date), got["e0"].event_hour) == ("2024-01-01", 23)
+
+
+def test_latest_upserts_leaves_the_schema_alone(spark, tmp_path, events, landed):
+    out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
+    stream = windowed_activity(stream_events(spark, landed, TIKTOK_LIVE_EVENTS))
+    upsert_batches(stream, out, cp).awaitTermination()
+    schema, keys = stream.schema, ["window_start", "session_id", "event_type"]
+    first = rows(latest_upserts(spark, out, schema, keys))
+    assert rows(latest_upserts(spark, out, schema, keys)) == first and "batch_id" not in schema.names
