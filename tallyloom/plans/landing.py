@@ -14,6 +14,7 @@ from tallyloom.plans.refresh import THREADS
 from tallyloom.sources import (
     append_raw,
     attach_ingested_at,
+    attach_row_key,
     flatten_channel,
     flatten_comments,
     flatten_feed,
@@ -124,6 +125,8 @@ def land_batch(
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             return "missing"
+        if table in S.KEYED_TABLES:
+            rows = attach_row_key(rows)
         return "appended" if append_raw(rows, f"{raw_root.rstrip('/')}/{table}") else "empty"
 
     with ThreadPoolExecutor(THREADS) as pool:

@@ -75,9 +75,9 @@ def stg_facebook_posts(raw: Raw) -> DataFrame:
         F.col("created_time").cast("date").alias("post_date"),
         default_nulls("content_type", "unknown").alias("content_type"),
         _ingested(),
+        "row_key",
     )
-    ties = ["post_date", "content_type", "post_message"]
-    return dedup_latest(typed, ["post_id"], "ingested_at", ties)
+    return dedup_latest(typed, ["post_id"], "ingested_at", ["row_key"]).drop("row_key")
 
 
 def youtube_channel_rows(raw: Raw) -> DataFrame:
@@ -115,9 +115,9 @@ def stg_youtube_videos(raw: Raw) -> DataFrame:
         "default_language",
         "tags_raw",
         _ingested(),
+        "row_key",
     )
-    ties = [c for c in typed.columns if c not in ("video_id", "ingested_at")]
-    return dedup_latest(typed, ["video_id"], "ingested_at", ties)
+    return dedup_latest(typed, ["video_id"], "ingested_at", ["row_key"]).drop("row_key")
 
 
 def stg_youtube_comments(raw: Raw) -> DataFrame:
@@ -128,9 +128,10 @@ def stg_youtube_comments(raw: Raw) -> DataFrame:
         default_nulls(to_bigint("like_count"), 0).alias("like_count"),
         F.col("published_at").cast("date").alias("published_at"),
         _ingested(),
+        "row_key",
     )
     keys = ["video_id", "comment_author", "published_at"]
-    return dedup_latest(typed, keys, "ingested_at", ["like_count", "comment_text"])
+    return dedup_latest(typed, keys, "ingested_at", ["row_key"]).drop("row_key")
 
 
 def stg_tiktok_followers(raw: Raw) -> DataFrame:
@@ -177,8 +178,7 @@ def stg_tiktok_live_comments(raw: Raw) -> DataFrame:
 
 def stg_tiktok_posts(raw: Raw) -> DataFrame:
     rows = raw["tiktok_posts"]
-    ties = ["likes_raw", "visibility_raw", "location_raw", "title_raw"]
-    latest = dedup_latest(rows, ["date_raw", "sound_raw"], "ingested_at", ties)
+    latest = dedup_latest(rows, ["date_raw", "sound_raw"], "ingested_at", ["row_key"])
     return latest.select(
         surrogate_key("date_raw", "sound_raw").alias("post_id"),
         regexp_or_null("date_raw", rf"^({_DAY})").cast("date").alias("post_date"),
@@ -196,7 +196,7 @@ def stg_tiktok_posts(raw: Raw) -> DataFrame:
 def stg_tiktok_watch_live_history(raw: Raw) -> DataFrame:
     rows = raw["tiktok_watch_live_history"]
     keys = ["watched_at_raw", "link_raw"]
-    latest = dedup_latest(rows, keys, "ingested_at", ["raw_comments_blob"])
+    latest = dedup_latest(rows, keys, "ingested_at", ["row_key"])
     return latest.select(
         surrogate_key(*keys).alias("watch_id"),
         F.col("watched_at_raw").cast("timestamp").alias("watched_at"),

@@ -27,11 +27,17 @@ from tallyloom.sources.sinks import (
     sink_events,
     write_event_jsonl,
 )
-from tallyloom.sources.tables import attach_ingested_at, read_event_jsonl, read_sources
+from tallyloom.sources.tables import (
+    attach_ingested_at,
+    attach_row_key,
+    read_event_jsonl,
+    read_sources,
+)
 
 __all__ = [
     "append_raw",
     "attach_ingested_at",
+    "attach_row_key",
     "flatten_channel",
     "flatten_comments",
     "flatten_feed",

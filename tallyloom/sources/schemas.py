@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-# Raw tables: append-only, with repeated batches.
+# Raw tables: append-only, with repeated batches. A row key is a hash of the row's values,
+# made once when it lands, so that choosing between rows of one time reads no texts.
 RAW_TABLES: dict[str, str] = {
     "facebook": "METRIC string, DATE string, VALUE string, ingested_at timestamp",
     "facebook_csv_insights": "date date, value bigint, metric_name string, ingested_at timestamp",
     "facebook_posts": (
         "post_id string, message string, created_time string, content_type string, "
-        "ingested_at timestamp"
+        "ingested_at timestamp, row_key string"
     ),
     "tiktok_followers": "followed_at_raw string, username string, ingested_at timestamp",
     "tiktok_live_history": (
@@ -20,10 +21,10 @@ RAW_TABLES: dict[str, str] = {
     ),
     "tiktok_posts": (
         "date_raw string, likes_raw string, visibility_raw string, sound_raw string, "
-        "location_raw string, title_raw string, ingested_at timestamp"
+        "location_raw string, title_raw string, ingested_at timestamp, row_key string"
     ),
     "tiktok_watch_live_history": (
-        "watched_at_raw string, link_raw string, raw_comments_blob string, ingested_at timestamp"
+        "watched_at_raw string, link_raw string, raw_comments_blob string, ingested_at timestamp, row_key string"
     ),
     "youtube_channel": (
         "channel_id string, channel_title string, subscriber_count string, view_count string, "
@@ -31,17 +32,19 @@ RAW_TABLES: dict[str, str] = {
     ),
     "youtube_comments": (
         "video_id string, author string, comment string, like_count bigint, published_at string, "
-        "ingested_at timestamp"
+        "ingested_at timestamp, row_key string"
     ),
     "youtube_videos": (
         "video_id string, title string, published_at string, view_count string, "
         "like_count string, comment_count string, favorite_count string, duration_raw string, "
         "duration_seconds bigint, caption string, definition string, "
         "live_broadcast_content string, category_id string, default_language string, "
-        "tags_raw string, ingested_at timestamp"
+        "tags_raw string, ingested_at timestamp, row_key string"
     ),
 }
 
+KEYED_TABLES = [name for name, schema in RAW_TABLES.items() if schema.endswith("row_key string")]
+
 # Live events. The first five columns are required; a not_null test checks that,
 # because file reads make every column nullable.
 EVENT_REQUIRED = ["event_id", "session_id", "event_type", "event_ts", "ingested_at"]

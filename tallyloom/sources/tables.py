@@ -16,6 +16,13 @@ def attach_ingested_at(df: DataFrame, at: Column | None = None) -> DataFrame:
     return df.withColumn("ingested_at", F.current_timestamp() if at is None else at)
 
 
+def attach_row_key(df: DataFrame) -> DataFrame:
+    """A hash of all values but the ingest time."""
+    values = [c for c in df.columns if c not in ("ingested_at", "row_key")]
+    filled = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in values]
+    return df.withColumn("row_key", F.md5(F.concat_ws("|", *filled).cast("binary")))
+
+
 def read_sources(
     spark: SparkSession,
     root: str,

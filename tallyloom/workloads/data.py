@@ -11,6 +11,8 @@ import string
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyloom.sources.schemas import KEYED_TABLES, RAW_TABLES
+
 # Schemas of the test tables, declared so that reading one runs no job.
 TABLE_SCHEMAS: dict[str, str] = {
     "region": "r_regionkey int, r_name string",
@@ -320,6 +322,21 @@ RAW_SQL: dict[str, str] = {
 }
 
 
+# Columns of the row key, in the order in which the projection has them.
+KEYED = {
+    name: [c.split()[0] for c in RAW_TABLES[name].split(", ") if c.split()[0] not in ("ingested_at", "row_key")]
+    for name in KEYED_TABLES
+}
+
+
+def raw_sql(name: str) -> str:
+    """The projection, with a row key where the raw table has one."""
+    if name not in KEYED:
+        return RAW_SQL[name]
+    values = ", ".join(f"coalesce(cast({c} as string), '~')" for c in KEYED[name])
+    return f"select *, md5(concat_ws('|', {values})) as row_key from ({RAW_SQL[name]}) as landed"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -331,9 +348,9 @@ def project(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
 
 
 def raw_frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return project(spark, sf_dir, RAW_SQL[name])
+    return project(spark, sf_dir, raw_sql(name))
 
 
 def raw_cte(name: str) -> str:
     """The projection as the checking engine reads it."""
-    return RAW_SQL[name].format(**{t: t for t in TABLES})
+    return raw_sql(name).format(**{t: t for t in TABLES})

@@ -86,8 +86,7 @@ MODEL_SQL: dict[str, tuple[list[str], str]] = {
                cast(created_time as date) as post_date,
                ifnull(content_type, 'unknown') as content_type, ingested_at
         from facebook_posts
-        qualify {newest('post_id', 'created_time', "ifnull(content_type, 'unknown')",
-                        "ifnull(message, '')")}""",
+        qualify {newest('post_id', 'row_key')}""",
     ),
     "youtube_channel_rows": (
         ["youtube_channel"],
@@ -119,10 +118,9 @@ MODEL_SQL: dict[str, tuple[list[str], str]] = {
                    lower(ifnull(live_broadcast_content, 'none')) as live_broadcast_content,
                    lower(ifnull(definition, 'unknown')) as definition,
                    lower(ifnull(caption, 'false')) as caption,
-                   category_id, default_language, tags_raw, ingested_at
+                   category_id, default_language, tags_raw, ingested_at, row_key
             from youtube_videos)
-        select * from typed
-        qualify {newest('video_id', 'video_title', 'published_at', 'view_count', 'like_count')}""",
+        select * exclude (row_key) from typed qualify {newest('video_id', 'row_key')}""",
     ),
     "stg_youtube_comments": (
         ["youtube_comments"],
@@ -131,11 +129,10 @@ MODEL_SQL: dict[str, tuple[list[str], str]] = {
             select video_id, ifnull(author, 'anonymous') as comment_author,
                    ifnull(comment, '') as comment_text,
                    ifnull(like_count, 0) as like_count,
-                   cast(published_at as date) as published_at, ingested_at
+                   cast(published_at as date) as published_at, ingested_at, row_key
             from youtube_comments)
-        select * from typed
-        qualify {newest('video_id, comment_author, published_at', 'like_count',
-                        'comment_text')}""",
+        select * exclude (row_key) from typed
+        qualify {newest('video_id, comment_author, published_at', 'row_key')}""",
     ),
     "stg_tiktok_followers": (
         ["tiktok_followers"],
@@ -196,8 +193,7 @@ MODEL_SQL: dict[str, tuple[list[str], str]] = {
         f"""
         with picked as (
             select * from tiktok_posts
-            qualify {newest('date_raw, sound_raw', 'likes_raw', 'visibility_raw',
-                            'location_raw', 'title_raw')})
+            qualify {newest('date_raw, sound_raw', 'row_key')})
         select md5(ifnull(date_raw, '') || '|' || ifnull(sound_raw, '')) as post_id,
                cast(left(date_raw, 10) as date) as post_date,
                cast(left(date_raw, 19) as timestamp) as posted_at,
@@ -217,7 +213,7 @@ MODEL_SQL: dict[str, tuple[list[str], str]] = {
                    '\\[[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}')) as bigint) as comments_sent,
                raw_comments_blob as comments_raw, ingested_at
         from tiktok_watch_live_history
-        qualify {newest('watched_at_raw, link_raw', 'raw_comments_blob')}""",
+        qualify {newest('watched_at_raw, link_raw', 'row_key')}""",
     ),
     "mart_facebook_insights": (
         ["stg_facebook_insights"],

@@ -15,13 +15,22 @@ from tallyloom.plans.refresh import (
 )
 from tallyloom.plans.staging import STAGING_MODELS
 from tallyloom.plans.suite import SUITE
-from tallyloom.sources.schemas import EVENT_TABLES, RAW_TABLES
+from tallyloom.sources import attach_row_key
+from tallyloom.sources.schemas import EVENT_TABLES, INVENTORY_TABLES, KEYED_TABLES, RAW_TABLES
 from tests.conftest import rows
 
 T1 = datetime(2024, 1, 10, 6)
 T2 = T1 + timedelta(days=1)
 SCHEMAS = {**RAW_TABLES, **EVENT_TABLES}
 
+
+def landed(spark, name, data):
+    """Rows as they land: with a row key where the table has one."""
+    if name not in KEYED_TABLES:
+        return spark.createDataFrame(data, SCHEMAS[name])
+    return attach_row_key(spark.createDataFrame(data, SCHEMAS[name].removesuffix(", row_key string")))
+
+
 RAW = {
     "facebook": [
         ("page_follows", "2024-01-03", "100", T1),
@@ -89,7 +98,7 @@ RAW = {
 @pytest.fixture(scope="module")
 def built(spark):
     return ModelFrames(
-        lambda name: spark.createDataFrame(RAW[name], SCHEMAS[name]), as_of=date(2024, 1, 11)
+        lambda name: landed(spark, name, RAW[name]), as_of=date(2024, 1, 11)
     )
 
 
@@ -100,7 +109,7 @@ def pick(df, *cols):
 def test_inventory():
     assert len(STAGING_MODELS) == 11 and len(MART_MODELS) == 12
     assert {n for wave in WAVES for n in wave if n in MART_MODELS} == set(MART_MODELS)
-    assert set(BATCH) == set(RAW_TABLES)
+    assert set(BATCH) == {*RAW_TABLES, *INVENTORY_TABLES}
     counts = [sum(len(t.get(k, ())) for t in SUITE.values())
               for k in ("not_null", "unique", "accepted", "at_least_zero")]
     assert counts == [55, 9, 7, 13] and sum(len(t.get("warn", ())) for t in SUITE.values()) == 4
@@ -232,7 +241,7 @@ def test_scorecards(built):
 
 
 def test_everything_on_empty_input(spark):
-    empty = ModelFrames(lambda name: spark.createDataFrame([], SCHEMAS[name]))
+    empty = ModelFrames(lambda name: landed(spark, name, []))
     for name in (*STAGING_MODELS, *MART_MODELS):
         want = 3 if name in ("mart_social_overview", "mart_executive_summary") else 0
         assert empty[name].count() == want, name
@@ -244,7 +253,7 @@ def test_everything_on_empty_input(spark):
 @pytest.mark.parametrize("name", [n for n in STAGING_MODELS if n != "stg_tiktok_live_comments"])
 def test_a_repeated_batch_changes_nothing_but_its_time(spark, built, name):
     def again(table):
-        df = spark.createDataFrame(RAW[table], SCHEMAS[table])
+        df = landed(spark, table, RAW[table])
         if table == "raw_tiktok_live_events":
             return df.unionByName(df)
         return df.unionByName(df.withColumn("ingested_at", df.ingested_at + (T2 - T1) * 10))
@@ -255,12 +264,12 @@ def test_a_repeated_batch_changes_nothing_but_its_time(spark, built, name):
 
 def test_daily_run(spark, tmp_path):
     for table, data in RAW.items():
-        spark.createDataFrame(data, SCHEMAS[table]).write.parquet(str(tmp_path / "raw" / table))
+        landed(spark, table, data).write.parquet(str(tmp_path / "raw" / table))
     stored = refresh_marts(
         spark, str(tmp_path / "raw"), str(tmp_path / "marts"), date(2024, 1, 11), views=True
     )
     lazy = ModelFrames(
-        lambda name: spark.createDataFrame(RAW[name], SCHEMAS[name]), as_of=date(2024, 1, 11)
+        lambda name: landed(spark, name, RAW[name]), as_of=date(2024, 1, 11)
     )
     for name in MART_MODELS:
         assert rows(stored[name]) == rows(lazy[name]), name

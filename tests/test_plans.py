@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators import agg_global, join_cross_scalar, numbered, running_sum
 from tallyloom.plans.marts import MART_MODELS
 from tallyloom.plans.staging import STAGING_MODELS
+from tallyloom.sources.schemas import RAW_TABLES
 from tallyloom.streaming import session_kpis, top_engagers
 from tallyloom.workloads.data import raw_frame, table
 from tallyloom.workloads.models import models
@@ -77,6 +78,25 @@ def test_columns_are_pruned_to_the_scan(spark, sf_dir):
     assert schemas and all("lang" not in s and "source" not in s for s in schemas)
 
 
+@pytest.mark.parametrize(
+    "name, columns",
+    [
+        ("facebook_posts", {"post_id", "ingested_at", "row_key"}),
+        ("youtube_videos", {"video_id", "ingested_at", "row_key"}),
+        ("youtube_comments", {"video_id", "author", "published_at", "ingested_at", "row_key"}),
+        ("tiktok_posts", {"date_raw", "sound_raw", "ingested_at", "row_key"}),
+        ("tiktok_watch_live_history", {"watched_at_raw", "link_raw", "ingested_at", "row_key"}),
+    ],
+)
+def test_choosing_the_newest_row_reads_no_text(spark, sf_dir, tmp_path, name, columns):
+    path = str(tmp_path / name)
+    raw_frame(spark, sf_dir, name).limit(5).write.parquet(path)
+    stored = {name: spark.read.schema(RAW_TABLES[name]).parquet(path)}
+    text = plan(STAGING_MODELS[f"stg_{name}"](stored).agg(F.count("*")))
+    (scanned,) = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+    assert {c.split(":")[0] for c in scanned.split(",")} == columns
+
+
 def test_filters_reach_the_scan(spark, sf_dir):
     events = table(spark, sf_dir, "events").where(F.col("event_type") == "view")
     assert "EqualTo(event_type,view)" in plan(events)

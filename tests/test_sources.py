@@ -195,7 +195,8 @@ def test_video_and_channel_payloads(spark, tmp_path):
         ("v1", "t", "2024-01-01", "9", "0", 65, "a,b"),
         ("v2", None, "2024-01-02", "0", "0", None, None),
     ]
-    assert set(got.columns) == set(spark.createDataFrame([], S.RAW_TABLES["youtube_videos"]).columns)
+    landed = spark.createDataFrame([], S.RAW_TABLES["youtube_videos"]).columns
+    assert {*got.columns, "row_key"} == set(landed)
     other = tmp_path / "channel"
     other.mkdir()
     items = {"items": [{"id": "c", "snippet": {"title": "T"}, "statistics": {"viewCount": "1"}}]}
