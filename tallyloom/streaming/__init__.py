@@ -2,6 +2,7 @@
 
 from tallyloom.streaming.live import (
     activity_sessions,
+    closing_event,
     first_deliveries,
     latest_upserts,
     normalize_live_events,
@@ -21,6 +22,7 @@ from tallyloom.streaming.reports import (
 
 __all__ = [
     "activity_sessions",
+    "closing_event",
     "first_deliveries",
     "latest_upserts",
     "normalize_live_events",

@@ -197,16 +197,30 @@ def activity_sessions(
 ) -> DataFrame:
     """Sessions by a gap in time, for events that carry no session id.
 
-    On a stream this runs in append mode: a session comes out once it is closed.
+    On a stream this runs in append mode: a session comes out once it is closed. A row
+    without a key makes no session but moves event time on, so a source that has ended
+    closes its last sessions by one row that lies more than ``gap`` and ``delay`` later
+    (``closing_event``).
     """
     counted = (
         df.withWatermark("event_ts", delay)
         .groupBy(F.session_window("event_ts", gap).alias("w"), key)
         .agg(F.count("*").alias("events"))
     )
-    return counted.select(
+    sessions = counted.select(
         F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), key, "events"
     )
+    # The count keeps the condition above the watermark, which has to see rows without a key.
+    return sessions.where(F.col(key).isNotNull() | (F.col("events") < 0))
+
+
+def closing_event(df: DataFrame, after: str = "1 day") -> DataFrame:
+    """One row like those of ``df`` (a batch) with a later ``event_ts`` and nothing else."""
+    last = df.agg((F.max("event_ts") + F.expr(f"interval {after}")).alias("event_ts"))
+    rest = [
+        F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields if f.name != "event_ts"
+    ]
+    return last.where("event_ts is not null").select(*rest, "event_ts").select(*df.columns)
 
 
 def upsert_batches(

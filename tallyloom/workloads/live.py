@@ -17,6 +17,7 @@ from tallyloom.sources import (
 from tallyloom.sources.schemas import TIKTOK_LIVE_EVENTS, YOUTUBE_LIVE_EVENTS
 from tallyloom.streaming import (
     activity_sessions,
+    closing_event,
     first_deliveries,
     latest_upserts,
     normalize_live_events,
@@ -355,8 +356,8 @@ def q_viewer_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return viewer_windows(_once(spark, sf_dir))
 
 
-def _session_sql(closed_only: str = "") -> str:
-    return f"""
+def _session_sql() -> str:
+    return """
     with marked as (
         select user_id, ts, case when ts - lag(ts) over (partition by user_id order by ts)
                    < interval 30 minute then 0 else 1 end as fresh
@@ -365,7 +366,7 @@ def _session_sql(closed_only: str = "") -> str:
         select *, sum(fresh) over (partition by user_id order by ts) as session from marked)
     select min(ts) as session_start, max(ts) + interval 30 minute as session_end,
            user_id, count(*) as events
-    from numbered group by user_id, session {closed_only}"""
+    from numbered group by user_id, session"""
 
 
 def _by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -379,15 +380,12 @@ def q_activity_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return activity_sessions(_by_time(spark, sf_dir))
 
 
-@query(
-    "activity_sessions_stream",
-    _session_sql(
-        "having max(ts) + interval 30 minute <= (select max(ts) from events) - interval 10 minute"
-    ),
-)
+@query("activity_sessions_stream", _session_sql())
 def activity_sessions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Append mode: the sessions closed when the input ends, ten minutes of lateness allowed."""
+    """Append mode; a last row without a user closes the sessions that are open at the end."""
     path = scratch_path(spark, "user-events")
-    write_event_jsonl(_by_time(spark, sf_dir), path)
+    events = _by_time(spark, sf_dir)
+    write_event_jsonl(events, path)
+    write_event_jsonl(closing_event(events), path)
     schema = "event_id bigint, user_id bigint, event_ts timestamp"
     return _drained(activity_sessions(stream_events(spark, path, schema)), "sessions")
