@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import read
+from tallyloom.operators import join_cross_scalar
 
 SEED = "mix-1"
 #: Weight of a source by default: the number of its documents to this power.
@@ -41,7 +42,7 @@ def rates(docs: DataFrame, targets: DataFrame | None = None, power: float = POWE
         sizes = sizes.join(given, F.col("mix_source").eqNullSafe(F.col("target_source")), "left")
         sizes = sizes.withColumn("weight", F.coalesce(F.col("weight").cast("double"), F.lit(0.0)))
     total = sizes.agg(F.sum("weight").alias("all_weight"), F.sum("size").alias("all_size"))
-    return sizes.join(F.broadcast(total)).select(  # one row
+    return join_cross_scalar(sizes, total).select(
         "mix_source",
         F.when(F.col("all_weight") > 0, F.col("weight") / F.col("all_weight") * F.col("all_size") / F.col("size"))
         .otherwise(F.lit(0.0)).alias("rate"),

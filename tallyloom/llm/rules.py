@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import read, stored
+from tallyloom.operators import join_cross_scalar
 
 _GAP = "[\\x20\\x09-\\x0D]+"
 _WORD = "[^\\x20\\x09-\\x0D]"
@@ -129,8 +130,7 @@ def thresholds(counted: DataFrame, group_docs: int = GROUP_DOCS) -> DataFrame:
         return rows.groupBy(*by).agg(F.sum("docs").alias(prefix + "docs"), *merged)
 
     by_lang = wider(groups, ["lang"], "lang_")
-    overall = wider(groups.withColumn("all", F.lit(1)), ["all"], "all_")
-    wide = by_lang.withColumnRenamed("lang", "its_lang").withColumn("all", F.lit(1)).join(overall, "all")
+    wide = join_cross_scalar(by_lang.withColumnRenamed("lang", "its_lang"), wider(groups, [], "all_"))
     leveled = groups.join(wide, F.col("lang").eqNullSafe(F.col("its_lang")), "left")
     out = []
     for name, slack in SLACK.items():
