@@ -6,8 +6,9 @@
    order that all sets are sorted by. The order is by hash, with shingles that very many documents
    hold at the end; which those are changes the work, not the result. Prefixes go to shards of
    their hash as packed runs, so a member costs some ten bytes of shuffle.
-3. In a shard, all nodes that share a member are sent to the tile of the smallest of them. So any
-   two sets that can link meet in a tile. Tiles beyond ``tile_rows`` are split into blocks, and
+3. In a shard, the nodes that share a member are cut into chains of sizes that may link, and each
+   chain of two and more is sent to the tile of its smallest node. So any two sets that can link
+   meet in a tile. Tiles beyond ``tile_rows`` are split into blocks, and
    every two blocks meet.
 4. A tile streams its sets' bitmaps by ascending size. A set is compared with the ones not smaller
    than three quarters of it, kept per size band: the bits in which two bitmaps differ bound the
@@ -37,6 +38,9 @@ NUMERATOR, DENOMINATOR = 75, 100
 #: A shingle in this share of the documents comes last in the order; so many at most.
 COMMON_SHARE = 0.002
 COMMON_MOST = 200_000
+#: Sizes are told apart by factors of this; sizes that may link differ by SIZE_STEPS at most.
+SIZE_FACTOR = 1.05
+SIZE_STEPS = 7
 #: Documents whose prefixes one task of the candidate search takes, about.
 SHARD_DOCS = 6_000
 #: Sets of a tile beyond which it is split.
@@ -101,12 +105,12 @@ def _prefix(members: np.ndarray, common: np.ndarray) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, shared_common, shards: int) -> DataFrame:
-    """Packed runs of (member, doc_id) per batch and shard."""
+    """Packed runs of (member, doc_id, size step) per batch and shard."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, common = batch.column(0).to_pylist(), shared_common.value
         seen: set[bytes] = set()
-        members, owners = [], []
+        members, owners, sizes = [], [], []
         sets = _sets(batch.column(2).to_pylist())
         for i in sorted(range(len(ids)), key=ids.__getitem__):  # of equal sets the smallest doc_id
             key = sets[i].tobytes()
@@ -114,11 +118,14 @@ def _prefixes(docs: DataFrame, shared_common, shards: int) -> DataFrame:
                 seen.add(key)
                 members.append(_prefix(sets[i], common))
                 owners.append(ids[i])
+                sizes.append(int(np.log(len(sets[i])) / np.log(SIZE_FACTOR)))
+        lengths = [len(m) for m in members]
         flat = np.concatenate([*members, np.empty(0, np.uint64)])
-        owner = np.repeat(np.array(owners, np.int64), [len(m) for m in members])
+        owner = np.repeat(np.array(owners, np.int64), lengths)
+        size = np.repeat(np.array(sizes, "<u2"), lengths)
         shard = (mix(flat) % np.uint64(shards)).astype(np.int64)
         order = np.argsort(shard, kind="stable")
-        shard, flat, owner = shard[order], flat[order], owner[order]
+        shard, flat, owner, size = shard[order], flat[order], owner[order], size[order]
         first = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1])))[: len(shard)]
         spans = list(zip(first.tolist(), [*first[1:].tolist(), len(shard)], strict=True)) if len(shard) else []
         base = min(owners, default=0)
@@ -130,31 +137,38 @@ def _prefixes(docs: DataFrame, shared_common, shards: int) -> DataFrame:
                 pa.array([base] * len(spans), pa.int64()),
                 arrow_binary([flat[a:b].astype("<u8").tobytes() for a, b in spans]),
                 arrow_binary([offset[a:b].tobytes() for a, b in spans]),
+                arrow_binary([size[a:b].tobytes() for a, b in spans]),
             ],
-            ["shard", "base", "members", "offsets"],
+            ["shard", "base", "members", "offsets", "sizes"],
         )
 
-    return map_batches(docs, run, "shard long, base long, members binary, offsets binary")
+    return map_batches(docs, run, "shard long, base long, members binary, offsets binary, sizes binary")
 
 
 def _meet(runs: DataFrame) -> DataFrame:
-    """In each shard, every node that shares a member with another, and the smallest of them."""
+    """Every node that shares a member with others of like size, and the smallest of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        members, owners = [], []
+        members, owners, sizes = [], [], []
         for batch in batches:
-            for base, packed, offsets in zip(*(batch.column(j).to_pylist() for j in (1, 2, 3)), strict=True):
+            for base, packed, offsets, steps in zip(
+                *(batch.column(j).to_pylist() for j in (1, 2, 3, 4)), strict=True
+            ):
+                sizes.append(np.frombuffer(steps, "<u2"))
                 members.append(np.frombuffer(packed, "<u8"))
                 kind = "<u4" if len(offsets) < len(packed) else "<u8"
                 owners.append(np.frombuffer(offsets, kind).astype(np.int64) + base)
         if not members:
             return
-        m, o = np.concatenate(members), np.concatenate(owners)
-        order = np.lexsort((o, m))
-        m, o = m[order], o[order]
-        start = np.flatnonzero(np.concatenate(([True], m[1:] != m[:-1])))
+        m, o, s = np.concatenate(members), np.concatenate(owners), np.concatenate(sizes).astype(np.int32)
+        if not len(m):
+            return
+        order = np.lexsort((s, m))
+        m, o, s = m[order], o[order], s[order]
+        fresh = (m[1:] != m[:-1]) | (s[1:] - s[:-1] > SIZE_STEPS)
+        start = np.flatnonzero(np.concatenate(([True], fresh)))
         size = np.diff(np.concatenate((start, [len(m)])))
-        hub = np.repeat(o[start], size)
+        hub = np.repeat(np.minimum.reduceat(o, start), size)
         kept = np.repeat(size > 1, size)
         pairs = np.unique(np.stack((o[kept], hub[kept]), axis=1), axis=0)
         for at in range(0, len(pairs), 1 << 16):
