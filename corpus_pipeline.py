@@ -41,11 +41,11 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Every document stays, with its kept words joined by blanks and n_chars counted anew; a text
     from which nothing is cut stays as it is, and a null text stays null.
     """
-    cut = substring.cut_repeats(docs, keep=docs.columns)
+    cut = substring.cut_repeats(docs, keep=[c for c in docs.columns if c != "text"])
     changed = F.col("n_removed") > 0
     return cut.select(
         *[
-            F.when(changed, F.col("kept_text")).otherwise(F.col("kept.text")).alias("text") if c == "text"
+            F.when(changed, F.col("kept_text")).otherwise(F.col("text")).alias("text") if c == "text"
             else F.when(changed, F.length("kept_text").cast("long")).otherwise(F.col("kept.n_chars")).alias("n_chars")
             if c == "n_chars"
             else F.col(f"kept.`{c}`").alias(c)

@@ -197,8 +197,11 @@ def _stretches(units: DataFrame, window: int, index_words: int) -> DataFrame:
     return units.mapInArrow(run, "digest binary, low int, high int, other long")
 
 
-def _cut(packed: DataFrame) -> DataFrame:
-    """Kept words and counts per row; ``cuts`` are word ranges to remove, or null."""
+def _cut(packed: DataFrame, whole: bool = False) -> DataFrame:
+    """Kept words and counts per row; ``cuts`` are word ranges to remove, or null.
+
+    ``whole`` adds the text as it was.
+    """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, cuts = _unpack(batch.column(2).to_pylist()), batch.column(3).to_pylist()
@@ -217,12 +220,15 @@ def _cut(packed: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [
                 *batch.columns[:2], pa.array(kept, pa.string()),
-                pa.array(total, pa.int64()), pa.array(removed, pa.int64()), *batch.columns[4:],
+                pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
+                *([pa.array(texts, pa.string())] if whole else []), *batch.columns[4:],
             ],
-            ["doc_id", "row_key", "kept_text", "n_words", "n_removed", *batch.schema.names[4:]],
+            [*schema.names, *batch.schema.names[4:]],
         )
 
     schema = StructType.fromDDL("doc_id long, row_key long, kept_text string, n_words long, n_removed long")
+    if whole:
+        schema = schema.add("text", "string")
     return map_batches(packed, run, StructType([*schema.fields, *packed.schema.fields[4:]]))
 
 
@@ -234,7 +240,9 @@ def cut_repeats(
     hot_units: int = HOT_UNITS,
     index_words: int = INDEX_WORDS,
 ) -> DataFrame:
-    """One row per document: doc_id, row_key, kept_text, n_words, n_removed; ``keep`` as a struct, kept.
+    """One row per document: doc_id, row_key, kept_text, n_words, n_removed.
+
+    With ``keep`` also the text as it was, and the columns named there as a struct, kept.
 
     Words are runs of anything but ASCII white space. A word goes if a window of ``window`` words
     over it also starts in a document with a smaller doc_id, judged on the input. Rows that share a
@@ -296,7 +304,8 @@ def cut_repeats(
     return _cut(
         _pack(docs).join(cuts.hint("shuffle_hash"), ["doc_id", "row_key"], "left").select(
             "doc_id", "row_key", "packed", "cuts", *(["kept"] if keep else [])
-        )
+        ),
+        whole=bool(keep),
     )
 
 
