@@ -14,6 +14,9 @@ from tallyloom.session import scratch_path
 #: Rows of one Arrow batch. Texts are long, so a batch of ten thousand would not stay small.
 BATCH_ROWS = 512
 
+#: Bytes of one batch, on the way to Python and as it is handled there.
+BATCH_BYTES = 8 << 20
+
 #: ASCII white space: what separates words in every word-based operator here.
 SPACES = b" \t\n\x0b\x0c\r"
 
@@ -31,8 +34,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the rows of the batches that go to Python."""
+    """Bound the rows and the bytes of the batches that go to Python."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -56,10 +60,6 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
-#: Bytes of one batch handled at a time in Python.
-BATCH_BYTES = 8 << 20
-
-
 def _pieces(batch, fn):
     """Halves batches whose rows are very long until they are small or one row."""
     if batch.nbytes > BATCH_BYTES and batch.num_rows > 1:

@@ -33,11 +33,11 @@ from tallyloom.llm.common import (
 from tallyloom.llm.wavelet import WaveletMatrix
 
 #: Ids after which a shard is closed: bounds a row, and the memory of a task.
-SHARD_TOKENS = 1 << 20
+SHARD_TOKENS = 1 << 18
 #: Tokenizer files above this size are refused, as they are broadcast.
 MAX_TOKENIZER_BYTES = 64 << 20
 #: Pieces remembered per Python worker; two generations of this size.
-CACHE = 300_000
+CACHE = 150_000
 
 SHARD_SCHEMA = (
     "part int, shard int, bits int, n_docs long, n_tokens long, "
