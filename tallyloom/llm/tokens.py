@@ -37,7 +37,7 @@ SHARD_TOKENS = 1 << 18
 #: Tokenizer files above this size are refused, as they are broadcast.
 MAX_TOKENIZER_BYTES = 64 << 20
 #: Pieces remembered per Python worker; two generations of this size.
-CACHE = 150_000
+CACHE = 240_000
 
 SHARD_SCHEMA = (
     "part int, shard int, bits int, n_docs long, n_tokens long, "
