@@ -110,7 +110,7 @@ def _unit_texts(packed: DataFrame, window: int) -> DataFrame:
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         words, wanted = Words(_unpack(batch.column(2).to_pylist())), batch.column(3).to_pylist()
-        out: dict[str, list] = {k: [] for k in ("doc_id", "row_key", "start", "windows", "key", "digest", "words")}
+        out: dict[str, list] = {k: [] for k in ("doc_id", "row_key", "start", "windows", "hot", "key", "digest", "words")}
         for i in range(batch.num_rows):
             base = int(words.first[i])
             singles = None
@@ -123,16 +123,18 @@ def _unit_texts(packed: DataFrame, window: int) -> DataFrame:
                 for start, count, key in cuts:
                     text = words.text(base + start, base + start + count + window - 1)
                     digest = hashlib.blake2b(text, digest_size=16).digest()
-                    for k, v in zip(out, (ids[i], keys[i], start, count, key, digest, text), strict=True):
+                    for k, v in zip(out, (ids[i], keys[i], start, count, u["hot"], key, digest, text), strict=True):
                         out[k].append(v)
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+        kinds = (
+            pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.binary(), pa.binary()
+        )
         return pa.RecordBatch.from_arrays(
             [pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], list(out)
         )
 
     return map_batches(
         packed, run,
-        "doc_id long, row_key long, start int, windows int, key long, digest binary, words binary",
+        "doc_id long, row_key long, start int, windows int, hot boolean, key long, digest binary, words binary",
     )
 
 
@@ -279,10 +281,11 @@ def cut_repeats(
         "unit-texts",
     )
     units = (
-        occurrences.groupBy("key", "digest", "words", "windows")
+        occurrences.groupBy("key", "digest", "words", "windows", "hot")
         .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-        # A window on its own that one document has is like no other.
-        .where("windows > 1 or low < high")
+        # A hot anchor's units are all single windows, so one that a single document has is like no
+        # other. Elsewhere a unit of one window may lie inside a longer unit.
+        .where("not hot or low < high")
         .select("key", "digest", "words", "windows", "low", "high")
     )
     stretches = _stretches(

@@ -1,6 +1,7 @@
 """Substring dedup against a table of all windows."""
 
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,6 +58,27 @@ def test_shared_passages(spark, hot_units):
     assert result(cut_repeats(df, hot_units=hot_units, index_words=2_000)) == brute(rows)
 
 
+@pytest.mark.parametrize("hot_units", [2_000, 1])
+def test_exact_windows_inside_longer_texts(spark, hot_units):
+    """Texts of exactly one window, and passages at the first and last word, in both id orders."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(60):
+        words = rng.choice([50, 50, 50, 51, 57])
+        shared, at = passage(i, words), i % 3
+        before = "" if at == 0 else passage(1_000 + i, rng.randrange(1, 60))
+        after = "" if at == 2 else passage(2_000 + i, rng.randrange(1, 60))
+        texts = [shared, f"{before} {shared} {after}"]
+        if i % 5 == 0:  # both in a context of their own
+            texts[0] = f"{passage(3_000 + i, 40)} {shared}"
+        first = 2 * i
+        rows += zip((first, first + 1) if i % 2 else (first + 1, first), texts, strict=True)
+    df = spark.createDataFrame([(*r, *[None] * 8) for r in rows], DOCS).repartition(4)
+    want = brute(rows)
+    assert sum(r[2] > 0 for r in want) == 60
+    assert result(cut_repeats(df, hot_units=hot_units)) == want
+
+
 def test_query(spark, sf_dir, texts):
     from __spark_entry__ import queries
 
