@@ -3,6 +3,10 @@
 Each document gets counts and shares. Per language and source the shares go into mergeable
 quantile sketches; groups with few documents take the sketch merged over their language, and small
 languages the one merged over all. A share far above its group's usual spread fails the rule.
+Sketches take each text of a group once, and none that fails the base rule. Where the upper quartile
+itself is far above what the lower half suggests, the lower half alone gives the limit; so bad texts
+switch no rule off until they are half of the different texts of a group. From there on a group
+counts as being like that by nature.
 """
 
 from __future__ import annotations
@@ -24,7 +28,8 @@ REPEAT_PERCENT = 50
 SKETCH_SIZE = 1024
 #: Documents a group needs for thresholds of its own.
 GROUP_DOCS = 200
-#: A share fails above q75 + SPREADS * (q75 - q25), and never within SLACK of the median.
+#: A share fails above q75 + SPREADS * (q75 - q25), and never within SLACK of the median. If q75 fails
+#: with the upper half taken to be as wide as the lower one, that limit holds.
 SPREADS = 6.0
 SLACK = {"symbol_share": 0.05, "dup_line_share": 0.3, "repeat_share": 0.2, "word_length": 3.0}
 #: Repeated triples up to which membership is tested by scanning them.
@@ -116,13 +121,24 @@ def _share(name: str) -> Column:
     return F.coalesce(share, F.lit(0.0))
 
 
+def _base_failed() -> Column:
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
+
+
 def thresholds(counted: DataFrame, group_docs: int = GROUP_DOCS) -> DataFrame:
     """Per language and source the highest value of each share that passes: max_<share>.
 
-    Sketches are made once per group and merged for the wider levels.
+    Sketches are made once per group and merged for the wider levels. Rows of a group that share a
+    row_key and all counts are one; rows that fail the base rule are not counted. Without any other
+    rows the limits are null.
     """
-    sketch = [F.kll_sketch_agg_double(_share(n), F.lit(SKETCH_SIZE)).alias(n) for n in SHARES]
-    groups = counted.groupBy("lang", "source").agg(F.count("*").alias("docs"), *sketch)
+    parts = sorted({c for part, whole, _ in SHARES.values() for c in (part, whole)})
+    texts = counted.select("lang", "source", "row_key", *parts).distinct()
+    good = ~_base_failed()
+    sketch = [
+        F.kll_sketch_agg_double(F.when(good, _share(n)), F.lit(SKETCH_SIZE)).alias(n) for n in SHARES
+    ]
+    groups = texts.groupBy("lang", "source").agg(F.count_if(good).alias("docs"), *sketch)
     groups = stored(groups, "sketches")  # one row per language and source
 
     def wider(rows: DataFrame, by: list[str], prefix: str) -> DataFrame:
@@ -137,16 +153,19 @@ def thresholds(counted: DataFrame, group_docs: int = GROUP_DOCS) -> DataFrame:
         chosen = (
             F.when(F.col("docs") >= group_docs, F.col(name))
             .when(F.col("lang_docs") >= group_docs, F.col("lang_" + name))
-            .otherwise(F.col("all_" + name))
+            .when(F.col("all_docs") > 0, F.col("all_" + name))
         )
         low, mid, high = (F.kll_sketch_get_quantile_double(chosen, F.lit(q)) for q in (0.25, 0.5, 0.75))
-        out.append(F.greatest(high + SPREADS * (high - low), mid + slack).alias("max_" + name))
+        usual = F.greatest(high + SPREADS * (high - low), mid + slack)
+        # The same for a symmetric group, from its lower half alone.
+        lower = F.greatest(mid + (1 + 2 * SPREADS) * (mid - low), mid + slack)
+        out.append(F.when(high > lower, lower).otherwise(usual).alias("max_" + name))
     return leveled.select(F.col("lang").alias("group_lang"), F.col("source").alias("group_source"), *out)
 
 
 def verdicts(counted: DataFrame, limits: DataFrame) -> DataFrame:
     """Add base_failed and kept. A null language or source is a group like any other."""
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
+    failed = _base_failed()
     within = F.lit(True)
     for name in SHARES:
         within = within & (_share(name) <= F.col("max_" + name))

@@ -69,6 +69,34 @@ def test_adaptive_thresholds(spark):
     assert all(kept[i] for i in range(300)) and all(kept[1_000 + i] for i in range(300))
 
 
+@pytest.mark.parametrize("same", [True, False])
+def test_bad_copies_do_not_widen_limits(spark, same):
+    """A third of a source are bad copies, and far more than that if they are exact copies."""
+    rows = [(i, passage(i, 80), "en", "a") for i in range(600)]
+    for i in range(2_000 if same else 300):
+        text = passage(700 if same else 1_000 + i, 80 if same else 80 + i % 7)
+        rows.append((10_000 + i, text.replace("x", "<>&x"), "en", "a"))
+    rows.append((20_000, passage(900, 80).replace("x", "<>x"), "en", "a"))
+    df = spark.createDataFrame([(*r, *[None] * 6) for r in rows], DOCS)
+    kept = {r.doc_id: r.kept for r in rules.judge(df).collect()}
+    assert len(kept) == len(rows)
+    assert all(kept[r[0]] == (r[0] < 10_000) for r in rows)
+
+
+def test_base_failures_do_not_widen_limits(spark):
+    """Short and empty texts are left out of the sketches, also where a group has nothing else."""
+    rows = [(i, passage(i, 80), "en", "a") for i in range(250)]
+    rows += [(10_000 + i, f"word{i} <>&<>&<>&<>&<>&", "en", "a") for i in range(1_000)]
+    rows += [(20_000 + i, None if i % 2 else f"s{i}", "de", "b") for i in range(250)]
+    rows.append((30_000, passage(900, 80).replace("x", "<>&x"), "en", "a"))
+    df = spark.createDataFrame([(*r, *[None] * 6) for r in rows], DOCS)
+    kept = {r.doc_id: r.kept for r in rules.judge(df).collect()}
+    assert len(kept) == len(rows)
+    assert all(kept[r[0]] == (r[0] < 10_000) for r in rows)
+    alone = rules.judge(df.where("doc_id between 20000 and 29999")).collect()
+    assert len(alone) == 250 and not any(r.kept for r in alone)
+
+
 def test_query(spark, sf_dir, texts):
     from __spark_entry__ import queries
 
