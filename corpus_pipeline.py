@@ -60,8 +60,16 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The columns of documents and ids, little-endian unsigned 32-bit integers."""
-    return bpe.encode(docs, bpe.default_ranks())
+    """The columns of documents and ids, little-endian unsigned 32-bit integers.
+
+    The ids are decoded again; a text that does not come back byte for byte stops the job.
+    """
+    ranks = bpe.default_ranks()
+    both = bpe.decode(bpe.encode(docs, ranks), ranks, decoded="__decoded")
+    back = F.col("__decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    lost = F.raise_error(F.concat(F.lit("ids do not decode to the text of doc_id "), name))
+    return both.withColumn("ids", F.when(back, F.col("ids")).otherwise(lost.cast("binary"))).drop("__decoded")
 
 
 STAGES = [

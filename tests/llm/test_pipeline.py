@@ -1,5 +1,7 @@
 """Each stage of the corpus pipeline against brute force on its own input."""
 
+import base64
+
 import numpy as np
 import pytest
 
@@ -68,6 +70,18 @@ def test_byte_bpe(steps):
         assert np.frombuffer(r.ids, "<u4").tolist() == test_bpe.LIBRARY.encode_ordinary(r.text)
 
 
+def test_byte_bpe_decodes(spark, sf_dir, odd, tmp_path, monkeypatch):
+    """A vocabulary in which two bytes share an id loses texts; the stage has to notice."""
+    lossy = tmp_path / "lossy.tiktoken"
+    lossy.write_bytes(
+        b"".join(base64.b64encode(bytes([b])) + b" %d\n" % (b + (b == ord("n"))) for b in range(256))
+    )
+    monkeypatch.setattr(corpus_pipeline.bpe, "default_ranks", lambda: str(lossy))
+    with pytest.raises(Exception, match="ids do not decode to the text of doc_id 12"):
+        corpus_pipeline.byte_bpe(spark, odd.where("doc_id = 12"), sf_dir).collect()
+    assert corpus_pipeline.byte_bpe(spark, odd.where("doc_id = 1"), sf_dir).count() == 1
+
+
 def test_odd_rows(spark, sf_dir, odd, none):
     for name, stage in corpus_pipeline.STAGES:
         got = stage(spark, odd, sf_dir)
