@@ -5,7 +5,9 @@ words. A template is cut into every window of ``W`` shingles; W is 1 for templat
 ``LONG`` shingles and ``WINDOW`` else. A text is cut into windows of W shingles every half window.
 A copy of a long template then holds at least one of the text's windows whole, and the template
 has that very window, so all bands agree. For edited copies each window that keeps a similarity s
-meets with probability 1 - (1 - s) ** BANDS (0.996 at 0.75), for every window of the copy anew.
+meets with probability 1 - (1 - s) ** BANDS (0.996 at 0.75), as every band hashes the shingles anew.
+What the bands miss is found by single shingles: a text that holds the wanted share of a template's
+n shingles, m of them, holds one of any n - m + 1, so that many of each template are keys as well.
 All of it is DataFrame expressions on one row, so there is no shuffle before the matches.
 """
 
@@ -25,9 +27,6 @@ CONTAINED = 0.75
 #: Templates are literals of the plan; more are refused.
 MAX_TEMPLATES = 200
 
-#: One permutation of the hashes per band.
-_MASKS = [0x243F6A8885A308D3, 0x13198A2E03707344, 0x24093822299F31D0, 0x082EFA98EC4E6C89]
-
 # Notices by which works name their license.
 TEMPLATES = (
     ("apache-2.0-line", "Licensed under the Apache License, Version 2.0."),
@@ -87,18 +86,22 @@ def _window_keys(shingles: str, step: int) -> Column:
     def keys(start: Column) -> Column:
         window = F.slice(F.col(shingles), start + 1, F.lit(WINDOW))
         return F.array(*[
-            F.xxhash64(F.lit(band), F.array_min(F.transform(window, lambda x, m=mask: x.bitwiseXOR(F.lit(m)))))
-            for band, mask in enumerate(_MASKS[:BANDS])
+            F.xxhash64(F.lit(band), F.array_min(F.transform(window, lambda x, b=band: F.xxhash64(F.lit(b), x))))
+            for band in range(BANDS)
         ])
 
     return F.flatten(F.transform(starts, keys))
 
 
-def _templates(spark: SparkSession, templates) -> tuple[DataFrame, list[int]]:
+def _templates(spark: SparkSession, templates, contained: float) -> tuple[DataFrame, list[int]]:
     """Per template and key its shingles; and all keys."""
     given = spark.createDataFrame([*templates], "template string, template_text string")
     shingled = _shingled(given, "template_text").withColumn("__own", F.array_distinct("__shingles"))
-    keys = F.when(F.size("__shingles") >= LONG, _window_keys("__shingles", 1)).otherwise(F.col("__own"))
+    wanted = F.greatest(F.lit(1), F.ceil(F.size("__own") * F.lit(float(contained)) - 1e-9))
+    some = F.slice(F.sort_array("__own"), F.lit(1), F.greatest(F.lit(1), F.size("__own") - wanted + 1).cast("int"))
+    keys = F.when(
+        F.size("__shingles") >= LONG, F.concat(_window_keys("__shingles", 1), some)
+    ).otherwise(F.col("__own"))
     table = shingled.withColumn("__keys", F.array_distinct(keys)).select(
         "template", "__own", F.explode("__keys").alias("__key")
     )
@@ -116,7 +119,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, contained: float = CONTAINED) ->
     if len(templates) > MAX_TEMPLATES:
         raise ValueError(f"more than {MAX_TEMPLATES} templates")
     spark = docs.sparkSession
-    table, keys = _templates(spark, templates)
+    table, keys = _templates(spark, templates, contained)
     known = F.expr(f"array({', '.join(f'{k}L' if k > -(2**63) else 'bigint(-9223372036854775808)' for k in keys)})") if keys else F.array().cast("array<bigint>")
     rows = _shingled(docs.select("doc_id", "text"), "text").drop("text", "__words")
     # Single shingles are the windows of length one; their smallest hash is the shingle itself.

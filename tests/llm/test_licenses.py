@@ -35,6 +35,25 @@ def test_whole_and_edited_notices(spark):
     assert {g for g in got if g[0] % 100 == 50 and g[1].endswith("mit-line")} <= want
 
 
+def test_given_templates_of_middling_length(spark):
+    """One word put into the middle: found wherever enough shingles are left."""
+    given, rows, want = [], [], set()
+    for i in range(28):
+        n = 11 + i % 14
+        words = [f"t{i}w{j}" for j in range(n + licenses.SHINGLE - 1)]
+        given.append((f"t{i}", " ".join(words)))
+        for pad in range(8):
+            at = len(words) // 2 + pad % 3
+            text = " ".join([*words[:at], "changed", *words[at:]])
+            rows.append((100 * i + pad, f"{passage(i, pad + 3)} {text} {passage(i + 500, 20)}"))
+            if (n - licenses.SHINGLE + 1) / n >= licenses.CONTAINED:
+                want.add((100 * i + pad, f"t{i}"))
+    df = spark.createDataFrame([(*r, *[None] * 8) for r in rows], DOCS).repartition(4)
+    got = {(r.doc_id, r.template) for r in licenses.scan(df, templates=given).collect()}
+    assert len(want) > 100
+    assert got == want
+
+
 def test_odd_rows(odd, none):
     assert licenses.scan(odd).count() == 0
     assert licenses.scan(none).count() == 0
