@@ -4,6 +4,21 @@ from __future__ import annotations
 
 
 def catalog() -> dict[str, tuple]:
-    from tallyloom.llm import bpe, gam, jaccard, licenses, mixing, omh, rules, substring, tokens, warc
+    from tallyloom.llm import (
+        bpe,
+        divergence,
+        gam,
+        jaccard,
+        licenses,
+        mixing,
+        omh,
+        packing,
+        rules,
+        runs,
+        substring,
+        tokens,
+        warc,
+    )
 
-    return {**bpe.QUERIES, **tokens.QUERIES, **substring.QUERIES, **jaccard.QUERIES, **rules.QUERIES, **mixing.QUERIES, **omh.QUERIES, **licenses.QUERIES, **warc.QUERIES, **gam.QUERIES}
+    modules = (bpe, tokens, substring, jaccard, rules, mixing, omh, licenses, warc, gam, divergence, packing, runs)
+    return {name: query for module in modules for name, query in module.QUERIES.items()}
