@@ -23,7 +23,6 @@ import json
 import os
 import re
 from array import array
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +40,8 @@ INNER_CUT = 64.0
 #: Where this many ids go by without a sentence's end, every INNER_STEP of them may be cut.
 LONG_SENTENCE = 256
 INNER_STEP = 64
+#: A sentence of fewer characters counts as one with the next.
+SHORT_SENTENCE = 80
 #: Ids that are cut at a time, and windows of them that the next block decides anew.
 BLOCK_TOKENS = 1 << 20
 OPEN_WINDOWS = 8
@@ -49,17 +50,18 @@ SLICE = 64
 #: Tokenizer files above this size are refused, as they are broadcast.
 MAX_TOKENIZER_BYTES = 64 << 20
 #: Words remembered per Python worker, until they are forgotten together.
-CACHE = 500_000
+CACHE = 800_000
 
 PIECES = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 )
 
-_ENDS = tuple(".!?…。！？")
-_CLOSING = "\"')]}»”’"
 _SPACE = re.compile("[\t-\r ]+")
+_SENTENCE = re.compile("[.!?…。！？][\"')\\]}»”’]*(?=[\t-\r ])")
 # Characters of which composition changes none, and which hold no white space but the ASCII one.
 _PLAIN = re.compile("[\t-\r -~¡-ɏ]*")
+_SIGNS_IN_A_ROW = re.compile(r"[.,] (?<=[^\w\s][.,] |_[.,] )")
+_MARKS = frozenset(".,;:!?")
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _NORMALIZERS = [
     {"type": "NFC"},
@@ -85,6 +87,7 @@ class WordEncoder:
         self.library = Tokenizer.from_str(content)
         spec = json.loads(content)
         before = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}, {}]
+        self.added = [x["content"] for x in spec.get("added_tokens", [])]
         self.by_word = (
             (spec.get("normalizer") or {}).get("normalizers") == _NORMALIZERS
             and before[0].get("pattern") == {"Regex": _PATTERN}
@@ -92,59 +95,71 @@ class WordEncoder:
             and before[0].get("invert") is True
             and before[1:] == [{"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
             and spec.get("post_processor") is None
-            and not any(_SPACE.search(x["content"]) for x in spec.get("added_tokens", []))
+            and not any(_SPACE.search(x) for x in self.added)
         )
-        self.pieces = regex.compile(_PATTERN).findall
-        added = [re.escape(x["content"]) for x in spec.get("added_tokens", [])]
-        self.added = re.compile("|".join(added)) if added else None
+        self.split = regex.compile(_PATTERN).findall
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.ids: list[bytes] = []
-        self.of_piece: dict[str, bytes] = {}
-        self.ends: list[bool] = []
+        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> tuple[list[bytes], list[np.ndarray]]:
-        """Per text its ids as little-endian unsigned 32-bit integers, and where sentences end in them."""
-        if len(self.ids) > CACHE or len(self.of_piece) > CACHE:
-            self.forget()
+        """Per text its ids as little-endian unsigned 32-bit integers, and where its sentences end."""
         out, ends = [], []
-        known, ids, stops = self.number.get, self.ids, self.ends
         for text in texts:
-            if not self.by_word:
-                words = [text]
-            elif _PLAIN.fullmatch(text):
-                words = text.split()
-            else:
-                words = _SPACE.split(text)
-            numbers = [known(w) for w in words]
-            if None in numbers:
-                numbers = [self._new(w) if i is None else i for i, w in zip(numbers, words, strict=True)]
-            parts = [ids[i] for i in numbers]
+            if len(self.pieces) + len(self.words) > CACHE:
+                self.forget()
+            parts = self._sentences(text) if self.by_word else [self._whole(text)]
             out.append(b"".join(parts))
-            closes = np.array([stops[i] for i in numbers], bool)
-            ends.append(np.cumsum([len(p) for p in parts], dtype=np.int64)[closes] >> 2)
+            ends.append(np.cumsum([len(p) for p in parts], dtype=np.int64) >> 2)
         return out, ends
 
-    def _new(self, word: str) -> int:
-        number = self.number.get(word)
-        if number is None:
-            if self.by_word and _PLAIN.fullmatch(word) and not (self.added and self.added.search(word)):
-                found = b"".join([self._piece(p) for p in self.pieces(word.lower())])
-            else:
-                found = array("I", self.library.encode(word, add_special_tokens=False).ids).tobytes()
-            number = self.number[word] = len(self.ids)
-            self.ids.append(found)
-            self.ends.append(self.by_word and word.rstrip(_CLOSING).endswith(_ENDS))
-        return number
+    def _sentences(self, text: str) -> list[bytes]:
+        lowered = text.lower()
+        if _PLAIN.fullmatch(text) and not any(x in lowered for x in self.added):
+            # A point or comma behind no other sign is a piece of its own.
+            if not _SIGNS_IN_A_ROW.search(lowered):
+                lowered = lowered.replace(". ", " . ").replace(", ", " , ")
+            text, split, other = lowered, str.split, self._plain_word
+        else:
+            split, other = _SPACE.split, self._word
+        known, find, out, at = self.pieces.get, _SENTENCE.search, [], 0
+        while at < len(text):
+            found = find(text, at + SHORT_SENTENCE)
+            stop = found.end() if found else len(text)
+            out.append(b"".join([known(w) or other(w) for w in split(text[at:stop])]))
+            at = stop
+        return out
+
+    def _word(self, word: str) -> bytes:
+        """Ids of what stands between two blanks, or of nothing."""
+        ids = self.words.get(word)
+        if ids is None:
+            plain = _PLAIN.fullmatch(word) and not any(x in word.lower() for x in self.added)
+            ids = self.words[word] = self._plain_word(word.lower()) if plain and word else self._whole(word)
+        return ids
+
+    def _plain_word(self, word: str) -> bytes:
+        """Ids of a lower-case word of plain characters."""
+        if word.isalpha():
+            return self._piece(word)
+        if word[-1] in _MARKS and word[:-1].isalpha():
+            return self._piece(word[:-1]) + self._piece(word[-1])
+        ids = self.words.get(word)
+        if ids is None:
+            ids = self.words[word] = b"".join([self._piece(p) for p in self.split(word)])
+        return ids
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        ids = self.of_piece.get(piece)
+        ids = self.pieces.get(piece)
         if ids is None:
-            signs = piece.encode("utf-8").decode("latin-1").translate(_SIGNS)
+            signs = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(_SIGNS)
             ids = array("I", [t.id for t in self.library.model.tokenize(signs)]).tobytes()
-            self.of_piece[piece] = ids
+            self.pieces[piece] = ids
         return ids
 
 
@@ -188,29 +203,33 @@ def choose_cuts(at: np.ndarray, penalty: np.ndarray, window: int = WINDOW) -> li
     the padding of all windows and the penalties of the cuts.
     """
     m = len(at)
-    exact: dict[int, list[int]] = {}
-    power = 1
+    exact, power = [], 1
     while power <= window:
         back = np.searchsorted(at, at - power)
-        for i in np.flatnonzero(at[back] == at - power).tolist():
-            exact.setdefault(i, []).append(int(back[i]))
+        hit = np.flatnonzero(at[back] == at - power)
+        exact.append(np.stack((hit, back[hit]), axis=1))
         power *= 2
+    pairs = np.concatenate([*exact, np.empty((0, 2), np.int64)])
+    pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
+    ends, starts = [*pairs[:, 0].tolist(), m], pairs[:, 1].tolist()
     places, extra = at.tolist(), penalty.tolist()
     cost, came = [0.0] * m, [0] * m
-    queue: deque[int] = deque([0])
-    keys: deque[float] = deque([float(places[0])])
+    queue, keys, head, pair = [0], [float(places[0])], 0, 0
     for i in range(1, m):
         here = places[i]
-        while places[queue[0]] < here - window:
-            queue.popleft()
-            keys.popleft()
-        j, least = queue[0], keys[0] + window - here
-        for k in exact.get(i, ()):
+        low = here - window
+        while places[queue[head]] < low:
+            head += 1
+        j, least = queue[head], keys[head] - low
+        while ends[pair] == i:
+            k = starts[pair]
             if cost[k] < least:
                 j, least = k, cost[k]
-        cost[i], came[i] = least + extra[i], j
-        key = cost[i] + here
-        while keys and keys[-1] >= key:
+            pair += 1
+        least += extra[i]
+        cost[i], came[i] = least, j
+        key = least + here
+        while len(keys) > head and keys[-1] >= key:
             keys.pop()
             queue.pop()
         queue.append(i)
@@ -223,15 +242,19 @@ def choose_cuts(at: np.ndarray, penalty: np.ndarray, window: int = WINDOW) -> li
 
 def cut_places(ends: np.ndarray, n: int, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """Where a document of n ids may be cut, ascending up to n, and the penalties."""
-    natural = np.union1d(ends[ends < n - 1], [n])
-    gaps = np.diff(np.concatenate(([0], natural)))
+    natural = np.append(ends[ends < n - 1], n)
+    gaps = np.diff(natural, prepend=0)
+    if not gaps.all():  # a sentence without ids
+        natural, gaps = natural[gaps > 0], gaps[gaps > 0]
+    penalty = np.full(len(natural), SENTENCE_CUT)
+    penalty[-1] = 0.0
+    if gaps.max() <= min(LONG_SENTENCE, window):
+        return natural, penalty
     wide = np.flatnonzero(gaps > min(LONG_SENTENCE, window))
     step = min(INNER_STEP, window)
-    inner = [np.arange(natural[i] - gaps[i] + step, natural[i], step) for i in wide.tolist()]
-    at = np.concatenate([natural, *inner]).astype(np.int64)
-    penalty = np.full(len(at), INNER_CUT)
-    penalty[: len(natural)] = SENTENCE_CUT
-    penalty[len(natural) - 1] = 0.0
+    inner = np.concatenate([np.arange(natural[i] - gaps[i] + step, natural[i], step) for i in wide.tolist()])
+    at = np.concatenate((natural, inner))
+    penalty = np.concatenate((penalty, np.full(len(inner), INNER_CUT)))
     order = np.argsort(at)
     return at[order], penalty[order]
 

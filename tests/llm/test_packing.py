@@ -28,7 +28,8 @@ def library(text):
 
 ODD = [
     "", " \t\n", "It's they'RE we'll 'sword ''s \"'s ...'t", "a<|endoftext|>b <|startoftext|>", "x\x1cy\x85z\xa0q",
-    "ΟΔΟΣ Σ ΑΣ. İstanbul ŒUVRE ẞ", "é ä ́ x", "中文 没有。空格？x", "12 3.5 ½² ª\xad​", "😀😀! a‍b c",
+    "<|EndOfText|> <|ENDOFTEXT|>x",
+    "Don't. don't, o'clock; a1. 7. x.. y?! (z). é, ß!", "ΟΔΟΣ Σ ΑΣ. İstanbul ŒUVRE ẞ", "é ä ́ x", "中文 没有。空格？x", "12 3.5 ½² ª\xad​", "😀😀! a‍b c",
     "﻿bom 　 ideographic", "ǅ ɏ Ɏ ɐ", "naïve cooperation's", "a\x00b",
 ]
 
@@ -44,9 +45,11 @@ def test_ids_equal_the_library(texts, monkeypatch):
     assert all((e <= len(x) // 4).all() for e, x in zip(ends, got, strict=True))
 
 
-def test_sentence_ends():
+def test_sentence_ends(monkeypatch):
+    monkeypatch.setattr(packing, "SHORT_SENTENCE", 0)
     ids, ends = own_encoder().encode(["One two. Three (four!) five"])
-    assert ends[0].tolist() == [len(library("One two.")), len(library("One two. Three (four!)"))]
+    parts = ("One two.", "One two. Three (four!)", "One two. Three (four!) five")
+    assert ends[0].tolist() == [len(library(x)) for x in parts]
 
 
 def least_cost(at, penalty, window):
