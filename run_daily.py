@@ -1,7 +1,9 @@
-"""The daily run: land a batch, rebuild the marts, test them.
+"""The daily run: land a batch, bring the marts up to date, test them.
 
-    spark-submit run_daily.py LANDING RAW MARTS
+    spark-submit run_daily.py LANDING RAW MARTS [incremental]
 
+With ``incremental`` only what is new is read, and marts are kept in versions
+(``tallyloom.sources.versions.read_version``); else they are rebuilt as plain tables.
 Exits with 1 if a test fails with severity error. Results of the tests, with those of
 the landed row counts, are written to MARTS/_checks, the row counts of marts to
 MARTS/_summary, the exports found to MARTS/_inputs and playlist ids without a video to
@@ -16,6 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from tallyloom.operators import check_inputs_present, check_row_count, union_all
+from tallyloom.plans.incremental import refresh_incremental
 from tallyloom.plans.landing import land_batch, videos_not_landed
 from tallyloom.plans.refresh import check_marts, refresh_marts, summarize_marts
 from tallyloom.session import configure
@@ -24,7 +27,7 @@ from tallyloom.sources.exports import REQUIRED_EXPORTS
 from tallyloom.sources.schemas import INVENTORY_TABLES, RAW_TABLES
 
 
-def main(landing: str, raw_root: str, mart_root: str) -> int:
+def main(landing: str, raw_root: str, mart_root: str, mode: str = "full") -> int:
     spark = configure(SparkSession.builder.appName("daily").getOrCreate())
     try:
         inputs = check_inputs_present(spark, f"{landing}/tiktok", REQUIRED_EXPORTS)
@@ -37,7 +40,8 @@ def main(landing: str, raw_root: str, mart_root: str) -> int:
     for table, outcome in outcomes.items():
         print(f"{table}: {outcome}")
     raw = read_sources(spark, raw_root, [*RAW_TABLES, *INVENTORY_TABLES], missing="empty")
-    stored = refresh_marts(spark, raw_root, mart_root, missing="empty")
+    refresh = refresh_incremental if mode == "incremental" else refresh_marts
+    stored = refresh(spark, raw_root, mart_root, missing="empty")
     counts = [check_row_count(raw[name], table=name, severity="warn") for name in raw]
     checks = materialize_table(union_all(check_marts(stored), *counts), f"{mart_root}/_checks")
     materialize_table(videos_not_landed(raw), f"{mart_root}/_missing_videos")
@@ -48,4 +52,4 @@ def main(landing: str, raw_root: str, mart_root: str) -> int:
 
 
 if __name__ == "__main__":
-    sys.exit(main(*sys.argv[1:4]))
+    sys.exit(main(*sys.argv[1:5]))

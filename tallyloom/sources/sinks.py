@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-# Events are flushed this often, and times are written in this form.
+# Events are flushed this often, or when so many wait, and times are written in this form.
 FLUSH_INTERVAL = "30 seconds"
+FLUSH_ROWS = 200
 EVENT_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
 
@@ -59,15 +60,19 @@ def sink_events(
     checkpoint: str,
     interval: str | None = FLUSH_INTERVAL,
     fmt: str = "json",
+    max_rows: int | None = None,
 ) -> StreamingQuery:
     """Append a stream of events to files.
 
     With an ``interval`` the query flushes on that timer until stopped. With
-    ``interval=None`` it drains what has landed, flushes a last time and ends.
+    ``interval=None`` it drains what has landed, flushes a last time and ends. ``max_rows``
+    bounds the rows of a landed file, which is the unit that readers and loaders take: a
+    micro-batch with more of them lands as several files in one commit.
     """
     writer = (
         stream_df.writeStream.format(fmt)
         .outputMode("append")
+        .option("maxRecordsPerFile", max_rows or 0)
         .option("timestampFormat", EVENT_TIME_FORMAT)
         .option("path", path)
         .option("checkpointLocation", checkpoint)

@@ -4,8 +4,10 @@ from tallyloom.streaming.live import (
     activity_sessions,
     closing_event,
     first_deliveries,
+    land_first_deliveries,
     latest_upserts,
     normalize_live_events,
+    read_first_deliveries,
     session_kpis,
     stream_dedup,
     stream_events,
@@ -19,13 +21,18 @@ from tallyloom.streaming.reports import (
     top_engagers,
     viewer_curve,
 )
+from tallyloom.streaming.sessions import closing_sessions, merge_sessions
 
 __all__ = [
     "activity_sessions",
     "closing_event",
+    "closing_sessions",
     "first_deliveries",
+    "land_first_deliveries",
     "latest_upserts",
+    "merge_sessions",
     "normalize_live_events",
+    "read_first_deliveries",
     "recent_comments",
     "session_kpis",
     "session_report",

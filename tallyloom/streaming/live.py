@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,6 +11,13 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tallyloom.operators import dedup_earliest, dedup_latest
 from tallyloom.plans.staging import map_live_columns, type_live_columns
+from tallyloom.sources.versions import (
+    commit,
+    current_version,
+    drop_unused,
+    read_version,
+    write_folder,
+)
 
 WATERMARK = "10 minutes"
 
@@ -108,9 +117,16 @@ def session_kpis(df: DataFrame) -> DataFrame:
         aggs.append(F.max("video_id").alias("video_id"))
     summed = df.groupBy("session_id").agg(*aggs)
 
-    seconds = F.expr("(unix_micros(ended_at) - unix_micros(started_at)) div 1000000")
     extra = [c for c in ("diamond_total", "video_id") if c in summed.columns]
-    return summed.select(
+    return summed.select(*session_report_columns(extra))
+
+
+def session_report_columns(extra: Sequence[str] = ()) -> list[Column | str]:
+    """The report's columns from a session's sums; those it derives from more are named __viewers,
+    __readings and __connects.
+    """
+    seconds = F.expr("(unix_micros(ended_at) - unix_micros(started_at)) div 1000000")
+    return [
         "session_id",
         "started_at",
         "ended_at",
@@ -129,7 +145,7 @@ def session_kpis(df: DataFrame) -> DataFrame:
         "total_published",
         F.greatest(F.col("__connects") - 1, F.lit(0)).alias("reconnections"),
         *extra,
-    )
+    ]
 
 
 def windowed_activity(
@@ -224,29 +240,90 @@ def closing_event(df: DataFrame, after: str = "1 day") -> DataFrame:
 
 
 def upsert_batches(
-    updates: DataFrame, path: str, checkpoint: str, interval: str | None = None
+    updates: DataFrame,
+    path: str,
+    checkpoint: str,
+    interval: str | None = None,
+    keys: Sequence[str] | None = None,
+    first_by: Sequence[str] = (),
 ) -> StreamingQuery:
     """Write the changed rows of an update-mode stream, one folder per micro-batch.
 
     A batch that is run again after a failure replaces its own folder. Read the
-    newest row per key back with ``latest_upserts``.
+    newest row per key back with ``latest_upserts``. With ``keys`` folders are merged as
+    they come: after n batches there are as many as n has binary ones, and a row has been
+    rewritten log2(n) times at most. A merge shows when its manifest is in place, so a run
+    that dies loses nothing. With ``first_by`` the row of a key that is smallest by those
+    columns stays, instead of the newest batch's.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        base = current_version(spark, path)
+        if base and base.notes["last"] >= batch_id:
+            # Run again after its manifest was in place: its state still has to be written.
+            batch.write.format("noop").mode("overwrite").save()
+            return
+        runs = base.notes["runs"] if base else []  # [part, batches in it], oldest first
+        rows, size = batch.withColumn("batch_id", F.lit(batch_id).cast("long")), 1
+        merged = []
+        while runs and runs[-1][1] == size:
+            part, n = runs[-1]
+            merged, runs, size = [*merged, part], runs[:-1], size + n
+        if merged:
+            rows = rows.unionByName(read_version(spark, path, rows.schema, base, merged))
+            rows = _one_per_key(rows, keys, first_by)
+        kept = {part: base.parts[part] for part, _ in runs}
+        folder = write_folder(rows, path)[""]
+        notes = {"last": batch_id, "runs": [*runs, [str(batch_id), size]]}
+        commit(spark, path, base, {**kept, str(batch_id): folder}, notes)
+        drop_unused(spark, path)
+
     writer = (
         updates.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(write)
+        .foreachBatch(merge if keys else write)
     )
     if interval is None:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=interval).start()
 
 
-def latest_upserts(spark: SparkSession, path: str, schema, keys: list[str]) -> DataFrame:
-    """Newest row per key of a folder written by ``upsert_batches``."""
+def _one_per_key(rows: DataFrame, keys: Sequence[str], first_by: Sequence[str]) -> DataFrame:
+    if first_by:
+        return dedup_earliest(rows, keys, first_by[0], first_by[1:])
+    return dedup_latest(rows, keys, "batch_id")
+
+
+def latest_upserts(
+    spark: SparkSession, path: str, schema, keys: list[str], first_by: Sequence[str] = ()
+) -> DataFrame:
+    """Newest row per key of a folder written by ``upsert_batches``, or the first by ``first_by``."""
     stored = StructType([*schema.fields, StructField("batch_id", LongType())])
-    rows = spark.read.schema(stored).parquet(path)
-    return dedup_latest(rows, keys, "batch_id").drop("batch_id")
+    version = current_version(spark, path)
+    rows = read_version(spark, path, stored, version) if version else spark.read.schema(stored).parquet(path)
+    return _one_per_key(rows, keys, first_by).drop("batch_id")
+
+
+# Which of several deliveries of an event counts: the earliest, then the smallest.
+DELIVERY_ORDER = ("ingested_at", "session_id", "event_type", "username", "comment_text")
+
+
+def land_first_deliveries(
+    stream: DataFrame, path: str, checkpoint: str, interval: str | None = None
+) -> StreamingQuery:
+    """Keep the first delivery of every event, however late it comes and whatever came before.
+
+    Nothing is held in state and no event is too late: deliveries go into merged runs by event id
+    (``upsert_batches``), and a delivery that turns out to be earlier replaces the one that was
+    taken for the first. ``read_first_deliveries`` gives what ``dedup_earliest`` over all deliveries
+    so far would give.
+    """
+    return upsert_batches(stream, path, checkpoint, interval, ["event_id"], DELIVERY_ORDER)
+
+
+def read_first_deliveries(spark: SparkSession, path: str, schema) -> DataFrame:
+    return latest_upserts(spark, path, schema, ["event_id"], DELIVERY_ORDER)

@@ -15,12 +15,16 @@ from tallyloom.sources import (
     write_event_jsonl,
 )
 from tallyloom.sources.schemas import TIKTOK_LIVE_EVENTS, YOUTUBE_LIVE_EVENTS
+from tallyloom.sources.sinks import FLUSH_ROWS
 from tallyloom.streaming import (
     activity_sessions,
     closing_event,
+    closing_sessions,
     first_deliveries,
+    land_first_deliveries,
     latest_upserts,
     normalize_live_events,
+    read_first_deliveries,
     recent_comments,
     session_kpis,
     stream_dedup,
@@ -148,6 +152,29 @@ def late_events_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_earliest(_drained(stream, "late-events"), ["event_id"], "ingested_at")
 
 
+def _late(spark: SparkSession, sf_dir: str) -> str:
+    """Every third delivery lands after all others, up to months late; later copies land first."""
+    path = scratch_path(spark, "late-deliveries")
+    every = raw_frame(spark, sf_dir, TIKTOK)
+    late = F.pmod(F.xxhash64("event_id", "ingested_at"), F.lit(3)) == 0
+    for chosen in (~late, late):
+        write_event_jsonl(every.where(chosen), path)
+    return path
+
+
+def _first_of_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = stream_events(spark, _late(spark, sf_dir), TIKTOK_LIVE_EVENTS, max_files=2)
+    path = scratch_path(spark, "first-deliveries")
+    land_first_deliveries(stream, path, scratch_path(spark, "first-checkpoint")).awaitTermination()
+    return read_first_deliveries(spark, path, stream.schema)
+
+
+@query("stream_dedup_late", over_events("\n    select * from once"))
+def stream_dedup_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first delivery of each event by a stream, none too late, the earliest whatever came first."""
+    return _first_of_late(spark, sf_dir)
+
+
 @query("sink_events", over_models([YOUTUBE], f"select * from {YOUTUBE}"))
 def q_sink_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream to JSON lines with a final flush, then the batch load of those files."""
@@ -166,6 +193,19 @@ def flush_microbatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drained(stream, "flush")
 
 
+@query("flush_rows", over_models([TIKTOK], f"select *, true as bounded from {TIKTOK}"))
+def flush_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flushes of at most FLUSH_ROWS rows; each row says whether its own flush kept to that."""
+    stream = stream_events(spark, _landed(spark, sf_dir), TIKTOK_LIVE_EVENTS)
+    path = scratch_path(spark, "flush-rows")
+    sink_events(
+        stream, path, scratch_path(spark, "flush-rows-checkpoint"), interval=None, fmt="parquet", max_rows=FLUSH_ROWS
+    ).awaitTermination()
+    landed = spark.read.schema(stream.schema).parquet(path).withColumn("flush", F.input_file_name())
+    size = F.count("*").over(Window.partitionBy("flush"))
+    return landed.withColumn("bounded", size <= FLUSH_ROWS).drop("flush")
+
+
 @query(
     "gift_value",
     f"""
@@ -237,6 +277,24 @@ def session_kpis_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upserted(session_kpis(landed), "session-kpis", ["session_id"])
 
 
+@query("session_kpis_closed", over_events(_kpi_sql("once", _DIAMONDS)))
+def session_kpis_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of a day each, put out once as they close; a last event without a session closes the rest."""
+    path = scratch_path(spark, "session-events")
+    once = _stored(spark, sf_dir)
+    write_event_jsonl(once, path)
+    write_event_jsonl(closing_event(once, "3 days"), path)
+    closed = closing_sessions(stream_events(spark, path, TIKTOK_LIVE_EVENTS), gap="1 day")
+    rows = _drained(closed, "closed-sessions")
+    return rows.drop("closed_by", *[c for c in rows.columns if c.startswith("sum_")])
+
+
+@query("session_kpis_late", over_events(_kpi_sql("once", _DIAMONDS)))
+def session_kpis_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures over first deliveries that a stream has kept, late ones included."""
+    return session_kpis(_first_of_late(spark, sf_dir))
+
+
 # --- report frames ------------------------------------------------------------------------
 
 
@@ -335,6 +393,21 @@ def windowed_activity_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upserted(windowed_activity(stream), "minutes", keys)
 
 
+@query(
+    "windowed_activity_merged",
+    over_models([YOUTUBE], _MINUTES.replace("from once", f"from {YOUTUBE}")),
+)
+def windowed_activity_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file per micro-batch; the folders of changed rows are merged as they come."""
+    stream = stream_events(spark, _landed(spark, sf_dir, YOUTUBE), YOUTUBE_LIVE_EVENTS, max_files=1)
+    # As late as files come: every file holds events of all days.
+    updates = windowed_activity(stream, delay="1000 days")
+    keys = ["window_start", "session_id", "event_type"]
+    path = scratch_path(spark, "merged-minutes")
+    upsert_batches(updates, path, scratch_path(spark, "merged-checkpoint"), keys=keys).awaitTermination()
+    return latest_upserts(spark, path, updates.schema, keys)
+
+
 @query(
     "viewer_windows",
     over_events(

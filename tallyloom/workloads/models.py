@@ -6,6 +6,8 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
 from tallyloom.operators import (
     check_accepted_values,
     check_expression,
@@ -15,6 +17,7 @@ from tallyloom.operators import (
     mart_row_summary,
     union_all,
 )
+from tallyloom.plans.incremental import merge_newest, refresh_incremental
 from tallyloom.plans.marts import MART_MODELS, mart_social_followers_snapshot
 from tallyloom.plans.refresh import (
     SUMMARY_MARTS,
@@ -28,6 +31,7 @@ from tallyloom.plans.suite import SUITE
 from tallyloom.session import scratch_path
 from tallyloom.sources import append_raw
 from tallyloom.sources.schemas import EVENT_REQUIRED, RAW_TABLES
+from tallyloom.sources.versions import read_version
 from tallyloom.workloads.data import RAW_SQL, raw_cte, raw_frame
 
 AS_OF = date(2024, 1, 1)
@@ -561,6 +565,40 @@ def _refresh_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mart_row_summary(_refreshed(spark, sf_dir))
 
 
+def _landed_twice(spark: SparkSession, sf_dir: str, names: list[str], marts: list[str] | None) -> dict[str, DataFrame]:
+    """Two landings, rows of all ingest times in each, and an incremental refresh after either."""
+    root, stored = scratch_path(spark, "raw"), scratch_path(spark, "marts")
+    for second in (False, True):
+        frames = [raw_frame(spark, sf_dir, n) for n in names]
+        # A few of the first rows land again.
+        chosen = [F.pmod(F.xxhash64(*f.columns), F.lit(5)) for f in frames]
+        frames = [f.where(c.isin(0, 4) if second else c < 4) for f, c in zip(frames, chosen, strict=True)]
+        with ThreadPoolExecutor(THREADS) as pool:
+            list(pool.map(append_raw, frames, [f"{root}/{n}" for n in names]))
+        found = refresh_incremental(spark, root, stored, as_of=AS_OF, marts=marts, missing="empty", buckets=8)
+    return found
+
+
+def _refresh_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ["facebook_posts", "tiktok_posts"]
+    marts = ["mart_facebook_posts", "mart_posts_perfomance"]
+    return _landed_twice(spark, sf_dir, names, marts)["mart_posts_perfomance"]
+
+
+def _refresh_incremental_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ["youtube_videos", "youtube_comments"]
+    return _landed_twice(spark, sf_dir, names, ["mart_youtube_perfomance"])["mart_youtube_perfomance"]
+
+
+def _dedup_latest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest posts from ten batches in any order, some of them repeated."""
+    raw, path = raw_frame(spark, sf_dir, "facebook_posts"), scratch_path(spark, "newest")
+    batch = F.pmod(F.xxhash64("row_key"), F.lit(8))
+    for step in (3, 0, 7, 1, 5, 3, 6, 2, 4, 0):
+        merge_newest(raw.where(batch == step), path, ["post_id"], "ingested_at", ["row_key"], buckets=8)
+    return read_version(spark, path, RAW_TABLES["facebook_posts"])
+
+
 def _run_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_marts(_refreshed(spark, sf_dir))
 
@@ -623,6 +661,21 @@ QUERIES |= {
     ),
     "run_checks": (_run_checks, _suite_sql()),
     "refresh_marts": (_refresh_marts, _summary_sql(list(MART_MODELS))),
+    "refresh_incremental": (
+        _refresh_incremental,
+        over_models(["mart_posts_perfomance"], "select * from mart_posts_perfomance"),
+    ),
+    "refresh_incremental_videos": (
+        _refresh_incremental_videos,
+        over_models(["mart_youtube_perfomance"], "select * from mart_youtube_perfomance"),
+    ),
+    "dedup_latest_incremental": (
+        _dedup_latest_incremental,
+        over_models(
+            ["facebook_posts"],
+            f"select * from facebook_posts qualify {newest('post_id', 'row_key')}",
+        ),
+    ),
     "mart_row_summary": (_mart_row_summary, _summary_sql(SUMMARY_MARTS)),
     "check_not_null": (
         _check_not_null,
