@@ -3,9 +3,12 @@
 1. Every document becomes a set of 64-bit shingle hashes. Equal sets are one node, the smallest
    doc_id that has the set.
 2. Two sets that link share at least one of their first ``n - ceil(0.75 n) + 1`` members in any
-   order that all sets are sorted by. The order is by hash, with shingles that very many documents
-   hold at the end; which those are changes the work, not the result. Prefixes go to shards of
-   their hash as packed runs, so a member costs some ten bytes of shuffle.
+   order that all sets are sorted by. The order is by document frequency, then by hash: rare
+   shingles come first, so a passage that many documents share stands in few prefixes. Frequencies
+   come from a sketch of fixed size, one counter per hash slot, summed over all tasks and broadcast;
+   its errors change the work, not the result. As counters are shared evenly, a shingle stands out
+   from some 0.04 % of the documents on, however many there are. Prefixes go to shards of their
+   hash as packed runs, so a member costs some ten bytes of shuffle.
 3. In a shard, the nodes that share a member are cut into chains of sizes that may link, and each
    chain of two and more is sent to the tile of its smallest node. So any two sets that can link
    meet in a tile. Tiles beyond ``tile_rows`` are split into blocks, and
@@ -22,6 +25,7 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,14 +39,16 @@ from tallyloom.llm.substring import _pack, _unpack
 SHINGLE = 5
 #: Sets link when DENOMINATOR * intersection >= NUMERATOR * union.
 NUMERATOR, DENOMINATOR = 75, 100
-#: A shingle in this share of the documents comes last in the order; so many at most.
-COMMON_SHARE = 0.002
-COMMON_MOST = 200_000
+#: Counters of the frequency sketch (2 ** SKETCH_BITS, two bytes each in the broadcast), in blocks.
+SKETCH_BITS = 20
+SKETCH_BLOCK = 1 << 14
 #: Sizes are told apart by factors of this; sizes that may link differ by SIZE_STEPS at most.
 SIZE_FACTOR = 1.05
 SIZE_STEPS = 7
 #: Documents whose prefixes one task of the candidate search takes, about.
 SHARD_DOCS = 6_000
+#: Large hubs up to which their list is broadcast (twelve bytes each); beyond, it is joined by hash.
+BROADCAST_HUBS = 1_000_000
 #: Sets of a tile beyond which it is split.
 TILE_ROWS = 20_000
 
@@ -66,49 +72,74 @@ def least_overlap(n: int | np.ndarray):
     return -(-n * NUMERATOR // DENOMINATOR)
 
 
-def _profile(docs: DataFrame) -> DataFrame:
-    """Per document its set's size and digest; per batch the shingles that several documents hold."""
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = _sets(batch.column(2).to_pylist())
-        members, counts = np.unique(np.concatenate(sets), return_counts=True)
-        often = counts >= 3
-        members, counts = members[often].view(np.int64), counts[often]
-        n, m = len(sets), len(members)
-        maps = [bitmap(x, _level(len(x))).tobytes() for x in sets]
-        digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.concat_arrays([batch.column(0), pa.nulls(m, pa.int64())]),
-                pa.concat_arrays([batch.column(1), pa.nulls(m, pa.int64())]),
-                pa.array([*map(len, sets), *[None] * m], pa.int64()),
-                arrow_binary([*digests, *[None] * m]),
-                arrow_binary([*maps, *[None] * m]),
-                pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(members)]),
-                pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(counts.astype(np.int64))]),
-            ],
-            ["doc_id", "row_key", "n", "digest", "bitmap", "member", "docs"],
-        )
-
-    return map_batches(
-        docs, run, "doc_id long, row_key long, n long, digest binary, bitmap binary, member long, docs long"
-    )
+def _profile(docs: DataFrame, bits: int) -> DataFrame:
+    """Per document its set's size, digest and bitmap; per task the counters of its shingles, in blocks."""
+    slots = 1 << bits
+    size = min(slots, SKETCH_BLOCK)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(slots, np.int64)
+        for batch in batches:
+            for low in range(0, batch.num_rows, 128):
+                part = batch.slice(low, 128)
+                sets = _sets(part.column(2).to_pylist())
+                flat = np.concatenate([*sets, np.empty(0, np.uint64)])
+                counts += np.bincount((flat & np.uint64(slots - 1)).astype(np.int64), minlength=slots)
+                maps = [bitmap(x, _level(len(x))).tobytes() for x in sets]
+                digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+                n = part.num_rows
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()),
+                        arrow_binary(digests), arrow_binary(maps), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
+                    ],
+                    names,
+                )
+        if counts.any():
+            blocks = range(slots // size)
+            packed = [zlib.compress(counts[i * size : (i + 1) * size].astype("<i8").tobytes(), 1) for i in blocks]
+            empty = [pa.nulls(len(packed), kind) for kind in (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*empty, pa.array(blocks, pa.int32()), arrow_binary(packed)], names)
+
+    names = ["doc_id", "row_key", "n", "digest", "bitmap", "block", "counts"]
+    schema = "doc_id long, row_key long, n long, digest binary, bitmap binary, block int, counts binary"
+    return docs.mapInArrow(run, schema)
+
+
+def _frequencies(profile: DataFrame, bits: int) -> np.ndarray:
+    """Per hash slot how many sets have a member there, in sixteenths of a doubling."""
+    slots = 1 << bits
+    size = min(slots, SKETCH_BLOCK)
 
-def _prefix(members: np.ndarray, common: np.ndarray) -> np.ndarray:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                counts = np.frombuffer(zlib.decompress(packed.as_py()), "<i8")
+                sums[block] = sums[block] + counts if block in sums else counts
+        if sums:
+            steps = [np.floor(16 * np.log2(1.0 + c)).astype("<u2").tobytes() for c in sums.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), arrow_binary(steps)], ["block", "steps"])
+
+    rows = profile.where("block is not null").select("block", "counts").repartition("block")
+    out = np.zeros(slots, np.uint16)
+    for r in rows.mapInArrow(run, "block int, steps binary").collect():  # one row per block
+        out[r.block * size : (r.block + 1) * size] = np.frombuffer(r.steps, "<u2")
+    return out
+
+
+def _prefix(members: np.ndarray, frequencies: np.ndarray) -> np.ndarray:
+    """The members that any set of enough overlap shares one of, rarest first."""
     size = len(members) - least_overlap(len(members)) + 1
-    if len(common):
-        at = np.minimum(np.searchsorted(common, members), len(common) - 1)
-        last = common[at] == members
-        members = np.concatenate((members[~last], members[last]))
-    return members[:size]
+    slots = (members & np.uint64(len(frequencies) - 1)).astype(np.int64)
+    return members[np.argsort(frequencies[slots], kind="stable")[:size]]
 
 
-def _prefixes(docs: DataFrame, shared_common, shards: int) -> DataFrame:
+def _prefixes(docs: DataFrame, shared_frequencies, shards: int) -> DataFrame:
     """Packed runs of (member, doc_id, size step) per batch and shard."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, common = batch.column(0).to_pylist(), shared_common.value
+        ids, frequencies = batch.column(0).to_pylist(), shared_frequencies.value
         seen: set[bytes] = set()
         members, owners, sizes = [], [], []
         sets = _sets(batch.column(2).to_pylist())
@@ -116,7 +147,7 @@ def _prefixes(docs: DataFrame, shared_common, shards: int) -> DataFrame:
             key = sets[i].tobytes()
             if key and key not in seen:
                 seen.add(key)
-                members.append(_prefix(sets[i], common))
+                members.append(_prefix(sets[i], frequencies))
                 owners.append(ids[i])
                 sizes.append(int(np.log(len(sets[i])) / np.log(SIZE_FACTOR)))
         lengths = [len(m) for m in members]
@@ -325,10 +356,16 @@ def _groups(rows: DataFrame) -> DataFrame:
 
 def _blocks(pairs: DataFrame, tile_rows: int) -> DataFrame:
     """Add i and j: a hub with too many nodes becomes a tile per two blocks of its nodes."""
-    blocks = (
+    large = stored(
         pairs.groupBy("hub").agg(F.count("*").alias("rows")).where(F.col("rows") > tile_rows)
-        .select("hub", F.ceil(F.col("rows") / tile_rows).cast("int").alias("blocks"))
+        .select("hub", F.ceil(F.col("rows") / tile_rows).cast("int").alias("blocks")),
+        "hubs",
     )
+    count = large.count()  # at most a row per tile_rows pairs
+    if not count:
+        return pairs.withColumns({"i": F.lit(0), "j": F.lit(0)})
+    # A small list goes to the pairs, so that those of a large hub stay where they are.
+    blocks = F.broadcast(large) if count <= BROADCAST_HUBS else large
     blocks_of = F.coalesce("blocks", F.lit(1))
     split = pairs.join(blocks, "hub", "left").select(
         *[F.col(c) for c in pairs.columns],
@@ -401,7 +438,7 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
 
 def near_duplicates(
     docs: DataFrame,
-    common_share: float = COMMON_SHARE,
+    sketch_bits: int = SKETCH_BITS,
     shard_docs: int = SHARD_DOCS,
     tile_rows: int = TILE_ROWS,
 ) -> DataFrame:
@@ -416,18 +453,13 @@ def near_duplicates(
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select("doc_id", F.xxhash64("text").alias("row_key"), "text")
-    profile = stored(_profile(docs), "profile")
-    sets = profile.where("digest is not null").drop("member", "docs")
+    profile = stored(_profile(docs, sketch_bits), "profile")
+    sets = profile.where("digest is not null").drop("block", "counts")
     total = sets.count()
-    often = (
-        profile.where("digest is null").groupBy("member").agg(F.sum("docs").alias("docs"))
-        .where(F.col("docs") >= max(20, common_share * total))
-        .orderBy(F.desc("docs"), "member").limit(COMMON_MOST)
-    )
-    common = np.sort(np.array([r[0] for r in often.select("member").collect()], np.int64).view(np.uint64))
+    frequencies = spark.sparkContext.broadcast(_frequencies(profile, sketch_bits))
     named = docs.where("doc_id is not null")
     parts = max(4, -(-total // shard_docs))
-    runs = _prefixes(named, spark.sparkContext.broadcast(common), 4 * parts)
+    runs = _prefixes(named, frequencies, 4 * parts)
     met = _meet(runs.repartition(parts, "shard")).distinct()
     # A set's copies hold the same members, so its first document stands for them everywhere.
     classes = (
@@ -447,7 +479,7 @@ def near_duplicates(
         .agg(F.collect_set(F.struct("hub", "i", "j")).alias("tiles"))
     )
     rows = (
-        _pack(named).join(placed.hint("shuffle_hash"), ["doc_id", "row_key"])
+        _pack(named).join(placed, ["doc_id", "row_key"])
         .select("doc_id", "n", "packed", F.explode("tiles").alias("tile"))
         .select("tile.hub", "tile.i", "tile.j", F.col("doc_id").alias("node"), "n", "packed")
     )

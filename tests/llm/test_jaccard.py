@@ -7,6 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyloom.llm import jaccard
 
@@ -55,8 +56,8 @@ def test_odd_rows(odd, none):
     assert jaccard.near_duplicates(none).count() == 0
 
 
-@pytest.mark.parametrize("tile_rows, share", [(20_000, 0.002), (3, 0.002), (5, 1.0)])
-def test_families_and_boilerplate(spark, tile_rows, share):
+@pytest.mark.parametrize("tile_rows, bits", [(20_000, 20), (3, 20), (5, 0), (20_000, 6)])
+def test_families_and_boilerplate(spark, tile_rows, bits):
     """Families at many distances, one large group of near copies, a passage that all share."""
     rng = random.Random(7)
     rows = []
@@ -71,10 +72,25 @@ def test_families_and_boilerplate(spark, tile_rows, share):
     rows += [(1_000 + i, passage(99, 40) + " " + passage(500 + i, 60)) for i in range(40)]
     rows.append((2_000, rows[5][1].upper()))
     df = spark.createDataFrame([(*r, *[None] * 8) for r in rows], DOCS).repartition(5)
-    got = jaccard.near_duplicates(df, common_share=share, shard_docs=40, tile_rows=tile_rows)
+    got = jaccard.near_duplicates(df, sketch_bits=bits, shard_docs=40, tile_rows=tile_rows)
     assert result(got) == brute(rows)
 
 
+def test_a_common_passage_makes_few_pairs(spark):
+    """A tenth of the documents share a passage: pairs of node and hub stay near those of true links."""
+    rows = [(i, passage(i, 90)) for i in range(600)]
+    rows += [(1_000 + i, passage(5_000, 45) + " " + passage(2_000 + i, 90)) for i in range(60)]
+    rows += [(2_000 + i, passage(i, 90) + " tail") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    docs = df.select("doc_id", F.xxhash64("text").alias("row_key"), "text")
+    profile = jaccard._profile(docs, 20).cache()
+    frequencies = jaccard._frequencies(profile, 20)
+    assert frequencies.max() == int(np.floor(16 * np.log2(61)))
+    met = jaccard._meet(jaccard._prefixes(docs, spark.sparkContext.broadcast(frequencies), 8).repartition(2, "shard"))
+    assert {r.node for r in met.collect()} == {r[0] for r in rows if r[0] < 30 or r[0] >= 2_000}
+    assert result(jaccard.near_duplicates(df)) == brute(rows)
+
+
 def test_exact_threshold(spark):
     """Three quarters link, anything below does not."""
     words = passage(1, 34).split()  # 30 shingles
