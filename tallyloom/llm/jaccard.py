@@ -45,8 +45,9 @@ SKETCH_BLOCK = 1 << 14
 #: Sizes are told apart by factors of this; sizes that may link differ by SIZE_STEPS at most.
 SIZE_FACTOR = 1.05
 SIZE_STEPS = 7
-#: Documents whose prefixes one task of the candidate search takes, about.
-SHARD_DOCS = 6_000
+#: Documents whose prefixes one task of the candidate search takes, about: some 60 MB of runs. A set
+#: comes out of every shard in which it meets another, so large shards put out fewer rows.
+SHARD_DOCS = 40_000
 #: Large hubs up to which their list is broadcast (twelve bytes each); beyond, it is joined by hash.
 BROADCAST_HUBS = 1_000_000
 #: Sets of a tile beyond which it is split.
@@ -478,8 +479,9 @@ def near_duplicates(
         _blocks(groups, tile_rows).groupBy(F.col("node").alias("doc_id"), "row_key", "n")
         .agg(F.collect_set(F.struct("hub", "i", "j")).alias("tiles"))
     )
+    # By sorted runs, which spill; both sides grow with the data.
     rows = (
-        _pack(named).join(placed, ["doc_id", "row_key"])
+        _pack(named).join(placed.hint("merge"), ["doc_id", "row_key"])
         .select("doc_id", "n", "packed", F.explode("tiles").alias("tile"))
         .select("tile.hub", "tile.i", "tile.j", F.col("doc_id").alias("node"), "n", "packed")
     )
