@@ -97,7 +97,10 @@ class PieceEncoder:
         if (points[like] != points).any():  # two different pieces of one hash
             first, kind = np.arange(len(begin)), np.arange(len(begin))
         bounds = zip(begin[first].tolist(), end[first].tolist(), strict=True)
-        found = [self._ids(joined[a:b]) for a, b in bounds]
+        pieces = [joined[a:b] for a, b in bounds]
+        found = list(map(self.young.get, pieces))
+        if None in found:
+            found = [self._new(p) if ids is None else ids for p, ids in zip(pieces, found, strict=True)]
         flat = np.frombuffer(b"".join(found), "<u4")
         size = np.array([len(x) >> 2 for x in found])
         place = np.cumsum(size) - size
@@ -107,16 +110,18 @@ class PieceEncoder:
         edge = np.concatenate((before, [len(ids) >> 2]))[np.concatenate(([0], np.cumsum(counts)))].tolist()
         return [ids[4 * a : 4 * b] for a, b in zip(edge, edge[1:], strict=False)]
 
-    def _ids(self, piece: str) -> bytes:
-        ids = self.young.get(piece)
+    def _new(self, piece: str) -> bytes:
+        """Ids of a piece that the younger memory does not hold."""
+        ids = self.old.get(piece)
         if ids is None:
-            ids = self.old.get(piece)
-            if ids is None:
+            if piece.isascii() and piece.isprintable():
+                signs = piece.replace(" ", _BLANK)
+            else:
                 signs = piece.encode("utf-8", "replace").decode("latin-1").translate(_SIGNS)
-                ids = array("I", [t.id for t in self.library.model.tokenize(signs)]).tobytes()
-            if len(self.young) >= CACHE:
-                self.old, self.young = self.young, {}
-            self.young[piece] = ids
+            ids = array("I", [t.id for t in self.library.model.tokenize(signs)]).tobytes()
+        if len(self.young) >= CACHE:
+            self.old, self.young = self.young, {}
+        self.young[piece] = ids
         return ids
 
 
@@ -128,6 +133,7 @@ def _signs() -> dict[int, int]:
 
 
 _SIGNS = _signs()
+_BLANK = chr(_SIGNS[32])
 _tables: list[np.ndarray] = []
 
 
