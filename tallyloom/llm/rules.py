@@ -1,8 +1,11 @@
 """Quality rules with adaptive thresholds, in DataFrame functions alone.
 
 Each document gets counts and shares. Per language and source the shares go into mergeable
-quantile sketches; groups with few documents take the sketch merged over their language, and small
-languages the one merged over all. A share far above its group's usual spread fails the rule.
+quantile sketches, which merge into those of a language and of all. Each of the three gives a limit,
+and a group's limit is their mean: n texts give a level the weight n / (n + GROUP_DOCS), the next
+wider level has the rest. So every group counts for itself, a small one less, and no verdict changes
+at once because a group has one text more. A share above its limit, which lies far above the usual
+spread, fails the rule.
 Sketches take each text of a group once, and none that fails the base rule. Where the upper quartile
 itself is far above what the lower half suggests, the lower half alone gives the limit; so bad texts
 switch no rule off until they are half of the different texts of a group. From there on a group
@@ -26,8 +29,8 @@ MIN_WORDS = 50
 REPEAT_PERCENT = 50
 #: Values a sketch keeps; its rank error is about 2 / SKETCH_SIZE.
 SKETCH_SIZE = 1024
-#: Documents a group needs for thresholds of its own.
-GROUP_DOCS = 200
+#: Different texts at which a level's own limit and that of the next wider one weigh the same.
+GROUP_DOCS = 20
 #: A share fails above q75 + SPREADS * (q75 - q25), and never within SLACK of the median. If q75 fails
 #: with the upper half taken to be as wide as the lower one, that limit holds.
 SPREADS = 6.0
@@ -125,7 +128,16 @@ def _base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
 
 
-def thresholds(counted: DataFrame, group_docs: int = GROUP_DOCS) -> DataFrame:
+def _limit(sketch: Column, slack: float) -> Column:
+    """The highest value that passes, from the quartiles of a sketch."""
+    low, mid, high = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.25, 0.5, 0.75))
+    usual = F.greatest(high + SPREADS * (high - low), mid + slack)
+    # The same for a symmetric group, from its lower half alone.
+    lower = F.greatest(mid + (1 + 2 * SPREADS) * (mid - low), mid + slack)
+    return F.when(high > lower, lower).otherwise(usual)
+
+
+def thresholds(counted: DataFrame, group_docs: float = GROUP_DOCS) -> DataFrame:
     """Per language and source the highest value of each share that passes: max_<share>.
 
     Sketches are made once per group and merged for the wider levels. Rows of a group that share a
@@ -150,16 +162,14 @@ def thresholds(counted: DataFrame, group_docs: int = GROUP_DOCS) -> DataFrame:
     leveled = groups.join(wide, F.col("lang").eqNullSafe(F.col("its_lang")), "left")
     out = []
     for name, slack in SLACK.items():
-        chosen = (
-            F.when(F.col("docs") >= group_docs, F.col(name))
-            .when(F.col("lang_docs") >= group_docs, F.col("lang_" + name))
-            .when(F.col("all_docs") > 0, F.col("all_" + name))
-        )
-        low, mid, high = (F.kll_sketch_get_quantile_double(chosen, F.lit(q)) for q in (0.25, 0.5, 0.75))
-        usual = F.greatest(high + SPREADS * (high - low), mid + slack)
-        # The same for a symmetric group, from its lower half alone.
-        lower = F.greatest(mid + (1 + 2 * SPREADS) * (mid - low), mid + slack)
-        out.append(F.when(high > lower, lower).otherwise(usual).alias("max_" + name))
+        limit = F.lit(None).cast("double")
+        for level in ("all_", "lang_", ""):
+            n = F.col(level + "docs")
+            # An empty sketch has no quantiles.
+            own = F.when(n > 0, _limit(F.col(level + name), slack))
+            weight = n / (n + F.lit(float(group_docs)))
+            limit = F.coalesce(weight * own + (1 - weight) * limit, own, limit)
+        out.append(limit.alias("max_" + name))
     return leveled.select(F.col("lang").alias("group_lang"), F.col("source").alias("group_source"), *out)
 
 

@@ -112,8 +112,87 @@ def test_query(spark, sf_dir, texts):
             assert r.kept == bool(labels[r.doc_id])
 
 
+def exact_limits(rows, weight=rules.GROUP_DOCS):
+    """rows: (lang, source, text). Limits from sorted values in place of sketches."""
+    shares = {}
+    for lang, source, text in {(g, s, t) for g, s, t in rows}:
+        n, chars, symbols, dups, repeats = counts(text)
+        if n < 50 or 100 * repeats > 50 * n:
+            shares.setdefault((lang, source), [])
+            continue
+        lines = sum(1 for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0d]", x))
+        values = (symbols / chars, dups / (lines + 4), repeats / (n + 50), chars / n)
+        shares.setdefault((lang, source), []).append(values)
+
+    def limit(found, i, slack):
+        values = sorted(v[i] for v in found)
+        low, mid, high = (values[max(0, -(-len(values) * k // 4) - 1)] for k in (1, 2, 3))
+        lower = max(mid + 13 * (mid - low), mid + slack)
+        return lower if high > lower else max(high + 6 * (high - low), mid + slack)
+
+    out = {}
+    for lang, source in shares:
+        levels = (
+            [v for x in shares.values() for v in x],
+            [v for (g, _), x in shares.items() if g == lang for v in x],
+            shares[lang, source],
+        )
+        for i, (name, slack) in enumerate(rules.SLACK.items()):
+            value = None
+            for found in levels:
+                if found:
+                    w, own = len(found) / (len(found) + weight), limit(found, i, slack)
+                    value = own if value is None else w * own + (1 - w) * value
+            out[lang, source, name] = value
+    return out
+
+
+@pytest.mark.parametrize("weight", [20, 1, 500])
+def test_limits_equal_those_of_exact_quantiles(documents, odd, weight):
+    both = documents.select("doc_id", "text", "lang", "source").unionByName(odd.select("doc_id", "text", "lang", "source"))
+    narrow = both.select("doc_id", F.xxhash64("text").alias("row_key"), "text", "lang", "source")
+    want = exact_limits([(r.lang, r.source, r.text) for r in both.collect()], weight)
+    got = rules.thresholds(rules.base_counts(narrow), group_docs=weight).collect()
+    assert {(r.group_lang, r.group_source) for r in got} == {k[:2] for k in want}
+    for r in got:
+        for name in rules.SLACK:
+            assert r["max_" + name] == pytest.approx(want[r.group_lang, r.group_source, name])
+
+
+def test_verdicts_equal_those_of_exact_quantiles(documents):
+    rows = documents.collect()
+    limits = exact_limits([(r.lang, r.source, r.text) for r in rows])
+    kept = {r.doc_id: r.kept for r in rules.judge(documents).collect()}
+    for r in rows:
+        n, chars, symbols, dups, repeats = counts(r.text)
+        if n < 50 or 100 * repeats > 50 * n:
+            assert not kept[r.doc_id]
+            continue
+        lines = sum(1 for x in r.text.split("\n") if re.search(r"[^\x20\x09-\x0d]", x))
+        values = (symbols / chars, dups / (lines + 4), repeats / (n + 50), chars / n)
+        within = all(v <= limits[r.lang, r.source, name] for v, name in zip(values, rules.SLACK, strict=True))
+        assert kept[r.doc_id] == within
+
+
+def test_no_jump_with_the_size_of_a_group(spark):
+    """Limits of a group move evenly from those of its language to its own."""
+    def made(n):
+        plain = [(f"p{i} " + passage(i, 80), "en", "prose") for i in range(400)]
+        marked = [(passage(1_000 + i, 80).replace("x", "<>&x"), "en", "markup") for i in range(n)]
+        df = spark.createDataFrame([(i, t, g, s) for i, (t, g, s) in enumerate(plain + marked)], "doc_id long, text string, lang string, source string")
+        narrow = df.select("doc_id", F.xxhash64("text").alias("row_key"), "text", "lang", "source")
+        limits = rules.thresholds(rules.base_counts(narrow)).where("group_source = 'markup'").first()
+        return limits.max_symbol_share
+
+    sizes = [1, 2, 39, 40, 41, 199, 200, 201]
+    limits = dict(zip(sizes, map(made, sizes), strict=True))
+    assert limits[1] < 0.1 < limits[40] < limits[200]
+    for n in (1, 39, 40, 199, 200):
+        assert 0 <= limits[n + 1] - limits[n] < 0.02
+
+
 def test_sketch_merging_equals_one_sketch(odd):
     counted = rules.base_counts(odd)
-    limits = rules.thresholds(counted, group_docs=10**9)
+    limits = rules.thresholds(counted, group_docs=float("inf"))
     assert limits.select(*[c for c in limits.columns if c.startswith("max_")]).distinct().count() == 1
     assert limits.where(F.col("max_word_length").isNull()).count() == 0
