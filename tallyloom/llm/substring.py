@@ -6,7 +6,9 @@ hash is the window's anchor, which depends on the window's words alone. Neighbou
 one anchor form a unit, and a unit goes to the shard of its anchor. Two equal windows thus meet in
 one shard, each window is looked up once, and the work grows with the input.
 
-1. Anchors that occur in one document only are dropped by an aggregate of two numbers.
+0. Of equal texts only the one with the smallest doc_id goes on. The others lose all their words if
+   they have a window at all, and as they come later they answer for nobody.
+1. Anchors that occur in one text only are dropped by an aggregate of two numbers.
 2. Units of the rest become text; equal units are one row with the smallest doc_id.
 3. An anchor with very many units (a passage that sits in many contexts) is cut into single
    windows, which go to shards of their own hash; equal windows are one row, so no key is hot.
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyloom.llm.common import (
+    BATCH_BYTES,
     Words,
     arrow_binary,
     grams,
@@ -41,7 +44,9 @@ from tallyloom.llm.wavelet import FMIndex
 
 WINDOW = 50
 ANCHOR = 12
-#: Units of one anchor beyond which it is cut into single windows.
+#: End of a range that stands for a whole text.
+COPY = -1
+#: Texts that share an anchor beyond which it is cut into single windows.
 HOT_UNITS = 2_000
 #: Words that one index takes; with one key's units on top at most.
 INDEX_WORDS = 400_000
@@ -107,10 +112,12 @@ def _unpack(values: list[bytes | None]) -> list[str | None]:
 def _unit_texts(packed: DataFrame, window: int) -> DataFrame:
     """The words of the wanted units; windows one by one where the anchor is hot."""
 
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    names = ("doc_id", "row_key", "start", "windows", "hot", "key", "digest", "words")
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.binary(), pa.binary())
+
+    def units_of(batch: pa.RecordBatch) -> Iterator[tuple]:
         ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         words, wanted = Words(_unpack(batch.column(2).to_pylist())), batch.column(3).to_pylist()
-        out: dict[str, list] = {k: [] for k in ("doc_id", "row_key", "start", "windows", "hot", "key", "digest", "words")}
         for i in range(batch.num_rows):
             base = int(words.first[i])
             singles = None
@@ -123,21 +130,43 @@ def _unit_texts(packed: DataFrame, window: int) -> DataFrame:
                 for start, count, key in cuts:
                     text = words.text(base + start, base + start + count + window - 1)
                     digest = hashlib.blake2b(text, digest_size=16).digest()
-                    for k, v in zip(out, (ids[i], keys[i], start, count, u["hot"], key, digest, text), strict=True):
-                        out[k].append(v)
-        kinds = (
-            pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.binary(), pa.binary()
-        )
-        return pa.RecordBatch.from_arrays(
-            [pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], list(out)
-        )
+                    yield ids[i], keys[i], start, count, u["hot"], key, digest, text
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            columns = zip(*held, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, kinds, strict=True)], list(names))
 
-    return map_batches(
-        packed, run,
+        for batch in batches:
+            for low in range(0, batch.num_rows, 32):
+                for unit in units_of(batch.slice(low, 32)):
+                    held.append(unit)
+                    size += len(unit[-1]) + 64
+                    if size >= BATCH_BYTES:
+                        yield flush()
+                        held, size = [], 0
+        if held:
+            yield flush()
+
+    return packed.mapInArrow(
+        run,
         "doc_id long, row_key long, start int, windows int, hot boolean, key long, digest binary, words binary",
     )
 
 
+def _copies(docs: DataFrame) -> DataFrame:
+    """doc_id and row_key of the rows whose text a smaller doc_id has as well."""
+    named = docs.select("doc_id", "row_key", F.xxhash64(F.lit(1), "text").alias("more"))
+    first = (
+        named.groupBy("row_key", "more").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+        .where("lo < hi").drop("hi")
+    )
+    return named.join(first, ["row_key", "more"]).where("doc_id > lo").select("doc_id", "row_key").distinct()
+
+
 def _search(held: list[tuple], window: int) -> Iterator[tuple]:
     """Index the units of some keys, stream them past it, yield stretches with a smaller doc_id."""
     words = Words([t.decode() for _, t, _, _ in held])
@@ -199,9 +228,11 @@ def _stretches(units: DataFrame, window: int, index_words: int) -> DataFrame:
     return units.mapInArrow(run, "digest binary, low int, high int, other long")
 
 
-def _cut(packed: DataFrame, whole: bool = False) -> DataFrame:
+def _cut(packed: DataFrame, window: int, whole: bool = False) -> DataFrame:
     """Kept words and counts per row; ``cuts`` are word ranges to remove, or null.
 
+    A range that ends at COPY stands for all words of a text that has a window.
+
     ``whole`` adds the text as it was.
     """
 
@@ -211,7 +242,9 @@ def _cut(packed: DataFrame, whole: bool = False) -> DataFrame:
         for text, ranges in zip(texts, cuts, strict=True):
             words = [] if text is None else text.encode("utf-8", "replace").split()
             total.append(len(words))
-            if ranges:
+            if ranges and ranges[0]["high"] == COPY:
+                words = words if len(words) < window else []
+            elif ranges:
                 edge = np.zeros(len(words) + 1, np.int64)
                 np.add.at(edge, [r["low"] for r in ranges], 1)
                 np.add.at(edge, [r["high"] for r in ranges], -1)
@@ -258,9 +291,12 @@ def cut_repeats(
     docs = docs.select("doc_id", F.xxhash64("text").alias("row_key"), "text", *held)
     named = docs.where("doc_id is not null").select("doc_id", "row_key", "text")
     found = stored(_units(named, window, anchor), "units")
-    # Written out, so that both sides of the join are plain and Spark can split a hot anchor.
+    copies = stored(_copies(named), "copies")
+    # Written out, so that both sides of the join are plain and Spark can split a hot anchor. Equal
+    # texts count once, by their row key.
     shared = stored(
-        found.groupBy("anchor")
+        found.groupBy("anchor", "row_key").agg(F.min("doc_id").alias("doc_id"))
+        .groupBy("anchor")
         .agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n"))
         .where("lo < hi")
         .select("anchor", (F.col("n") > hot_units).alias("hot")),
@@ -270,10 +306,11 @@ def cut_repeats(
         found.join(shared, "anchor")
         .groupBy("doc_id", "row_key")
         .agg(F.collect_set(F.struct("start", "windows", "anchor", "hot")).alias("wanted"))
+        .join(copies, ["doc_id", "row_key"], "left_anti")
     )
     occurrences = stored(
         _unit_texts(
-            _pack(named).join(wanted.hint("shuffle_hash"), ["doc_id", "row_key"]).select(
+            _pack(named).join(wanted.hint("merge"), ["doc_id", "row_key"]).select(
                 "doc_id", "row_key", "packed", "wanted"
             ),
             window,
@@ -304,10 +341,14 @@ def cut_repeats(
             ).alias("cuts")
         )
     )
+    everything = F.array(F.struct(F.lit(0).alias("low"), F.lit(COPY).alias("high")))
+    cuts = cuts.unionByName(copies.withColumn("cuts", everything))
+    # Joins of texts are by sorted runs, which spill.
     return _cut(
-        _pack(docs).join(cuts.hint("shuffle_hash"), ["doc_id", "row_key"], "left").select(
+        _pack(docs).join(cuts.hint("merge"), ["doc_id", "row_key"], "left").select(
             "doc_id", "row_key", "packed", "cuts", *(["kept"] if keep else [])
         ),
+        window,
         whole=bool(keep),
     )
 

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tallyloom.llm import substring
 from tallyloom.llm.substring import cut_repeats
 
 from .conftest import DOCS, passage
@@ -79,6 +80,43 @@ def test_exact_windows_inside_longer_texts(spark, hot_units):
     assert result(cut_repeats(df, hot_units=hot_units)) == want
 
 
+@pytest.mark.parametrize("hot_units", [2_000, 5])
+def test_copies_collapse_first(spark, monkeypatch, hot_units):
+    """Many copies of one text write about that text, in any order of ids, beside near copies of it."""
+    base, written = passage(1, 300), {}
+    rows = [(1_000 + i, base) for i in range(400)] + [(1_000, base)]
+    rows += [(i, f"{passage(50 + i, 20)} {passage(7, 60)} {passage(90 + i, 20)}") for i in range(20)]
+    rows += [(5_000 + i, base.replace(f"w1x{i} ", "edit ")) for i in range(1, 6)]
+    rows += [(6_000, base.replace(" ", "  ")), (900, passage(3, 49)), (901, passage(3, 49)), (902, None), (903, None), (None, base)]
+    rows += [(2_000, "x " * 30), (2_001, "x " * 30)]
+
+    def counted(df, label):
+        out = stored(df, label)
+        if label == "unit-texts":
+            written["bytes"] = sum(len(r.words) for r in out.select("words").collect())
+        return out
+
+    stored = substring.stored
+    monkeypatch.setattr(substring, "stored", counted)
+    df = spark.createDataFrame([(*r, *[None] * 8) for r in rows], DOCS).repartition(4)
+    assert result(cut_repeats(df, hot_units=hot_units)) == brute(rows)
+    many = written["bytes"]
+    few = df.where("not doc_id between 1002 and 1399")
+    assert result(cut_repeats(few, hot_units=hot_units)) == brute([r for r in rows if not 1_002 <= (r[0] or 0) < 1_400])
+    assert many == written["bytes"] > 0  # what is written does not depend on the number of copies
+    plain = df.where("doc_id between 1000 and 1399")
+    assert result(cut_repeats(plain, hot_units=hot_units)) == brute([r for r in rows if r[0] and 1_000 <= r[0] < 1_400])
+    assert written["bytes"] == 0
+
+
+def test_batches_of_units_are_bounded(spark, monkeypatch):
+    """A long text under a hot anchor comes out in many small batches."""
+    monkeypatch.setattr(substring, "BATCH_BYTES", 2_000)
+    rows = [(i, f"{passage(5, 120)} {passage(100 + i, 30)}") for i in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(cut_repeats(df, hot_units=2)) == brute(rows)
+
+
 def test_query(spark, sf_dir, texts):
     from __spark_entry__ import queries
 
