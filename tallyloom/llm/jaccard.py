@@ -45,9 +45,13 @@ SKETCH_BLOCK = 1 << 14
 #: Sizes are told apart by factors of this; sizes that may link differ by SIZE_STEPS at most.
 SIZE_FACTOR = 1.05
 SIZE_STEPS = 7
-#: Documents whose prefixes one task of the candidate search takes, about: some 60 MB of runs. A set
-#: comes out of every shard in which it meets another, so large shards put out fewer rows.
+#: Documents whose prefixes one task of the candidate search takes, about, in so many shards, of which
+#: it holds one at a time. A set comes out of every task in which it meets another, so a task with much
+#: to read puts out fewer rows.
 SHARD_DOCS = 40_000
+SHARDS_PER_TASK = 8
+#: Pairs of node and hub that a task holds before it puts them out.
+HELD_PAIRS = 4_000_000
 #: Large hubs up to which their list is broadcast (twelve bytes each); beyond, it is joined by hash.
 BROADCAST_HUBS = 1_000_000
 #: Sets of a tile beyond which it is split.
@@ -177,39 +181,59 @@ def _prefixes(docs: DataFrame, shared_frequencies, shards: int) -> DataFrame:
     return map_batches(docs, run, "shard long, base long, members binary, offsets binary, sizes binary")
 
 
+def _chains(members: list[np.ndarray], owners: list[np.ndarray], sizes: list[np.ndarray]) -> np.ndarray:
+    """Pairs (node, hub) of one shard: holders of a member, cut into chains of sizes that may link."""
+    m, o, s = np.concatenate(members), np.concatenate(owners), np.concatenate(sizes).astype(np.int32)
+    if not len(m):
+        return np.empty((0, 2), np.int64)
+    order = np.lexsort((s, m))
+    m, o, s = m[order], o[order], s[order]
+    fresh = (m[1:] != m[:-1]) | (s[1:] - s[:-1] > SIZE_STEPS)
+    start = np.flatnonzero(np.concatenate(([True], fresh)))
+    size = np.diff(np.concatenate((start, [len(m)])))
+    hub = np.repeat(np.minimum.reduceat(o, start), size)
+    kept = np.repeat(size > 1, size)
+    return np.unique(np.stack((o[kept], hub[kept]), axis=1), axis=0)
+
+
 def _meet(runs: DataFrame) -> DataFrame:
-    """Every node that shares a member with others of like size, and the smallest of them."""
+    """Every node that shares a member with others of like size, and the smallest of them.
+
+    A task takes one shard after the other, so it holds one of them at a time, and puts a pair out once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        members, owners, sizes = [], [], []
+        last, held = None, ([], [], [])
+        found: list[np.ndarray] = []
+
+        def emit() -> Iterator[pa.RecordBatch]:
+            pairs = np.unique(np.concatenate([*found, np.empty((0, 2), np.int64)]), axis=0)
+            found.clear()
+            for at in range(0, len(pairs), 1 << 16):
+                part = pairs[at : at + (1 << 16)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part[:, 0].copy()), pa.array(part[:, 1].copy())], ["node", "hub"]
+                )
+
         for batch in batches:
-            for base, packed, offsets, steps in zip(
-                *(batch.column(j).to_pylist() for j in (1, 2, 3, 4)), strict=True
+            for shard, base, packed, offsets, steps in zip(
+                *(batch.column(j).to_pylist() for j in range(5)), strict=True
             ):
-                sizes.append(np.frombuffer(steps, "<u2"))
-                members.append(np.frombuffer(packed, "<u8"))
+                if shard != last and held[0]:
+                    found.append(_chains(*held))
+                    held = ([], [], [])
+                    if sum(map(len, found)) > HELD_PAIRS:
+                        yield from emit()
+                last = shard
                 kind = "<u4" if len(offsets) < len(packed) else "<u8"
-                owners.append(np.frombuffer(offsets, kind).astype(np.int64) + base)
-        if not members:
-            return
-        m, o, s = np.concatenate(members), np.concatenate(owners), np.concatenate(sizes).astype(np.int32)
-        if not len(m):
-            return
-        order = np.lexsort((s, m))
-        m, o, s = m[order], o[order], s[order]
-        fresh = (m[1:] != m[:-1]) | (s[1:] - s[:-1] > SIZE_STEPS)
-        start = np.flatnonzero(np.concatenate(([True], fresh)))
-        size = np.diff(np.concatenate((start, [len(m)])))
-        hub = np.repeat(np.minimum.reduceat(o, start), size)
-        kept = np.repeat(size > 1, size)
-        pairs = np.unique(np.stack((o[kept], hub[kept]), axis=1), axis=0)
-        for at in range(0, len(pairs), 1 << 16):
-            part = pairs[at : at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part[:, 0].copy()), pa.array(part[:, 1].copy())], ["node", "hub"]
-            )
+                held[0].append(np.frombuffer(packed, "<u8"))
+                held[1].append(np.frombuffer(offsets, kind).astype(np.int64) + base)
+                held[2].append(np.frombuffer(steps, "<u2"))
+        if held[0]:
+            found.append(_chains(*held))
+        yield from emit()
 
-    return runs.mapInArrow(run, "node long, hub long")
+    return runs.sortWithinPartitions("shard").mapInArrow(run, "node long, hub long")
 
 
 def _level(n: int) -> int:
@@ -460,7 +484,7 @@ def near_duplicates(
     frequencies = spark.sparkContext.broadcast(_frequencies(profile, sketch_bits))
     named = docs.where("doc_id is not null")
     parts = max(4, -(-total // shard_docs))
-    runs = _prefixes(named, frequencies, 4 * parts)
+    runs = _prefixes(named, frequencies, SHARDS_PER_TASK * parts)
     met = _meet(runs.repartition(parts, "shard")).distinct()
     # A set's copies hold the same members, so its first document stands for them everywhere.
     classes = (
