@@ -43,7 +43,7 @@ from tallyloom.sources.exports import (
 
 _HISTORY, _COMMENTS, _POSTS, _WATCHED, _FOLLOWERS = REQUIRED_EXPORTS
 
-Reader = Callable[[SparkSession, str, Column, str], DataFrame]
+Reader = Callable[[SparkSession, str, Column, str | None], DataFrame]
 
 # Raw table -> (path below the landing folder, reader).
 BATCH: dict[str, tuple[str, Reader]] = {
@@ -107,13 +107,14 @@ def land_batch(
     landing: str,
     raw_root: str,
     at: datetime | None = None,
-    newline: str = "\n",
+    newline: str | None = None,
 ) -> dict[str, str]:
     """Append every source that has landed to its raw table.
 
     All rows of the batch carry one ingest time. A source whose files are missing is
-    skipped, and so is one without rows; the outcome per table is returned. ``newline`` is
-    the line end by which large text exports are split; any line end is read.
+    skipped, and so is one without rows; the outcome per table is returned. Large
+    text exports are split by the line end that each file has, or by ``newline``; any line end
+    is read.
     """
     stamp = F.lit(at or datetime.now(timezone.utc))
 

@@ -6,10 +6,13 @@ is still read as many splits.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import extract_field, strip
+from tallyloom.sources.heads import file_heads, line_end
 from tallyloom.sources.tables import attach_ingested_at
 
 # Block separators and headers of the exports.
@@ -49,24 +52,32 @@ def read_blocks_delim(spark: SparkSession, path: str, delim: str) -> DataFrame:
 
 
 def read_blocks_lookahead(
-    spark: SparkSession, path: str, header: str, blank_lines: int = 1, newline: str = "\n"
+    spark: SparkSession, path: str, header: str, blank_lines: int = 1, newline: str | None = None
 ) -> DataFrame:
     """One row per block that starts with ``header``, which stays part of the block.
 
-    ``blank_lines`` is the number of empty lines before a header. ``newline`` is the
-    line end by which the reader splits large files; ``"\\r\\n"`` for exports written
-    that way. Files with other or mixed line ends are read whole and cut here, so they
+    ``blank_lines`` is the number of empty lines before a header. The line end by which the
+    reader splits a large file is looked up in the file's first bytes, or given as ``newline``
+    for all of them. Files with other or mixed line ends are cut here as well, so they
     give the same blocks. The reader takes the header away together with the separator;
     it is put back except for the first block of a file, which still has it.
     """
-    separator = newline * (blank_lines + 1) + header
+    by_end: dict[str, list[str]] = {}
+    if newline is None:
+        for name, head in file_heads(spark, path):
+            by_end.setdefault("\n" if head is None else line_end(head), []).append(name)
+    if len(by_end) < 2:
+        by_end = {newline or next(iter(by_end), "\n"): [path]}
     value = F.col("value")
     block = F.when(strip(value).startswith(header), value).otherwise(
         F.concat(F.lit(header), value)
     )
     parts = F.split(_one_way(block), "\n" * (blank_lines + 1) + f"(?=\\Q{header}\\E)")
+    scans = [
+        spark.read.text(files, lineSep=end * (blank_lines + 1) + header) for end, files in by_end.items()
+    ]
     return (
-        spark.read.text(path, lineSep=separator)
+        reduce(DataFrame.unionByName, scans)
         .where(strip(value) != "")
         .select(F.explode(parts).alias("part"))
         .where(strip("part") != "")

@@ -1,5 +1,5 @@
 import json
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -247,3 +247,56 @@ def test_land_batch_tolerates_missing_sources(spark, tmp_path):
     assert rows(stored["mart_tiktok_live_perfomance"].select("room_id", "total_views")) == [
         ("11", 1234), ("13", None),
     ]
+
+
+@pytest.fixture()
+def small_splits(spark):
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "4096")
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
+def test_large_exports_split_by_their_own_line_end(spark, tmp_path, small_splits, end):
+    text = "".join(f"Date: 2024-01-01 10:00:00 UTC\nUsername: user{i}\n\n" for i in range(2_000))
+    write(tmp_path / "Follower.txt", text, end)
+    blocks = src.read_blocks_lookahead(spark, str(tmp_path / "Follower.txt"), "Date:")
+    assert blocks.rdd.getNumPartitions() > 8
+    assert {b.block.split("user")[1] for b in blocks.collect()} == {str(i) for i in range(2_000)}
+    largest = blocks.select(F.spark_partition_id().alias("p")).groupBy("p").count().agg(F.max("count")).first()[0]
+    assert largest < 400  # no task has the whole file
+
+
+def test_files_of_several_line_ends(spark, tmp_path, small_splits):
+    """Large files of every line end, a small one, and one whose line end changes on the way."""
+    text = "".join(f"Date: {{0}}-{i}\nUsername: u\n\n" for i in range(800))
+    for name, end in (("a", "\n"), ("b", "\r\n"), ("c", "\r")):
+        write(tmp_path / f"{name}.txt", text.replace("{0}", name), end)
+    write(tmp_path / "small.txt", "Date: s-0\nUsername: u\n\n", "\r\n")
+    half = text.replace("{0}", "m")
+    (tmp_path / "mixed.txt").write_bytes((half[:15_000] + half[15_000:].replace("\n", "\r\n")).encode())
+    blocks = src.read_blocks_lookahead(spark, str(tmp_path), "Date:").collect()
+    got = sorted(b.block.split("\n")[0].removeprefix("Date: ") for b in blocks)
+    assert got == sorted([f"{f}-{i}" for f in "abcm" for i in range(800)] + ["s-0"])
+
+
+def test_large_metric_files_of_both_byte_orders(spark, tmp_path, small_splits):
+    """Files of either order split by what their mark says, through the landing job's defaults."""
+    folder = tmp_path / "in/facebook/csv"
+    folder.mkdir(parents=True)
+    start = date(2020, 1, 1)
+    days = [(start + timedelta(days=i)).isoformat() for i in range(1_000)]
+    lines = "sep=,\r\n\"Page\"\r\n\"Date\",\"Primary\"\r\n" + "".join(f'"{d}","{i}"\r\n' for i, d in enumerate(days))
+    (folder / "Views.csv").write_bytes(b"\xff\xfe" + lines.encode("utf-16-le"))
+    (folder / "Visits.csv").write_bytes(b"\xfe\xff" + lines.encode("utf-16-be"))
+    (folder / "Follows.csv").write_bytes("\"Date\",\"Primary\"\r\n2024-01-01,5\r\n".encode("utf-16"))
+    read = src.read_metric_csvs(spark, str(folder), ingested_at=F.lit(datetime(2024, 1, 1)))
+    assert read.rdd.getNumPartitions() > 8
+    assert land_batch(spark, str(tmp_path / "in"), str(tmp_path / "raw"))["facebook_csv_insights"] == "appended"
+    landed = spark.read.parquet(str(tmp_path / "raw/facebook_csv_insights"))
+    want = {(m, d, i) for m in ("page_views", "page_visits") for i, d in enumerate(days)}
+    assert {(r.metric_name, str(r.date), r.value) for r in landed.collect()} == want | {("page_follows_daily", "2024-01-01", 5)}
