@@ -3,6 +3,9 @@
 from tallyloom.operators.aggregates import (
     agg_global,
     count_by,
+    distinct_error,
+    distinct_over,
+    distinct_sketches,
     pivot_metrics,
     union_all,
     unpivot_reactions,
@@ -51,6 +54,9 @@ __all__ = [
     "date_spine",
     "dedup_earliest",
     "dedup_latest",
+    "distinct_error",
+    "distinct_over",
+    "distinct_sketches",
     "expand_days",
     "forward_fill",
     "gap_fill",

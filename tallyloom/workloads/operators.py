@@ -45,6 +45,9 @@ from tallyloom.operators import (
     date_spine,
     dedup_earliest,
     dedup_latest,
+    distinct_error,
+    distinct_over,
+    distinct_sketches,
     expand_days,
     forward_fill,
     gap_fill,
@@ -65,6 +68,8 @@ from tallyloom.operators import (
 )
 from tallyloom.plans.marts import ATTACHMENT_CATEGORIES, METRIC_CATEGORIES, POST_RULES
 from tallyloom.plans.staging import FLAGGED_EVENTS
+from tallyloom.session import scratch_path
+from tallyloom.sources import materialize_table
 from tallyloom.workloads.data import raw_frame, table
 from tallyloom.workloads.models import over_models, rounded
 
@@ -929,6 +934,23 @@ def agg_count_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "agg_count_distinct_merged",
+    """
+    select date_trunc('month', ts)::date as month, count(distinct user_id) as users, true as within
+    from events group by all""",
+)
+def agg_count_distinct_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months from stored sketches of days, beside the exact count: within the stated error or not."""
+    events = table(spark, sf_dir, "events").select("user_id", F.col("ts").cast("date").alias("day"))
+    days = materialize_table(distinct_sketches(events, ["day"], "user_id"), scratch_path(spark, "day-sketches"))
+    month = F.trunc("day", "month").alias("month")
+    near = distinct_over(days, [month], "estimate")
+    exact = events.groupBy(month).agg(F.count_distinct("user_id").alias("users"))
+    apart = F.abs(F.col("estimate") - F.col("users")) <= F.greatest(F.lit(1.0), distinct_error() * F.col("users"))
+    return exact.join(near, "month").select("month", "users", apart.alias("within"))
+
+
 @query(
     "agg_count_if",
     """

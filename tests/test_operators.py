@@ -227,3 +227,19 @@ def test_union_all_matches_names(spark):
     a = spark.createDataFrame([(1, "x")], "i int, s string")
     b = spark.createDataFrame([("x", 1)], "s string, i int")
     assert rows(op.union_all(a, b)) == [(1, "x"), (1, "x")]
+
+
+def test_merged_sketches_count_distinct_values(spark):
+    """Days overlap, so their counts do not add up; NULLs and a day without values count nothing."""
+    rows_ = [(d, None if i % 50 == 0 else (i * 7 + d * 400) % 9_000) for d in range(6) for i in range(3_000)]
+    df = spark.createDataFrame([*rows_, (9, None)], "day int, user bigint")
+    days = op.distinct_sketches(df, ["day"], "user")
+    assert days.count() == 7 and max(len(r.sketch) for r in days.collect()) <= 2**14 + 64
+    exact = len({u for _, u in rows_ if u is not None})
+    got = op.distinct_over(days, [], "users").first().users
+    assert abs(got - exact) <= op.distinct_error() * exact
+    by_half = {r.half: r.users for r in op.distinct_over(days, [(F.col("day") >= 3).alias("half")], "users").collect()}
+    for half in (False, True):
+        want = len({u for d, u in rows_ if u is not None and (d >= 3) == half})
+        assert abs(by_half[half] - want) <= op.distinct_error() * want
+    assert op.distinct_over(days.where("day = 9"), [], "users").first().users == 0
