@@ -207,8 +207,9 @@ def _featured(df: DataFrame, keep: list[str]) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """Fit on at most ``fit_rows`` labelled documents (doc_id, quality), the same on every run.
 
-    Rows without a doc_id or a label are left out. A doc_id labelled twice counts twice. Rows are
-    in hash order of doc_id, so the sample does not depend on the layout of the tables.
+    Rows without a doc_id or a label are left out. A doc_id labelled twice, or with several texts,
+    counts as often, but the rows that reach the driver are ``fit_rows`` at most. Rows are in hash
+    order of doc_id, so the sample does not depend on the layout of the tables.
     """
     chosen = (
         labels.where("quality is not null and doc_id is not null")
@@ -216,7 +217,9 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model
         .orderBy(F.xxhash64("label_id"), "label_id", "quality").limit(fit_rows)
     )
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
-    got = _featured(rows, ["doc_id", "quality"]).collect()  # at most fit_rows rows of one size
+    # The bound holds for rows of one size each, also where a doc_id stands many times in docs.
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("quality"), F.col("packed")]
+    got = _featured(rows, ["doc_id", "quality"]).orderBy(*order).limit(fit_rows).collect()
     got.sort(key=lambda r: (r["doc_id"], r["quality"], r["packed"]))
     x = np.array([np.frombuffer(r["packed"], "<f8") for r in got]).reshape(len(got), len(FEATURES))
     return fit(x, np.array([r["quality"] for r in got]))

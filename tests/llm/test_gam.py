@@ -51,3 +51,16 @@ def test_query_on_held_out_labels(spark):
     for quality in (0, 1):
         of = [r for r in held if labels[r.doc_id] == quality]
         assert sum(r.predicted == quality for r in of) >= 0.9 * len(of)
+
+
+def test_the_bound_holds_for_rows(spark, monkeypatch):
+    """A labelled doc_id that stands very often brings no more rows than the bound."""
+    seen = []
+    fit = gam.fit
+    monkeypatch.setattr(gam, "fit", lambda x, y: seen.append(len(x)) or fit(x, y))
+    rows = [(1, f"text {i % 3} " * 20) for i in range(300)] + [(i, f"word{i} " * 30) for i in range(2, 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 12)], "doc_id long, quality int")
+    gam.train(docs, labels, fit_rows=10)
+    gam.train(docs, labels)
+    assert seen == [10, 310]
