@@ -1,14 +1,23 @@
 """License scan: MinHash bands over overlapping windows find templates, exact containment confirms.
 
 Texts and templates become words (runs of letters and digits, lower case) and shingles of five
-words. A template is cut into every window of ``W`` shingles; W is 1 for templates of fewer than
-``LONG`` shingles and ``WINDOW`` else. A text is cut into windows of W shingles every half window.
-A copy of a long template then holds at least one of the text's windows whole, and the template
-has that very window, so all bands agree. For edited copies each window that keeps a similarity s
-meets with probability 1 - (1 - s) ** BANDS (0.996 at 0.75), as every band hashes the shingles anew.
-What the bands miss is found by single shingles: a text that holds the wanted share of a template's
-n shingles, m of them, holds one of any n - m + 1, so that many of each template are keys as well.
-All of it is DataFrame expressions on one row, so there is no shuffle before the matches.
+words. Windows are W shingles long by the template's length class: 1 for templates of fewer than
+``LONG`` distinct shingles, ``WINDOW`` else. A template is cut into windows at every place, a text
+at every second one (every one for W = 1). Each of ``BANDS`` bands keeps a window's smallest shingle
+hash under its own order, and a template that shares a band key with a text becomes a candidate.
+
+How surely that finds a template whose shingles a text holds to 75 % and more:
+
+- A run of WINDOW + 1 = 5 shared shingles (nine words on end) holds one of the text's windows whole,
+  and the template has that very window, so all bands agree: certain.
+- An edit of a word or a cut costs at least four shingles in a row, so n shingles of which a quarter
+  is lost are left in at most n / 16 + 1 runs, the longest of which has 0.75 n / (n / 16 + 1)
+  shingles: 6 or more from n = 8 on. Edited copies are thus found with certainty.
+- A text that holds every shingle in a place of its own meets in at least 0.99 of the cases (measured in
+  tests/llm); fewer than 8 shingles are windows of their own, so they are found with certainty.
+
+Everything is DataFrame expressions. Keys are exploded without the texts and joined with a table
+of the templates' keys; only candidates are shingled again and verified.
 """
 
 from __future__ import annotations
@@ -16,16 +25,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import read
+from tallyloom.llm.common import read, stored
 
 SHINGLE = 5
-WINDOW = 8
-LONG = 11
+WINDOW = 4
+LONG = 8
+STEP = 2
 BANDS = 4
 #: Share of a template's shingles that a text must hold.
 CONTAINED = 0.75
-#: Templates are literals of the plan; more are refused.
-MAX_TEMPLATES = 200
+#: Rows that are broadcast at most (keys of templates, candidates); more are joined by shuffles.
+BROADCAST_ROWS = 1_000_000
+#: A band's order of hashes is that of their exclusive or with its mask, each from another quarter.
+MASKS = tuple((band - 2) * 2**62 + 0x1D8E4E27C47D124F for band in range(BANDS))
 
 # Notices by which works name their license.
 TEMPLATES = (
@@ -78,65 +90,104 @@ def _shingled(df: DataFrame, text: str) -> DataFrame:
     )
 
 
-def _window_keys(shingles: str, step: int) -> Column:
-    """Band keys of the windows of WINDOW shingles that start every ``step`` shingles."""
+def _band_keys(shingles: str, step: int) -> Column:
+    """Smallest hashes, band by band, of the windows of WINDOW shingles that start every ``step`` shingles."""
     last = F.size(shingles) - WINDOW
     starts = F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(step))).otherwise(F.array().cast("array<int>"))
 
-    def keys(start: Column) -> Column:
-        window = F.slice(F.col(shingles), start + 1, F.lit(WINDOW))
-        return F.array(*[
-            F.xxhash64(F.lit(band), F.array_min(F.transform(window, lambda x, b=band: F.xxhash64(F.lit(b), x))))
-            for band in range(BANDS)
-        ])
-
-    return F.flatten(F.transform(starts, keys))
-
-
-def _templates(spark: SparkSession, templates, contained: float) -> tuple[DataFrame, list[int]]:
-    """Per template and key its shingles; and all keys."""
-    given = spark.createDataFrame([*templates], "template string, template_text string")
-    shingled = _shingled(given, "template_text").withColumn("__own", F.array_distinct("__shingles"))
-    wanted = F.greatest(F.lit(1), F.ceil(F.size("__own") * F.lit(float(contained)) - 1e-9))
-    some = F.slice(F.sort_array("__own"), F.lit(1), F.greatest(F.lit(1), F.size("__own") - wanted + 1).cast("int"))
-    keys = F.when(
-        F.size("__shingles") >= LONG, F.concat(_window_keys("__shingles", 1), some)
-    ).otherwise(F.col("__own"))
-    table = shingled.withColumn("__keys", F.array_distinct(keys)).select(
-        "template", "__own", F.explode("__keys").alias("__key")
+    def band(mask: int) -> Column:
+        # The array of one keeps the masked hashes from being worked out anew for every window.
+        masked = F.array(F.transform(shingles, lambda x: x.bitwiseXOR(F.lit(mask))))
+        return F.flatten(F.transform(
+            masked, lambda m: F.transform(starts, lambda i: F.array_min(F.slice(m, i + 1, F.lit(WINDOW))))
+        ))
+
+    return F.flatten(F.array(*[band(mask) for mask in MASKS]))
+
+
+def _templates(given: DataFrame) -> DataFrame:
+    """Per template its id, distinct shingles and the keys of its length class."""
+    shingled = _shingled(given.select("template", "template_text").distinct(), "template_text")
+    return stored(
+        shingled.withColumn("__own", F.array_distinct("__shingles")).select(
+            F.xxhash64("template", "template_text").alias("__id"), "template", "__own",
+            (F.size("__own") >= LONG).alias("__long"),
+            F.array_distinct(
+                F.when(F.size("__own") >= LONG, _band_keys("__shingles", 1)).otherwise(F.col("__own"))
+            ).alias("__keys"),
+        ),
+        "license-templates",
     )
-    return table, sorted({r[0] for r in table.select("__key").collect()})
 
 
-def scan(docs: DataFrame, templates=TEMPLATES, contained: float = CONTAINED) -> DataFrame:
+def _bounded(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` marked for broadcast if it has few rows; Spark picks the join else."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def _candidates(docs: DataFrame, templates: DataFrame) -> DataFrame:
+    """Per (doc_id, __digest) the ids of the templates that share a band key with the text."""
+    sizes = {r["__long"]: r["n"] for r in templates.groupBy("__long").agg(F.sum(F.size("__keys")).alias("n")).collect()}
+    # Windows of a length class are made if there is a template of that class.
+    classes = []
+    if sizes.get(False):
+        classes.append(F.col("__shingles"))
+    if sizes.get(True):
+        classes.append(_band_keys("__shingles", STEP))
+    if not classes:
+        classes = [F.array().cast("array<bigint>")]
+    keys = templates.select("__id", F.explode("__keys").alias("__key"))
+    shingled = _shingled(docs, "text").select("doc_id", "__digest", "__shingles")
+    marked = shingled.select("doc_id", "__digest", F.explode(F.array_distinct(F.concat(*classes))).alias("__key"))
+    return stored(
+        marked.join(_bounded(keys, sum(sizes.values())), "__key")
+        .groupBy("doc_id", "__digest").agg(F.collect_set("__id").alias("__ids")),
+        "license-candidates",
+    )
+
+
+def scan(docs: DataFrame, templates: DataFrame | None = None, contained: float = CONTAINED) -> DataFrame:
     """One row per document and template found: doc_id, template, n_template, n_shared, containment.
 
-    A template counts as found if the text holds at least ``contained`` of its distinct shingles,
-    wherever they stand. Null and blank texts hold none. Rows that share a doc_id give one row per
-    template, with the larger share. A null doc_id is reported as null. An empty table, or no
-    templates, gives an empty result; other columns than doc_id and text are not read.
+    ``templates`` has the columns template and template_text and any number of rows; without it,
+    ``TEMPLATES``. A template counts as found if the text holds at least ``contained`` of its
+    distinct shingles, wherever they stand; the recall stated above is that for 0.75. Templates
+    without words are never found; of texts that share a name the one with the largest share counts.
+    Null and blank texts hold none. Rows that share a doc_id give one row per template, with the
+    larger share. A null doc_id is reported as null. An empty table, or no templates, gives an empty
+    result; other columns than doc_id and text are not read.
     """
-    if len(templates) > MAX_TEMPLATES:
-        raise ValueError(f"more than {MAX_TEMPLATES} templates")
     spark = docs.sparkSession
-    table, keys = _templates(spark, templates, contained)
-    known = F.expr(f"array({', '.join(f'{k}L' if k > -(2**63) else 'bigint(-9223372036854775808)' for k in keys)})") if keys else F.array().cast("array<bigint>")
-    rows = _shingled(docs.select("doc_id", "text"), "text").drop("text", "__words")
-    # Single shingles are the windows of length one; their smallest hash is the shingle itself.
-    rows = rows.withColumn("__keys", F.concat("__shingles", _window_keys("__shingles", WINDOW // 2)))
-    hits = rows.select("doc_id", "__shingles", F.explode(F.array_intersect("__keys", known)).alias("__key"))
-    found = hits.join(F.broadcast(table), "__key")  # at most MAX_TEMPLATES templates
+    if templates is None:
+        templates = given_templates(spark)
+    table = _templates(templates)
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("__digest"))
+    found = _candidates(texts, table)
+    near = _bounded(found.withColumnRenamed("doc_id", "__doc"), found.count())
+    met = texts.join(near, F.col("doc_id").eqNullSafe(F.col("__doc")) & (texts["__digest"] == near["__digest"]))
+    held = _shingled(met.select("doc_id", "text", "__ids"), "text").select(
+        "doc_id", F.array_distinct("__shingles").alias("__held"), "__ids"
+    )
+    pairs = held.select("doc_id", "__held", F.explode("__ids").alias("__id"))
+    shared = pairs.join(table.select("__id", "template", "__own"), "__id").select(
+        "doc_id", "template", F.size("__own").cast("long").alias("n_template"),
+        F.size(F.array_intersect("__own", "__held")).cast("long").alias("n_shared"),
+    )
+    best = F.max(F.struct(
+        (F.col("n_shared") / F.col("n_template")).alias("containment"), "n_shared", "n_template"
+    )).alias("best")
     return (
-        found.select(
-            "doc_id", "template", F.size("__own").cast("long").alias("n_template"),
-            F.size(F.array_intersect("__own", "__shingles")).cast("long").alias("n_shared"),
-        )
-        .groupBy("doc_id", "template").agg(F.max("n_template").alias("n_template"), F.max("n_shared").alias("n_shared"))
-        .withColumn("containment", F.col("n_shared") / F.col("n_template"))
+        shared.groupBy("doc_id", "template").agg(best)
+        .select("doc_id", "template", "best.n_template", "best.n_shared", "best.containment")
         .where(F.col("containment") >= contained)
     )
 
 
+def given_templates(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
+    """Pairs of name and text as a table for ``scan``."""
+    return spark.createDataFrame([*templates], "template string, template_text string")
+
+
 def op10_license_scan(spark, sf_dir):
     return scan(read(spark, sf_dir, "documents"))
 
