@@ -4,12 +4,14 @@ A record is a string that ends with the blank lines that separate records, so an
 file with ``\\r\\n\\r\\n`` as its line end, committed by Spark's own protocol and compressed on the
 way. The data source ``warc`` plans one partition per group of files, takes predicates on record
 type and on headers, parses headers first and decodes a payload only for records that pass and
-only if payloads are asked for.
+only if payloads are asked for. It reads archives of other writers too: any record type and id, bodies
+of any encoding, chunked bodies, gzip files with a member per record.
 """
 
 from __future__ import annotations
 
 import io
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -38,10 +40,13 @@ DATE = "2024-01-01T00:00:00Z"
 #: Records of one archive, and bytes of archives that one task reads.
 FILE_RECORDS = 20_000
 PARTITION_BYTES = 64 << 20
+#: Longest line of headers; what is longer is no archive.
+LINE_BYTES = 1 << 20
+_PAGE = re.compile(r"<urn:page:(-?\d{1,19})>")
 
 SCHEMA = (
-    "record_type string, page_id long, target_uri string, payload_digest string, "
-    "payload_bytes long, refers_to long, payload string"
+    "record_type string, record_id string, page_id long, target_uri string, payload_digest string, "
+    "payload_bytes long, refers_to_id string, refers_to long, payload binary"
 )
 
 
@@ -103,8 +108,36 @@ class _Files(InputPartition):
 
 
 def _page(urn: str | None) -> int | None:
-    digits = (urn or "").removeprefix("<urn:page:").removesuffix(">")
-    return int(digits) if digits and digits != "none" else None
+    """The page_id that an id written here holds; ids of other writers hold none."""
+    held = _PAGE.fullmatch(urn or "")
+    return int(held[1]) if held else None
+
+
+def _dechunked(body: bytes) -> bytes:
+    """A body sent in chunks, put together; as it is where it does not keep to that form."""
+    parts, at = [], 0
+    while (end := body.find(b"\r\n", at)) >= 0:
+        digits = body[at:end].partition(b";")[0].strip()
+        if not re.fullmatch(rb"[0-9A-Fa-f]{1,15}", digits):
+            return body
+        size = int(digits, 16)
+        if size == 0:
+            return b"".join(parts)
+        parts.append(body[end + 2 : end + 2 + size])
+        at = end + 2 + size + 2
+        if at > len(body):
+            return body
+    return body
+
+
+def _body(block: bytes, http: bool) -> bytes:
+    """The payload of a record's block: what follows the HTTP headers, if it has any."""
+    if not http:
+        return block
+    head, gap, body = block.partition(b"\r\n\r\n")
+    if not gap:
+        head, gap, body = block.partition(b"\n\n")
+    return _dechunked(body) if re.search(rb"(?im)^transfer-encoding:.*\bchunked\b", head) else body
 
 
 _TESTS = {
@@ -159,14 +192,13 @@ class WarcReader(DataSourceReader):
     def read(self, partition: _Files) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
-        kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
-        names = [c.split()[0] for c in SCHEMA.split(", ")]
-        schema = pa.schema(list(zip(names, kinds, strict=True)))
+        kinds = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
+        schema = pa.schema([(n, kinds[k]) for n, k in (c.split() for c in SCHEMA.split(", "))])
         system, _ = fs.FileSystem.from_uri(self.path)
         held, size = [], 0
         for name in partition.files:
             with system.open_input_stream(name, compression="detect") as raw:
-                for row in self._records(io.BufferedReader(raw, 1 << 20)):
+                for row in self._records(io.BufferedReader(raw, 1 << 20), name):
                     held.append(row)
                     size += len(row["payload"] or "")
                     if len(held) >= 1000 or size > 8 << 20:
@@ -175,41 +207,67 @@ class WarcReader(DataSourceReader):
         if held:
             yield pa.RecordBatch.from_pylist(held, schema)
 
-    def _records(self, stream: io.BufferedReader) -> Iterator[dict]:
-        while line := stream.readline():
+    def _records(self, stream: io.BufferedReader, name: str) -> Iterator[dict]:
+        while line := stream.readline(LINE_BYTES):
+            if not line.strip():
+                continue  # blank lines part the records
             if not line.startswith(b"WARC/"):
-                raise ValueError(f"no WARC record begins with {line[:40]!r}")
-            headers = {}
-            while (line := stream.readline().rstrip(b"\r\n")):
-                name, _, value = line.decode().partition(":")
-                headers[name.strip().lower()] = value.strip()
-            length = int(headers["content-length"])
-            stated = headers.get("warc-x-payload-length")
+                raise ValueError(f"{name}: no WARC record begins with {line[:40]!r}")
+            headers = _headers(stream, name)
+            kind, length = headers.get("warc-type"), headers.get("content-length", "")
+            if not kind or not length.isdecimal():
+                raise ValueError(f"{name}: a record without a type or a length: {headers}")
+            length = int(length)
+            http = headers.get("content-type", "").replace(" ", "").lower().startswith("application/http")
+            # Without HTTP headers the block is the payload.
+            stated = headers.get("warc-x-payload-length", "" if http or kind == "revisit" else str(length))
             row = {
-                "record_type": headers["warc-type"],
+                "record_type": kind,
+                "record_id": headers.get("warc-record-id"),
                 "page_id": _page(headers.get("warc-record-id")),
                 "target_uri": headers.get("warc-target-uri"),
                 "payload_digest": headers.get("warc-payload-digest", "").removeprefix("sha1:") or None,
-                "payload_bytes": int(stated) if stated else None,
+                "payload_bytes": int(stated) if stated.isdecimal() else None,
+                "refers_to_id": headers.get("warc-refers-to"),
                 "refers_to": _page(headers.get("warc-refers-to")),
                 "payload": None,
             }
-            if self._passes(row):
-                if self.payload and row["record_type"] == "response":
-                    row["payload"] = stream.read(length).partition(b"\r\n\r\n")[2].decode()
-                else:
-                    _skip(stream, length)
-                yield row
+            if not self._passes(row):
+                _skip(stream, length, name)
+                continue
+            if self.payload and kind != "revisit":
+                block = stream.read(length)
+                if len(block) < length:
+                    raise EOFError(f"{name} ends inside a record")
+                row["payload"] = _body(block, http)
             else:
-                _skip(stream, length)
-            _skip(stream, 4)
-
-
-def _skip(stream: io.BufferedReader, n: int) -> None:
+                _skip(stream, length, name)
+            yield row
+
+
+def _headers(stream: io.BufferedReader, name: str) -> dict[str, str]:
+    """Header lines up to the blank one, by lower-case name; a line that begins blank goes on with the last."""
+    headers, last = {}, None
+    while True:
+        line = stream.readline(LINE_BYTES)
+        if not line.endswith(b"\n"):
+            raise EOFError(f"{name} ends inside a record's headers")
+        text = line.rstrip(b"\r\n").decode("utf-8", "replace")
+        if not text:
+            return headers
+        if text[0] in " \t" and last:
+            headers[last] = f"{headers[last]} {text.strip()}".strip()
+            continue
+        last, _, value = text.partition(":")
+        last = last.strip().lower()
+        headers[last] = value.strip()
+
+
+def _skip(stream: io.BufferedReader, n: int, name: str) -> None:
     while n > 0:
         got = len(stream.read(min(n, 1 << 20)))
         if not got:
-            raise EOFError("an archive ends inside a record")
+            raise EOFError(f"{name} ends inside a record")
         n -= got
 
 
@@ -227,13 +285,30 @@ class WarcSource(DataSource):
         return WarcReader(self.options["path"], self.options.get("payload", "true") == "true")
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path as a URI of the file system that Spark itself would take."""
+    jvm = spark.sparkContext._jvm
+    given = jvm.org.apache.hadoop.fs.Path(path)
+    system = given.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(given).toUri().toString()
+
+
 def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
-    """Records of all archives below a path. Payloads of revisits are null, as they hold none."""
+    """Records of all archives below a path, one row each, of any type and from any writer.
+
+    ``record_id`` and ``refers_to_id`` are as written; ``page_id`` and ``refers_to`` are null where
+    those are not ids of ``write_warc``. ``payload`` holds the bytes after the HTTP headers (with
+    chunks put together) or the whole block of a record that has none; of revisits it is null.
+    ``payload_bytes`` and ``payload_digest`` are what the headers state, null if they state nothing;
+    a block without HTTP headers has its stated length. Digests other than SHA-1 keep their prefix.
+    Header bytes that are no UTF-8 become replacement signs. A record without a type or length,
+    bytes that are no record and an archive that ends inside one stop the job and name the file.
+    Repeated records are repeated rows; empty files and folders give none.
+    """
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     small_batches(spark)
     spark.dataSource.register(WarcSource)
-    uri = path if "://" in path or path.startswith("file:") else f"file://{path}"
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(uri)
+    return spark.read.format("warc").option("payload", str(payload).lower()).load(_qualified(spark, path))
 
 
 def op8_warc(spark, sf_dir):
