@@ -1,6 +1,9 @@
 """Document fingerprints by Order MinHash.
 
 A text's words give k-mers of ``K`` words, each numbered by its occurrence, so that repeats count.
+A word of more than ``LONG_WORD`` bytes (text without blanks, an address, a long number) counts as several:
+it is cut behind every character at which a hash of the last three bytes says so, one in four, so a
+changed character moves only the cuts beside it.
 For each of ``TUPLES`` hash functions the ``PICKED`` k-mers of smallest hash are taken, put back
 into text order and hashed as a tuple. Two texts share a tuple only if they share those k-mers in
 the same order, so the share of equal tuples falls with the edit distance, not just with the
@@ -16,11 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import Words, grams, map_batches, mix, read, small_batches
+from tallyloom.llm.common import _BYTE_CODES, Words, grams, map_batches, mix, read, run_codes, small_batches
 
 K = 3
 TUPLES = 64
 PICKED = 2
+LONG_WORD = 24
 
 _FACTORS = np.random.Generator(np.random.PCG64(77)).integers(1, 2**63, 4096, np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -70,9 +74,29 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return float(np.count_nonzero(a == b)) / len(a)
 
 
+def _tokens(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the words, long ones in pieces, and the place of each text's first."""
+    long = np.flatnonzero(words.end - words.begin > LONG_WORD)
+    if not len(long):
+        return words.codes, words.first
+    data = np.frombuffer(words.raw, np.uint8)
+    # Three bytes of the word stand before each place looked at, so cuts depend on the word alone.
+    inside = np.zeros(len(data) + 1, np.int8)
+    inside[words.begin[long] + 3] = 1
+    inside[words.end[long]] = -1
+    at = np.flatnonzero(np.cumsum(inside, dtype=np.int8))
+    at = at[(data[at] & 0xC0) != 0x80]  # not within a character
+    last = [data[at - j].astype(np.uint64) << np.uint64(8 * (j - 1)) for j in (1, 2, 3)]
+    cuts = at[mix((last[0] | last[1] | last[2]) + _STEP) & np.uint64(3) == 0]
+    begin = np.sort(np.concatenate((words.begin, cuts)))
+    end = np.sort(np.concatenate((words.end, cuts)))
+    first = np.searchsorted(begin, np.append(words.begin, len(data))[words.first])
+    return run_codes(_BYTE_CODES, data, begin, end), first
+
+
 def _signatures(texts: list[str]) -> list[np.ndarray]:
-    words = Words(texts)
-    return [signature(words.codes[a:b]) for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
+    codes, first = _tokens(Words(texts))
+    return [signature(codes[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
 
 
 def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
