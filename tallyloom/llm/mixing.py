@@ -108,20 +108,30 @@ with sizes as (select source, count(*) size, pow(count(*)::double, {POWER}) weig
 rates as (
   select source, weight / sum(weight) over () * sum(size) over () / size as rate from sizes
 ),
+parts as (select source, greatest(1, ceil(rate / {MOST}))::integer as draws, rate / draws as mean from rates),
 sums as (
-  select source, k, sum(exp(-rate + k * ln(rate) - lgamma(k + 1))) over (partition by source order by k) as c
-  from rates, range(0, 400) r(k) where k <= ceil(rate + 12 * sqrt(rate) + 30)
+  select source, k, sum(exp(-mean + k * ln(mean) - lgamma(k + 1))) over (partition by source order by k) as c
+  from parts, range(0, {int(MOST + 12 * MOST**0.5 + 31)}) r(k) where k <= ceil(mean + 12 * sqrt(mean) + 30)
+),
+uniforms as (
+  select doc_id, source,
+    ('0x' || substr(md5('{SEED}|' || coalesce(doc_id::varchar, 'null') || '|' || i), 1, 13))::bigint
+      / 4503599627370496.0::double as u
+  from (
+    select d.doc_id, d.source, unnest(range(1, p.draws + 1)) as i
+    from (select distinct doc_id, source from documents) d join parts p on d.source is not distinct from p.source
+  )
 ),
 drawn as (
-  select d.doc_id, any_value(d.source) as source,
-    count(*) filter (
-      (('0x' || substr(md5('{SEED}|' || coalesce(d.doc_id::varchar, 'null') || '|1'), 1, 13))::bigint
-        / 4503599627370496.0::double) >= s.c) as n
-  from documents d join sums s on d.source is not distinct from s.source group by d.doc_id
+  select u.doc_id, u.source, count(*) filter (u.u >= s.c) as n
+  from uniforms u join sums s on u.source is not distinct from s.source group by 1, 2
+)
+select doc_id, text, lang, source, n_chars, i::integer as copy,
+  md5('{SEED}|order|' || coalesce(doc_id::varchar, 'null') || '|' || i) as order_key
+from (
+  select d.doc_id, d.text, d.lang, d.source, d.n_chars, unnest(range(1, n + 1)) as i
+  from documents d join drawn on d.doc_id is not distinct from drawn.doc_id and d.source is not distinct from drawn.source
 )
-select d.doc_id, d.text, d.lang, d.source, d.n_chars, i::integer as copy,
-  md5('{SEED}|order|' || coalesce(d.doc_id::varchar, 'null') || '|' || i) as order_key
-from documents d join drawn using (doc_id), range(1, 400) r(i) where i <= n
 """
 
 QUERIES = {"op7_poisson_mix": (op7_poisson_mix, SQL)}

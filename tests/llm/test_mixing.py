@@ -43,3 +43,24 @@ def test_odd_rows(odd, none):
     assert set(got.columns) == {*odd.columns, "order_key"}
     assert got.where("copy < 1").count() == 0
     assert mixing.replicate(none).count() == 0
+
+
+def test_sql_with_nulls_repeats_and_several_draws(spark, monkeypatch):
+    """The SQL over a fixture: null ids and sources, repeated rows, a source of one document at a rate above MOST."""
+    import duckdb
+    import pandas as pd
+
+    rows = [(i, f"t{i}", "en", "big", 2) for i in range(900)]
+    rows += [(900, "rare", "en", "rare", 4), (None, "n", None, None, 1), (None, "n", None, None, 1), (901, "m", "de", None, 1)]
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    power = -1.0  # rare sources weigh most, so that their rates pass MOST
+    assert mixing.rates(docs, power=power).agg({"rate": "max"}).first()[0] > mixing.MOST
+    frame = pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
+    con = duckdb.connect()
+    con.register("documents", frame)
+    sql = mixing.SQL.replace(f", {mixing.POWER}) weight", f", {power}) weight")
+    want = con.execute(f"select doc_id, source, copy, order_key from ({sql})").fetchall()
+    got = mixing.replicate(docs, power=power).select("doc_id", "source", "copy", "order_key").collect()
+    assert len(want) > 300
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
