@@ -12,7 +12,8 @@ How surely that finds a template whose shingles a text holds to 75 % and more:
   and the template has that very window, so all bands agree: certain.
 - An edit of a word or a cut costs at least four shingles in a row, so n shingles of which a quarter
   is lost are left in at most n / 16 + 1 runs, the longest of which has 0.75 n / (n / 16 + 1)
-  shingles: 6 or more from n = 8 on. Edited copies are thus found with certainty.
+  shingles: 6 or more from n = 8 on. Edited copies are thus found with certainty, if the template
+  repeats no shingle; else, where fewer places can hold the distinct ones, by runs and bands as above.
 - A text that holds every shingle in a place of its own meets in at least 0.99 of the cases (measured in
   tests/llm); fewer than 8 shingles are windows of their own, so they are found with certainty.
 
