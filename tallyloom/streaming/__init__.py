@@ -1,5 +1,12 @@
 """Live events: streaming dedup, windows and KPIs, and the end-of-session report."""
 
+from tallyloom.streaming.frequent import (
+    frequent_engagers,
+    land_summaries,
+    merge_summaries,
+    read_summaries,
+    summarize_engagers,
+)
 from tallyloom.streaming.live import (
     activity_sessions,
     closing_event,
@@ -28,16 +35,21 @@ __all__ = [
     "closing_event",
     "closing_sessions",
     "first_deliveries",
+    "frequent_engagers",
     "land_first_deliveries",
+    "land_summaries",
     "latest_upserts",
     "merge_sessions",
+    "merge_summaries",
     "normalize_live_events",
     "read_first_deliveries",
+    "read_summaries",
     "recent_comments",
     "session_kpis",
     "session_report",
     "stream_dedup",
     "stream_events",
+    "summarize_engagers",
     "top_engagers",
     "upsert_batches",
     "viewer_curve",

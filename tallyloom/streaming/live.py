@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -246,6 +246,7 @@ def upsert_batches(
     interval: str | None = None,
     keys: Sequence[str] | None = None,
     first_by: Sequence[str] = (),
+    combine: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Write the changed rows of an update-mode stream, one folder per micro-batch.
 
@@ -254,7 +255,9 @@ def upsert_batches(
     they come: after n batches there are as many as n has binary ones, and a row has been
     rewritten log2(n) times at most. A merge shows when its manifest is in place, so a run
     that dies loses nothing. With ``first_by`` the row of a key that is smallest by those
-    columns stays, instead of the newest batch's.
+    columns stays, instead of the newest batch's. ``combine`` takes the place of ``keys`` where
+    rows are merged otherwise: it turns rows of one or more folders into those of one, and is
+    used once per batch and merge, also when a batch is run again.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -275,6 +278,9 @@ def upsert_batches(
             merged, runs, size = [*merged, part], runs[:-1], size + n
         if merged:
             rows = rows.unionByName(read_version(spark, path, rows.schema, base, merged))
+        if combine:
+            rows = combine(rows.drop("batch_id")).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        elif merged:
             rows = _one_per_key(rows, keys, first_by)
         kept = {part: base.parts[part] for part, _ in runs}
         folder = write_folder(rows, path)[""]
@@ -285,7 +291,7 @@ def upsert_batches(
     writer = (
         updates.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(merge if keys else write)
+        .foreachBatch(merge if keys or combine else write)
     )
     if interval is None:
         return writer.trigger(availableNow=True).start()

@@ -21,10 +21,13 @@ from tallyloom.streaming import (
     closing_event,
     closing_sessions,
     first_deliveries,
+    frequent_engagers,
     land_first_deliveries,
+    land_summaries,
     latest_upserts,
     normalize_live_events,
     read_first_deliveries,
+    read_summaries,
     recent_comments,
     session_kpis,
     stream_dedup,
@@ -332,6 +335,16 @@ def q_top_engagers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_engagers(_once(spark, sf_dir), "comment")
 
 
+@query("top_engagers_stream", over_events(_engagers_sql("comment")))
+def top_engagers_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summaries by session and hour of a stream with late and repeated deliveries, counted exactly."""
+    landed = _first_of_late(spark, sf_dir)
+    stream = stream_events(spark, _late(spark, sf_dir), TIKTOK_LIVE_EVENTS, max_files=2)
+    path = scratch_path(spark, "engagers")
+    land_summaries(stream, path, scratch_path(spark, "engagers-checkpoint")).awaitTermination()
+    return frequent_engagers(read_summaries(spark, path), landed).drop("proven")
+
+
 @query("top_likers", over_events(_engagers_sql("like")))
 def top_likers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_engagers(_once(spark, sf_dir), "like")
