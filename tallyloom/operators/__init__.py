@@ -23,8 +23,10 @@ from tallyloom.operators.quality import (
     check_inputs_present,
     check_not_null,
     check_row_count,
+    check_row_counts,
     check_unique,
     mart_row_summary,
+    observe_checks,
     run_checks,
 )
 from tallyloom.operators.ranking import (
@@ -49,6 +51,7 @@ __all__ = [
     "check_inputs_present",
     "check_not_null",
     "check_row_count",
+    "check_row_counts",
     "check_unique",
     "count_by",
     "date_spine",
@@ -68,6 +71,7 @@ __all__ = [
     "last_n",
     "mart_row_summary",
     "numbered",
+    "observe_checks",
     "pivot_metrics",
     "qualify_row_number",
     "run_checks",

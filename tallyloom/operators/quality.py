@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -110,34 +110,86 @@ def check_row_count(
     return _finish(counted, table)
 
 
+def _severity(spec: Mapping[str, object], col: str, check: str) -> str:
+    return "warn" if (col, check) in set(spec.get("warn", ())) else "error"
+
+
+def _row_checks(spec: Mapping[str, object]) -> list[RowCheck]:
+    """The row-level tests that a suite declares for one table."""
+    checks = [_not_null(c, _severity(spec, c, "not_null")) for c in spec.get("not_null", ())]
+    checks += [
+        _accepted(c, values, _severity(spec, c, "accepted_values"))
+        for c, values in spec.get("accepted", {}).items()
+    ]
+    checks += [
+        _expression(c, ">= 0", _severity(spec, c, "expression: >= 0"))
+        for c in spec.get("at_least_zero", ())
+    ]
+    return checks
+
+
+def observe_checks(df: DataFrame, spec: Mapping[str, object]) -> tuple[DataFrame, Observation]:
+    """``df`` and what its next write will have seen: the row count and failing rows per row test.
+
+    The counts are taken in the tasks that write, so they cost no scan, and a task that is run
+    again counts once. ``spec`` is a table's entry of a suite; without one only rows are counted.
+    """
+    seen = Observation()
+    counts = [F.count_if(bad).alias(f"c{i}") for i, (*_, bad) in enumerate(_row_checks(spec))]
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), seen
+
+
+_FOUND = "column string, check string, failures bigint, severity string"
+
+
+def _observed(spark: SparkSession, spec: Mapping[str, object], seen: Observation) -> DataFrame:
+    """Results of row tests as they were counted by a write."""
+    checks = enumerate(_row_checks(spec))
+    found = [(col, check, seen.get[f"c{i}"], severity) for i, (col, check, severity, _) in checks]
+    return spark.createDataFrame(found, _FOUND)
+
+
 def run_checks(
-    tables: Mapping[str, DataFrame], suite: Mapping[str, Mapping[str, object]]
+    tables: Mapping[str, DataFrame],
+    suite: Mapping[str, Mapping[str, object]],
+    observed: Mapping[str, Observation] | None = None,
 ) -> DataFrame:
     """Run a suite over tables; see ``plans.suite`` for the form.
 
-    A ``warn`` entry of a table lists (column, check) pairs that only warn.
+    A ``warn`` entry of a table lists (column, check) pairs that only warn. The row tests of
+    tables in ``observed`` are not run again (``observe_checks``), their uniqueness tests are.
     """
     results = []
     for name, spec in suite.items():
         df = tables[name]
-        warned = set(spec.get("warn", ()))
-
-        def severity(col: str, check: str, warned: set = warned) -> str:
-            return "warn" if (col, check) in warned else "error"
-
-        checks = [_not_null(c, severity(c, "not_null")) for c in spec.get("not_null", ())]
-        checks += [
-            _accepted(c, values, severity(c, "accepted_values"))
-            for c, values in spec.get("accepted", {}).items()
-        ]
-        checks += [
-            _expression(c, ">= 0", severity(c, "expression: >= 0"))
-            for c in spec.get("at_least_zero", ())
-        ]
-        if checks:
+        checks = _row_checks(spec)
+        if checks and name in (observed or {}):
+            results.append(_finish(_observed(df.sparkSession, spec, observed[name]), name))
+        elif checks:
             results.append(_finish(_run_row_checks(df, checks), name))
         for col in spec.get("unique", ()):
-            results.append(_finish(_unique(df, [col], severity(col, "unique")), name))
+            results.append(_finish(_unique(df, [col], _severity(spec, col, "unique")), name))
+    return union_all(*results)
+
+
+def check_row_counts(
+    tables: Mapping[str, DataFrame],
+    minimum: int = 1,
+    severity: str = "warn",
+    observed: Mapping[str, Observation] | None = None,
+) -> DataFrame:
+    """``check_row_count`` of several tables; those in ``observed`` are not scanned.
+
+    Row tests and uniqueness pass on a table without rows, so this is what tells of one.
+    """
+    results = []
+    for name, df in tables.items():
+        if name not in (observed or {}):
+            results.append(check_row_count(df, minimum, name, severity))
+            continue
+        short = max(minimum - observed[name].get["rows"], 0)
+        found = [("*", f"row_count >= {minimum}", short, severity)]
+        results.append(_finish(df.sparkSession.createDataFrame(found, _FOUND), name))
     return union_all(*results)
 
 

@@ -19,12 +19,13 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.operators import dedup_latest
+from tallyloom.operators import dedup_latest, observe_checks
 from tallyloom.plans.marts import MART_MODELS
 from tallyloom.plans.refresh import THREADS, WAVES, ModelFrames
+from tallyloom.plans.suite import SUITE
 from tallyloom.session import configure
 from tallyloom.sources.schemas import EVENT_TABLES, RAW_TABLES
 from tallyloom.sources.versions import (
@@ -181,12 +182,14 @@ def refresh_incremental(
     marts: Sequence[str] | None = None,
     missing: str = "fail",
     buckets: int = BUCKETS,
+    observed: dict[str, Observation] | None = None,
 ) -> dict[str, DataFrame]:
     """Bring the marts below ``mart_root`` up to date and return them as stored.
 
     The marts are those of a full rebuild over all landed rows. ``marts`` names some of them; the
     others, and raw tables that only they read, are left alone. A mart that shows ages is also
-    rebuilt when ``as_of`` (or today) differs from its last one.
+    rebuilt when ``as_of`` (or today) differs from its last one. ``observed`` is filled with what
+    the writes of rebuilt marts have counted for their tests; the others are not in it.
     """
     configure(spark)
     mart_root = mart_root.rstrip("/")
@@ -206,6 +209,8 @@ def refresh_incremental(
         base = current_version(spark, path)
         if base and base.notes == notes:
             return read_version(spark, path, df.schema, base)
+        if observed is not None and name in MART_MODELS:
+            df, observed[name] = observe_checks(df, SUITE.get(name, {}))
         return materialize_version(df, path, notes)
 
     with ThreadPoolExecutor(THREADS) as pool:

@@ -6,9 +6,9 @@ from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
-from tallyloom.operators import mart_row_summary, run_checks
+from tallyloom.operators import check_row_counts, mart_row_summary, observe_checks, run_checks
 from tallyloom.plans.marts import MART_MODELS, youtube_videos_enriched
 from tallyloom.plans.staging import STAGING_MODELS, youtube_channel_rows
 from tallyloom.plans.suite import SUITE
@@ -86,12 +86,14 @@ def refresh_marts(
     as_of: date | None = None,
     views: bool = False,
     missing: str = "fail",
+    observed: dict[str, Observation] | None = None,
 ) -> dict[str, DataFrame]:
     """Rebuild every mart below ``mart_root`` and return the stored tables.
 
     What feeds later marts is computed once: those read the stored rows. With ``views``
     the staging models are also registered as temporary views. ``missing='empty'`` lets
-    raw tables be absent, as on a first day with only some sources.
+    raw tables be absent, as on a first day with only some sources. ``observed`` is filled with
+    what the write of each mart has counted for its tests; give it to ``check_marts``.
     """
     configure(spark)
 
@@ -107,6 +109,8 @@ def refresh_marts(
 
     def store(name: str, df: DataFrame) -> DataFrame:
         folder = name if name in MART_MODELS else f"_shared/{name}"
+        if observed is not None and name in MART_MODELS:
+            df, observed[name] = observe_checks(df, SUITE.get(name, {}))
         return materialize_table(df, f"{mart_root.rstrip('/')}/{folder}")
 
     with ThreadPoolExecutor(THREADS) as pool:
@@ -117,9 +121,18 @@ def refresh_marts(
     return {name: models[name] for name in MART_MODELS}
 
 
-def check_marts(stored: Mapping[str, DataFrame]) -> DataFrame:
-    """Result of all declared tests."""
-    return run_checks(stored, SUITE)
+def check_marts(
+    stored: Mapping[str, DataFrame], observed: Mapping[str, Observation] | None = None
+) -> DataFrame:
+    """Result of all declared tests; what a write has ``observed`` is not counted again."""
+    return run_checks(stored, SUITE, observed)
+
+
+def check_mart_rows(
+    stored: Mapping[str, DataFrame], observed: Mapping[str, Observation] | None = None
+) -> DataFrame:
+    """A warning for every mart without rows, whose other tests all pass."""
+    return check_row_counts(stored, observed=observed)
 
 
 def summarize_marts(stored: Mapping[str, DataFrame]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.operators import (
@@ -23,6 +23,7 @@ from tallyloom.plans.refresh import (
     SUMMARY_MARTS,
     THREADS,
     ModelFrames,
+    check_mart_rows,
     check_marts,
     refresh_marts,
 )
@@ -524,9 +525,12 @@ def _results_sql(table: str, column: str, check: str, failures: str, severity: s
         from ({failures}) as counted(n)"""
 
 
-def _suite_sql() -> str:
-    """One statement per declared test."""
+def _suite_sql(row_counts: bool = False) -> str:
+    """One statement per declared test, and per mart one that wants a row."""
     parts = []
+    for name in MART_MODELS if row_counts else ():
+        short = f"select greatest(1 - count(*), 0) from {name}"
+        parts.append(_results_sql(name, "*", "row_count >= 1", short, "warn"))
     for table, spec in SUITE.items():
         warned = set(spec.get("warn", ()))
 
@@ -548,17 +552,20 @@ def _suite_sql() -> str:
                 f"select count(*) from (select {c} from {table} where {c} is not null "
                 f"group by {c} having count(*) > 1)",
             )
-    return over_models(list(SUITE), "\nunion all\n".join(parts))
+    names = list(MART_MODELS) if row_counts else list(SUITE)
+    return over_models(names, "\nunion all\n".join(parts))
 
 
-def _refreshed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _refreshed(
+    spark: SparkSession, sf_dir: str, observed: dict[str, Observation] | None = None
+) -> dict[str, DataFrame]:
     """Land the projected raw tables, then run the daily refresh on them."""
     root = scratch_path(spark, "raw")
     names = [n for n in RAW_TABLES if n in RAW_SQL]
     frames = [raw_frame(spark, sf_dir, n) for n in names]
     with ThreadPoolExecutor(THREADS) as pool:
         list(pool.map(append_raw, frames, [f"{root}/{n}" for n in names]))
-    return refresh_marts(spark, root, scratch_path(spark, "marts"), as_of=AS_OF)
+    return refresh_marts(spark, root, scratch_path(spark, "marts"), as_of=AS_OF, observed=observed)
 
 
 def _refresh_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -603,6 +610,13 @@ def _run_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_marts(_refreshed(spark, sf_dir))
 
 
+def _run_checks_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row tests and row counts come from the writes of the marts, uniqueness from the stored rows."""
+    observed = {}
+    stored = _refreshed(spark, sf_dir, observed)
+    return union_all(check_marts(stored, observed), check_mart_rows(stored, observed))
+
+
 def _mart_row_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     built = models(spark, sf_dir)
     return mart_row_summary({n: built[n] for n in SUMMARY_MARTS})
@@ -660,6 +674,7 @@ QUERIES |= {
         ),
     ),
     "run_checks": (_run_checks, _suite_sql()),
+    "run_checks_observed": (_run_checks_observed, _suite_sql(row_counts=True)),
     "refresh_marts": (_refresh_marts, _summary_sql(list(MART_MODELS))),
     "refresh_incremental": (
         _refresh_incremental,

@@ -74,6 +74,8 @@ def test_daily_run_with_one_source(spark, tmp_path):
     assert spark.read.parquet(f"{marts}/_inputs").where("present").count() == 2
     assert rows(spark.read.parquet(f"{marts}/_missing_videos")) == [("v1",)]
     assert spark.read.parquet(f"{marts}/mart_tiktok_followers").count() > 0
+    without = {r.table for r in spark.read.parquet(f"{marts}/_mart_rows").where("status = 'WARN'").collect()}
+    assert "mart_facebook_posts" in without and "mart_tiktok_followers" not in without
 
 
 def test_live_run_lands_late_events_and_reports(spark, tmp_path):

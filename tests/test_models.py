@@ -4,18 +4,20 @@ from datetime import date, datetime, timedelta
 
 import pytest
 
+from tallyloom.operators import check_row_counts, observe_checks, run_checks
 from tallyloom.plans.landing import BATCH
 from tallyloom.plans.marts import MART_MODELS, mart_social_followers_snapshot
 from tallyloom.plans.refresh import (
     WAVES,
     ModelFrames,
+    check_mart_rows,
     check_marts,
     refresh_marts,
     summarize_marts,
 )
 from tallyloom.plans.staging import STAGING_MODELS
 from tallyloom.plans.suite import SUITE
-from tallyloom.sources import attach_row_key
+from tallyloom.sources import attach_row_key, materialize_table
 from tallyloom.sources.schemas import EVENT_TABLES, INVENTORY_TABLES, KEYED_TABLES, RAW_TABLES
 from tests.conftest import rows
 
@@ -265,8 +267,9 @@ def test_a_repeated_batch_changes_nothing_but_its_time(spark, built, name):
 def test_daily_run(spark, tmp_path):
     for table, data in RAW.items():
         landed(spark, table, data).write.parquet(str(tmp_path / "raw" / table))
+    observed = {}
     stored = refresh_marts(
-        spark, str(tmp_path / "raw"), str(tmp_path / "marts"), date(2024, 1, 11), views=True
+        spark, str(tmp_path / "raw"), str(tmp_path / "marts"), date(2024, 1, 11), views=True, observed=observed
     )
     lazy = ModelFrames(
         lambda name: landed(spark, name, RAW[name]), as_of=date(2024, 1, 11)
@@ -284,5 +287,35 @@ def test_daily_run(spark, tmp_path):
         ("mart_social_followers_snapshot", "total_views", "WARN"),
     }
     assert dict(rows(summarize_marts(stored)))["mart_social_overview"] == 3
+    # What the writes have seen is what a scan finds, and spares it.
+    seen = check_marts(stored, observed)
+    uniqueness = sum(len(spec.get("unique", ())) for spec in SUITE.values())
+    assert plan(seen).count("FileScan") == uniqueness
+    assert plan(check_marts(stored)).count("FileScan") == uniqueness + len(SUITE)
+    assert rows(seen) == rows(checks)
+    counts = check_mart_rows(stored, observed)
+    assert plan(counts).count("FileScan") == 0
+    assert rows(counts) == rows(check_mart_rows(stored))
+    assert {r.table for r in counts.collect()} == set(MART_MODELS)
     again = refresh_marts(spark, str(tmp_path / "raw"), str(tmp_path / "marts"), date(2024, 1, 11))
     assert rows(again["mart_executive_summary"]) == rows(lazy["mart_executive_summary"])
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_mart_without_rows_warns_though_its_tests_pass(spark, tmp_path):
+    spec = {"not_null": ["a"], "accepted": {"b": ["x"]}, "at_least_zero": ["a"], "warn": [("a", "not_null")]}
+    full = spark.createDataFrame([(1, "x"), (-1, "y"), (None, None)], "a int, b string").repartition(3)
+    for name, df, failures, short in (("full", full, [1, 1, 1], 0), ("none", full.where("false"), [0, 0, 0], 1)):
+        watched, seen = observe_checks(df, spec)
+        stored = materialize_table(watched, str(tmp_path / name))
+        found = run_checks({name: stored}, {name: spec}, {name: seen})
+        assert rows(found) == rows(run_checks({name: stored}, {name: spec}))
+        assert [r.failures for r in found.collect()] == failures
+        counted = check_row_counts({name: stored}, observed={name: seen}).first()
+        assert (counted.failures, counted.status) == (short, "WARN" if short else "PASS")
+    unnamed, seen = observe_checks(full, {})
+    materialize_table(unnamed, str(tmp_path / "unnamed"))
+    assert seen.get == {"rows": 3}
