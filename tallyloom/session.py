@@ -10,6 +10,9 @@ from pyspark.sql import SparkSession
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 PARTITIONS_KEY = "spark.sql.shuffle.partitions"
 
+# Scratch paths handed out, by Spark application.
+_GIVEN: dict[str, list[str]] = {}
+
 RUNTIME_SETTINGS = {
     # Dates and hours are UTC everywhere.
     "spark.sql.session.timeZone": "UTC",
@@ -64,4 +67,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="tallyloom-")
-    return f"{root.rstrip('/')}/tallyloom/{label}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/tallyloom/{label}-{uuid.uuid4().hex}"
+    _GIVEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables that this application has made, and say how many there were.
+
+    Frames and streams of earlier queries may still read theirs, so call it when their results
+    have been written or shown. Scratch of other applications stays.
+    """
+    removed = 0
+    for path in _GIVEN.pop(spark.sparkContext.applicationId, []):
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        removed += files.delete(place, True)  # False where nothing was written
+    return removed

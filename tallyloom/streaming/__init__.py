@@ -2,8 +2,11 @@
 
 from tallyloom.streaming.frequent import (
     frequent_engagers,
+    land_recent,
     land_summaries,
+    merge_recent,
     merge_summaries,
+    read_recent,
     read_summaries,
     summarize_engagers,
 )
@@ -37,12 +40,15 @@ __all__ = [
     "first_deliveries",
     "frequent_engagers",
     "land_first_deliveries",
+    "land_recent",
     "land_summaries",
     "latest_upserts",
+    "merge_recent",
     "merge_sessions",
     "merge_summaries",
     "normalize_live_events",
     "read_first_deliveries",
+    "read_recent",
     "read_summaries",
     "recent_comments",
     "session_kpis",

@@ -1,11 +1,13 @@
-"""Top users per session from bounded summaries that merge, with an exact second pass.
+"""Report frames of a stream without state: what each micro-batch adds is merged as it comes.
 
-A summary holds at most ``capacity`` users per session and hour, each with a count that is never too
-high, and one error: how much any count, that of a user who is not held included, can be too low. When
-more users than that meet, the count of the first one too many is taken off all of them and added to
-the error (Misra and Gries; merged as in Agarwal et al., Mergeable Summaries, 2012). Every unit of
-error takes capacity + 1 off the counts, so an hour of n deliveries has an error of n / (capacity + 1)
-at most, whatever the order and number of merges.
+The latest comments of a session merge exactly: those of a union are among those of its parts. Top
+users come from bounded summaries that merge, with an exact second pass. Such a summary holds
+at most ``capacity`` users per session and hour, each with a count that is never too high, and one
+error: how much any count, that of a user who is not held included, can be too low. When more users
+than that meet, the count of the first one too many is taken off all of them and added to the error
+(Misra and Gries; merged as in Agarwal et al., Mergeable Summaries, 2012). Every unit of error takes
+capacity + 1 off the counts, so an hour of n deliveries has an error of n / (capacity + 1) at most,
+whatever the order and number of merges.
 
 A user who is in no summary of a period has at most the sum of its errors. So the users held are
 counted exactly, and where the k-th of them has more than that, nobody can be missing. Sessions
@@ -20,9 +22,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyloom.operators import top_k_by_count
+from tallyloom.operators import dedup_earliest, last_n, top_k_by_count
 from tallyloom.sources.versions import read_version
-from tallyloom.streaming.live import upsert_batches
+from tallyloom.streaming.live import DELIVERY_ORDER, upsert_batches
+from tallyloom.streaming.reports import ORDER
 
 #: Users held per session and hour.
 CAPACITY = 1024
@@ -90,6 +93,35 @@ def read_summaries(spark: SparkSession, path: str) -> DataFrame:
     return read_version(spark, path, SUMMARY)
 
 
+def merge_recent(rows: DataFrame, n: int = 8) -> DataFrame:
+    """The first delivery of each event, of those the n latest of each session."""
+    once = dedup_earliest(rows, ["session_id", "event_id"], DELIVERY_ORDER[0], DELIVERY_ORDER[2:])
+    return last_n(once, ["session_id"], ORDER, n)
+
+
+def land_recent(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    n: int = 8,
+    event_type: str = "comment",
+    interval: str | None = None,
+) -> StreamingQuery:
+    """Keep the n latest comments of each session, however late and often events come.
+
+    A repeat of an event that n later ones have pushed out stays out, so its deliveries must agree
+    in session and event time, as those of the collectors do.
+    """
+    chosen = stream.where(F.col("event_type") == event_type)
+    return upsert_batches(chosen, path, checkpoint, interval, combine=partial(merge_recent, n=n))
+
+
+def read_recent(spark: SparkSession, path: str, schema, n: int = 8) -> DataFrame:
+    """The rows of ``recent_comments`` over all that ``land_recent`` has seen; at most n as there."""
+    latest = merge_recent(read_version(spark, path, schema), n)
+    return latest.select("session_id", "event_id", "event_ts", "username", "comment_text")
+
+
 def _in_period(col: str, since: str | None, until: str | None) -> Column:
     inside = F.lit(True)
     if since is not None:
@@ -123,7 +155,7 @@ def frequent_engagers(
 
     same = [F.col(f"e.{c}").eqNullSafe(F.col(f"h.{c}")) for c in ("session_id", "username")]
     of_held = events.alias("e").join(held.alias("h"), same, "left_semi")
-    first = top_k_by_count(of_held, ["session_id"], "username", ["event_ts", "event_id"], k)
+    first = top_k_by_count(of_held, ["session_id"], "username", ORDER, k)
 
     kth = first.where(F.col("rank") == k).select("session_id", F.col("events").alias("__kth"))
     matched = F.col("r.session_id").eqNullSafe(F.col("t.session_id"))
@@ -138,6 +170,6 @@ def frequent_engagers(
 
     proven = by_session(first, "left_anti").withColumn("proven", F.lit(True))
     full = top_k_by_count(
-        by_session(events, "left_semi"), ["session_id"], "username", ["event_ts", "event_id"], k
+        by_session(events, "left_semi"), ["session_id"], "username", ORDER, k
     )
     return proven.unionByName(full.withColumn("proven", F.lit(False)))

@@ -23,10 +23,12 @@ from tallyloom.streaming import (
     first_deliveries,
     frequent_engagers,
     land_first_deliveries,
+    land_recent,
     land_summaries,
     latest_upserts,
     normalize_live_events,
     read_first_deliveries,
+    read_recent,
     read_summaries,
     recent_comments,
     session_kpis,
@@ -368,19 +370,26 @@ def top_chatters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_engagers(raw_frame(spark, sf_dir, YOUTUBE), "chat_message")
 
 
-@query(
-    "recent_comments",
-    over_events(
-        """
+_RECENT = """
     select session_id, event_id, event_ts, username, comment_text from once
     where event_type = 'comment'
     qualify row_number() over (partition by session_id order by event_ts desc, event_id desc) <= 8"""
-    ),
-)
+
+
+@query("recent_comments", over_events(_RECENT))
 def q_recent_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recent_comments(_once(spark, sf_dir))
 
 
+@query("recent_comments_stream", over_events(_RECENT))
+def recent_comments_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of a stream with late and repeated deliveries, merged batch by batch."""
+    stream = stream_events(spark, _late(spark, sf_dir), TIKTOK_LIVE_EVENTS, max_files=2)
+    path = scratch_path(spark, "recent")
+    land_recent(stream, path, scratch_path(spark, "recent-checkpoint")).awaitTermination()
+    return read_recent(spark, path, stream.schema)
+
+
 # --- windows ------------------------------------------------------------------------------
 
 _MINUTES = """

@@ -1,5 +1,6 @@
-"""Summaries of top users against exact counts."""
+"""Report frames merged from a stream, against the same over all events."""
 
+import os
 import random
 from collections import Counter
 from datetime import datetime, timedelta
@@ -7,13 +8,19 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from tallyloom import session
+from tallyloom.session import clear_scratch, scratch_path
 from tallyloom.sources import write_event_jsonl
 from tallyloom.sources.schemas import TIKTOK_LIVE_EVENTS
+from tallyloom.sources.versions import read_version
 from tallyloom.streaming import (
     frequent_engagers,
+    land_recent,
     land_summaries,
     merge_summaries,
+    read_recent,
     read_summaries,
+    recent_comments,
     stream_events,
     summarize_engagers,
     top_engagers,
@@ -121,3 +128,27 @@ def test_ties_nulls_and_empty_tables(spark, tmp_path):
     empty = landed.where("false")
     nothing = merge_summaries(summarize_engagers(empty))
     assert frequent_engagers(nothing, empty).collect() == []
+
+
+def test_recent_comments_of_a_stream(spark, tmp_path):
+    data = skewed(3, 300) + [event(900 + i, "new", None, 500 - i) for i in range(3)] + [event(990, None, "x", 1)]
+    for i in range(6):
+        batch = data[i::6] + data[3 * i : 3 * i + 30]  # late, out of order, repeated
+        write_event_jsonl(spark.createDataFrame(batch, TIKTOK_LIVE_EVENTS).coalesce(1), f"{tmp_path}/in")
+    stream = stream_events(spark, f"{tmp_path}/in", TIKTOK_LIVE_EVENTS, max_files=1)
+    land_recent(stream, f"{tmp_path}/out", f"{tmp_path}/cp", 4).awaitTermination()
+    found = read_recent(spark, f"{tmp_path}/out", stream.schema, 4)
+    assert rows(found) == rows(recent_comments(spark.createDataFrame(data, TIKTOK_LIVE_EVENTS), 4))
+    # Six batches are two stored runs, each with four rows a session at most.
+    stored = read_version(spark, f"{tmp_path}/out", stream.schema)
+    assert stored.groupBy("session_id").count().agg(F.max("count")).first()[0] <= 2 * 4
+
+
+def test_scratch_is_removed_on_request(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "_GIVEN", {})  # that of other tests stays
+    used, unused = scratch_path(spark, "used"), scratch_path(spark, "unused")
+    spark.range(3).write.parquet(used)
+    spark.range(3).write.parquet(str(tmp_path / "other"))
+    assert clear_scratch(spark) == 1 and clear_scratch(spark) == 0
+    assert not os.path.exists(used) and not os.path.exists(unused)
+    assert spark.read.parquet(str(tmp_path / "other")).count() == 3
