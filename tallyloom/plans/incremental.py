@@ -1,9 +1,10 @@
 """The daily refresh from what is new: newest rows by key in hash buckets, marts in versions.
 
 A staging model that takes the newest row per key does not need every batch that ever landed, only
-the newest raw row per key. Those rows are kept in hash buckets of the key; a batch is reduced to
-its own newest rows and merged into the buckets that it touches, the other buckets are carried over
-by reference. Which files are new is told by their modification time, which Spark takes from the
+the newest raw row per key. Those rows are kept in hash buckets of the key. A batch is added to the buckets
+that it touches as a run, without a shuffle and without moving what they hold; readers keep the newest
+row per key over the runs of a bucket. A bucket with more than so many runs is merged into one. The
+other buckets are carried over by reference. Which files are new is told by their modification time, which Spark takes from the
 listing, so files of older batches are not opened, and rows that arrive late with an old ingest time
 count like any other. Reading a file twice changes nothing.
 
@@ -13,7 +14,6 @@ whose inputs are as they were keeps its version.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
@@ -22,7 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.operators import dedup_latest, observe_checks
+from tallyloom.operators import observe_checks
 from tallyloom.plans.marts import MART_MODELS
 from tallyloom.plans.refresh import THREADS, WAVES, ModelFrames
 from tallyloom.plans.suite import SUITE
@@ -30,10 +30,10 @@ from tallyloom.session import configure
 from tallyloom.sources.schemas import EVENT_TABLES, RAW_TABLES
 from tallyloom.sources.versions import (
     Version,
-    _hadoop,
     commit,
     current_version,
     drop_unused,
+    folders,
     materialize_version,
     read_version,
     write_folder,
@@ -42,6 +42,8 @@ from tallyloom.sources.versions import (
 #: Hash buckets of a new table of newest rows: as many as tasks should share a full merge.
 BUCKETS = 32
 BUCKET = "__bucket"
+#: Runs of a bucket that stay apart: rows of a bucket are written again once in so many batches.
+RUNS = 8
 
 #: Raw table -> (keys, ties) of the rows that staging can choose. The keys are those of the staging
 #: model or finer: where staging ranks or merges typed values, the raw values are keys as well.
@@ -76,32 +78,27 @@ def merge_newest(
     """Merge a batch into the table of newest rows per key at ``path``; the version after it.
 
     The table equals ``dedup_latest`` over all batches so far, whatever their order, repeated rows
-    and batches included. Only buckets that a key of the batch falls into are read and written. The
-    number of buckets is that of the first batch. An empty batch changes nothing but the notes.
+    and batches included. Only buckets that a key of the batch falls into are written; each of them is
+    merged and written whole when it has more than ``RUNS`` runs. The number of buckets is that of the
+    first batch. An empty batch changes nothing but the notes.
     """
     spark = batch.sparkSession
     base = current_version(spark, path)
     count = base.notes["buckets"] if base else buckets
-    noted = {**(notes or {}), "buckets": count}
-    by_bucket = [BUCKET, *keys]
-
-    def newest(rows: DataFrame) -> DataFrame:
-        """Hashed by bucket once: the window over the keys needs no other order of rows."""
-        placed = rows.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(count)).cast("int"))
-        return dedup_latest(placed.repartition(BUCKET), by_bucket, order_col, tie_cols)
-
-    staged_path = f"{path}/_staged-{uuid.uuid4().hex}"
-    staged = write_folder(newest(batch), staged_path, BUCKET)
-    if not staged:
-        parts = base.parts if base else {}
-    else:
-        fresh = spark.read.schema(batch.schema).parquet(*[f"{staged_path}/{f}" for f in staged.values()])
-        touched = read_version(spark, path, batch.schema, base, staged) if base else None
-        rows = fresh if touched is None else touched.unionByName(fresh)
-        parts = {**(base.parts if base else {}), **write_folder(newest(rows), path, BUCKET)}
+    by = {"keys": list(keys), "order": order_col, "ties": list(tie_cols)}
+    noted = {**(notes or {}), "buckets": count, "newest": by}
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(count)).cast("int"))
+
+    parts = dict(base.parts) if base else {}
+    for bucket, run in write_folder(placed(batch), path, BUCKET).items():
+        parts[bucket] = [*folders(parts.get(bucket, [])), run]
+    full = [bucket for bucket, runs in parts.items() if len(folders(runs)) > RUNS]
+    if full:
+        rows = read_version(spark, path, batch.schema, Version(0, parts, noted), full)
+        parts |= write_folder(placed(rows), path, BUCKET)
     version = commit(spark, path, base, parts, noted)
-    fs, place = _hadoop(spark, staged_path)
-    fs.delete(place, True)
     drop_unused(spark, path)
     return version
 
@@ -161,7 +158,8 @@ class _Inputs:
     def read(self, name: str) -> DataFrame:
         schema = {**RAW_TABLES, **EVENT_TABLES}[name]
         if name in NEWEST:
-            return read_version(self.spark, f"{self.store}/{name}", schema)
+            # Runs are not merged here: every staging model keeps the newest row per key anyway.
+            return read_version(self.spark, f"{self.store}/{name}", schema, merged=False)
         rows = _landed(self.spark, self.raw_root, name, self.missing)
         return self.spark.createDataFrame([], schema) if rows is None else rows
 

@@ -11,6 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 # Events are flushed this often, or when so many wait, and times are written in this form.
 FLUSH_INTERVAL = "30 seconds"
 FLUSH_ROWS = 200
+#: Of stored tables. Row keys and surrogate keys are hex digits, which snappy cannot pack.
+COMPRESSION = "zstd"
 EVENT_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
 
@@ -18,7 +20,7 @@ def append_raw(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> bo
     """Append a batch to a raw table; an empty batch writes nothing and gives False."""
     if df.isEmpty():
         return False
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+    df.write.mode("append").option("compression", COMPRESSION).partitionBy(*partition_by).parquet(path)
     return True
 
 
@@ -34,7 +36,7 @@ def materialize_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()
     Later marts read the stored rows, so a lost executor costs a file read and not
     the whole chain of models before it.
     """
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    df.write.mode("overwrite").option("compression", COMPRESSION).partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

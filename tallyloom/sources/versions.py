@@ -4,6 +4,9 @@ A manifest names the folders that make up a version, one per part of the table.
 folders, then a manifest: until that is there, readers see the version before, and a writer that
 dies leaves folders which no manifest names. Parts that a version does not touch are carried over
 by reference. Two writers of one table do not mix: the second to finish fails.
+
+A part may also be a list of folders: runs of rows of which readers keep the newest per key, as the
+notes of the version say (``newest``: keys, order and ties).
 """
 
 from __future__ import annotations
@@ -16,6 +19,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tallyloom.operators.dedup import dedup_latest
+from tallyloom.sources.sinks import COMPRESSION
+
 _MANIFESTS = "_versions"
 #: Versions whose folders stay, so that readers of an older one can finish.
 KEPT_VERSIONS = 3
@@ -23,13 +29,18 @@ KEPT_VERSIONS = 3
 
 @dataclass(frozen=True)
 class Version:
-    """Part -> folder below the table, and what the writer noted."""
+    """Part -> folder (or runs) below the table, and what the writer noted."""
 
     number: int
-    parts: dict[str, str]
+    parts: dict[str, str | list[str]]
     notes: dict = field(default_factory=dict)
 
 
+def folders(part: str | list[str]) -> list[str]:
+    """The folders of a part."""
+    return [part] if isinstance(part, str) else list(part)
+
+
 def _hadoop(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
@@ -62,7 +73,7 @@ def current_version(spark: SparkSession, path: str) -> Version | None:
 
 
 def commit(
-    spark: SparkSession, path: str, base: Version | None, parts: dict[str, str], notes: dict | None = None
+    spark: SparkSession, path: str, base: Version | None, parts: dict[str, str | list[str]], notes: dict | None = None
 ) -> Version:
     """Make ``parts`` the version after ``base``; fails if another writer has made it."""
     version = Version(base.number + 1 if base else 1, parts, notes or {})
@@ -87,9 +98,9 @@ def write_folder(df: DataFrame, path: str, part: str | None = None) -> dict[str,
     """Write a new data folder; the parts in it, by value of column ``part`` or one named ''."""
     folder = f"data-{uuid.uuid4().hex}"
     if part is None:
-        df.write.parquet(f"{path}/{folder}")
+        df.write.option("compression", COMPRESSION).parquet(f"{path}/{folder}")
         return {"": folder}
-    df.write.partitionBy(part).parquet(f"{path}/{folder}")
+    df.write.option("compression", COMPRESSION).partitionBy(part).parquet(f"{path}/{folder}")
     found = [n for n in _children(df.sparkSession, f"{path}/{folder}") if n.startswith(f"{part}=")]
     return {n.removeprefix(f"{part}="): f"{folder}/{n}" for n in found}
 
@@ -100,17 +111,32 @@ def read_version(
     schema: StructType | str | None = None,
     version: Version | None = None,
     parts: Iterable[str] | None = None,
+    merged: bool = True,
 ) -> DataFrame:
-    """The rows of a version (the newest if none is given), or of some of its parts."""
+    """The rows of a version (the newest if none is given), or of some of its parts.
+
+    Parts in runs are merged to the newest row per key, unless the reader does so itself
+    (``merged=False``); the other parts are read as they are stored.
+    """
     version = version or current_version(spark, path)
     named = version.parts if version else {}
-    folders = [named[p] for p in (named if parts is None else parts) if p in named]
-    if not folders:
+    chosen = [named[p] for p in (named if parts is None else parts) if p in named]
+    if not chosen:
         if schema is None:
             raise ValueError(f"{path} has no version to read a schema from")
         return spark.createDataFrame([], schema)
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(*[f"{path}/{f}" for f in folders])
+
+    def read(some: list[str | list[str]]) -> DataFrame:
+        return reader.parquet(*[f"{path}/{f}" for part in some for f in folders(part)])
+
+    in_runs = [part for part in chosen if not isinstance(part, str)] if merged else []
+    if not in_runs:
+        return read(chosen)
+    by = version.notes["newest"]
+    newest = dedup_latest(read(in_runs), by["keys"], by["order"], by["ties"])
+    whole = [part for part in chosen if isinstance(part, str)]
+    return read(whole).unionByName(newest) if whole else newest
 
 
 def materialize_version(df: DataFrame, path: str, notes: dict | None = None) -> DataFrame:
@@ -128,7 +154,7 @@ def drop_unused(spark: SparkSession, path: str, keep: int = KEPT_VERSIONS) -> No
     Folders of a write that is under way would go too, so the table's one writer calls this.
     """
     numbers = _manifests(spark, path)
-    used = {f for n in numbers[-keep:] for f in _load(spark, path, n).parts.values()}
+    used = {f for n in numbers[-keep:] for part in _load(spark, path, n).parts.values() for f in folders(part)}
     fs, _ = _hadoop(spark, path)
     for number in numbers[:-keep]:
         fs.delete(_hadoop(spark, f"{path}/{_MANIFESTS}/{number:010d}.json")[1], False)

@@ -12,7 +12,7 @@ from tallyloom.plans import incremental
 from tallyloom.plans.incremental import merge_newest, refresh_incremental
 from tallyloom.plans.marts import MART_MODELS
 from tallyloom.plans.refresh import refresh_marts
-from tallyloom.sources import append_raw
+from tallyloom.sources import append_raw, materialize_table
 from tallyloom.sources.schemas import RAW_TABLES
 from tallyloom.sources.versions import (
     commit,
@@ -104,6 +104,49 @@ def test_a_batch_rewrites_only_its_buckets(spark, tmp_path):
     assert rows(read_version(spark, path, SCHEMA)) == rows(dedup_latest(many.unionByName(one), KEYS, "at", ["tie"]))
 
 
+def test_a_batch_moves_none_of_the_rows_before_it(spark, tmp_path, monkeypatch):
+    """Its rows are added as runs; a bucket with too many is merged into one folder again."""
+    monkeypatch.setattr(incremental, "RUNS", 3)
+    path, landed, moved = str(tmp_path / "newest"), [], []
+    write = incremental.write_folder
+    monkeypatch.setattr(incremental, "write_folder", lambda df, *a: moved.append(df.count()) or write(df, *a))
+    for batch in batches()[:6]:
+        landed += batch
+        before = current_version(spark, path)
+        moved.clear()
+        version = merge_newest(spark.createDataFrame(batch, SCHEMA), path, KEYS, "at", ["tie", "text"], buckets=2)
+        assert moved[0] == len(batch)
+        runs = {p: [f] if isinstance(f, str) else f for p, f in version.parts.items()}
+        assert max(len(f) for f in runs.values()) <= 3
+        if len(moved) == 1 and before:
+            held = {p: [f] if isinstance(f, str) else f for p, f in before.parts.items()}
+            assert all(runs[p][: len(f)] == f for p, f in held.items())
+        whole = dedup_latest(spark.createDataFrame(landed, SCHEMA), KEYS, "at", ["tie", "text"])
+        assert rows(read_version(spark, path, SCHEMA)) == rows(whole)
+    assert any(isinstance(f, str) or len(f) < 6 for f in version.parts.values())
+
+
+def test_runs_go_onto_a_table_of_merged_buckets(spark, tmp_path):
+    """A table as earlier releases left it: one folder per bucket, no keys in its notes."""
+    path, (old, new, *_) = str(tmp_path / "newest"), batches()
+    first = dedup_latest(spark.createDataFrame(old, SCHEMA), KEYS, "at", ["tie", "text"])
+    placed = first.withColumn(incremental.BUCKET, F.pmod(F.xxhash64(*KEYS), F.lit(4)).cast("int"))
+    commit(spark, path, None, write_folder(placed, path, incremental.BUCKET), {"buckets": 4})
+    merge_newest(spark.createDataFrame(new, SCHEMA), path, KEYS, "at", ["tie", "text"])
+    whole = dedup_latest(spark.createDataFrame(old + new, SCHEMA), KEYS, "at", ["tie", "text"])
+    assert rows(read_version(spark, path, SCHEMA)) == rows(whole)
+
+
+def test_stored_tables_are_packed_with_zstandard(spark, tmp_path):
+    """Row keys and surrogate keys are hex digits, which take a byte each in snappy."""
+    keyed = spark.range(1_000).select(F.md5(F.col("id").cast("string")).alias("row_key"))
+    append_raw(keyed, str(tmp_path / "raw"))
+    materialize_table(keyed, str(tmp_path / "mart"))
+    materialize_version(keyed, str(tmp_path / "version"))
+    names = [f.name for f in tmp_path.rglob("*.parquet")]
+    assert names and all(".zstd." in n for n in names)
+
+
 def land(spark, sf_dir, root, names, step, steps):
     """A third of each raw table; rows of all ingest times are in each."""
     for name in names:
