@@ -41,6 +41,22 @@ _DAY = r"\d{4}-\d{2}-\d{2}"
 _SECOND = rf"{_DAY} \d{{2}}:\d{{2}}:\d{{2}}"
 
 
+# A row key of 32 hex digits goes through the shuffle as its 16 bytes, which sort alike; another as it is.
+ROW_KEY_TIES = ["row_key_bytes", "row_key_text"]
+
+
+def _row_key() -> list[Column]:
+    digest = F.col("row_key").rlike(r"\A[0-9a-f]{32}\z")
+    packed = [F.when(digest, F.unhex("row_key")), F.when(~digest, F.col("row_key"))]
+    return [c.alias(name) for c, name in zip(packed, ROW_KEY_TIES, strict=True)]
+
+
+def _latest_landed(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The newest row per key; of rows of one time that with the largest row key."""
+    packed = rows.select("*", *_row_key()).drop("row_key")
+    return dedup_latest(packed, keys, "ingested_at", ROW_KEY_TIES).drop(*ROW_KEY_TIES)
+
+
 def _ingested() -> Column:
     return F.col("ingested_at").cast("timestamp").alias("ingested_at")
 
@@ -77,7 +93,7 @@ def stg_facebook_posts(raw: Raw) -> DataFrame:
         _ingested(),
         "row_key",
     )
-    return dedup_latest(typed, ["post_id"], "ingested_at", ["row_key"]).drop("row_key")
+    return _latest_landed(typed, ["post_id"])
 
 
 def youtube_channel_rows(raw: Raw) -> DataFrame:
@@ -117,7 +133,7 @@ def stg_youtube_videos(raw: Raw) -> DataFrame:
         _ingested(),
         "row_key",
     )
-    return dedup_latest(typed, ["video_id"], "ingested_at", ["row_key"]).drop("row_key")
+    return _latest_landed(typed, ["video_id"])
 
 
 def stg_youtube_comments(raw: Raw) -> DataFrame:
@@ -131,7 +147,7 @@ def stg_youtube_comments(raw: Raw) -> DataFrame:
         "row_key",
     )
     keys = ["video_id", "comment_author", "published_at"]
-    return dedup_latest(typed, keys, "ingested_at", ["row_key"]).drop("row_key")
+    return _latest_landed(typed, keys)
 
 
 def stg_tiktok_followers(raw: Raw) -> DataFrame:
@@ -178,7 +194,7 @@ def stg_tiktok_live_comments(raw: Raw) -> DataFrame:
 
 def stg_tiktok_posts(raw: Raw) -> DataFrame:
     rows = raw["tiktok_posts"]
-    latest = dedup_latest(rows, ["date_raw", "sound_raw"], "ingested_at", ["row_key"])
+    latest = _latest_landed(rows, ["date_raw", "sound_raw"])
     return latest.select(
         surrogate_key("date_raw", "sound_raw").alias("post_id"),
         regexp_or_null("date_raw", rf"^({_DAY})").cast("date").alias("post_date"),
@@ -196,7 +212,7 @@ def stg_tiktok_posts(raw: Raw) -> DataFrame:
 def stg_tiktok_watch_live_history(raw: Raw) -> DataFrame:
     rows = raw["tiktok_watch_live_history"]
     keys = ["watched_at_raw", "link_raw"]
-    latest = dedup_latest(rows, keys, "ingested_at", ["row_key"])
+    latest = _latest_landed(rows, keys)
     return latest.select(
         surrogate_key(*keys).alias("watch_id"),
         F.col("watched_at_raw").cast("timestamp").alias("watched_at"),

@@ -1,6 +1,7 @@
 """Physical plans: what must hold when the tables are a million times larger."""
 
 import re
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -97,6 +98,32 @@ def test_choosing_the_newest_row_reads_no_text(spark, sf_dir, tmp_path, name, co
     assert {c.split(":")[0] for c in scanned.split(",")} == columns
 
 
+@pytest.mark.parametrize(
+    "name", ["facebook_posts", "youtube_videos", "youtube_comments", "tiktok_posts", "tiktok_watch_live_history"]
+)
+def test_row_keys_are_shuffled_as_bytes(spark, sf_dir, tmp_path, name):
+    """Hex digits take twice the room; the largest key of a time still wins, whatever its form."""
+    path = str(tmp_path / name)
+    raw = raw_frame(spark, sf_dir, name).limit(1)
+    at = F.timestamp_seconds(F.lit(1_700_000_000))
+    low, high = (raw.withColumns({"ingested_at": at, "row_key": F.lit(c * 32)}) for c in ("0f"))
+    low.unionByName(high).repartition(2).write.parquet(path)
+    staged = STAGING_MODELS[f"stg_{name}"]({name: spark.read.schema(RAW_TABLES[name]).parquet(path)})
+    assert staged.count() == 1 and "row_key" not in " ".join(staged.columns)
+    shuffled = staged._jdf.queryExecution().executedPlan().toString().split("Exchange")[1]
+    assert "unhex" in shuffled and "row_key_bytes" in shuffled
+
+
+def test_the_largest_row_key_of_a_time_wins(spark):
+    keys = [["00" * 16, "7f" * 16, "80" * 16, "ff" * 16], ["a", "b", "z"], [None, "k"], [None, "0a" * 16], ["é", "e"]]
+    for given in keys:
+        wanted = max(k for k in given if k is not None)
+        posts = [("p", k, "2024-01-01", None, datetime(2024, 1, 1), k) for k in given]
+        frame = spark.createDataFrame(posts, RAW_TABLES["facebook_posts"]).repartition(3)
+        (found,) = STAGING_MODELS["stg_facebook_posts"]({"facebook_posts": frame}).collect()
+        assert found.post_message == wanted
+
+
 def test_filters_reach_the_scan(spark, sf_dir):
     events = table(spark, sf_dir, "events").where(F.col("event_type") == "view")
     assert "EqualTo(event_type,view)" in plan(events)
