@@ -10,7 +10,14 @@ from tallyloom.operators.aggregates import (
     union_all,
     unpivot_reactions,
 )
-from tallyloom.operators.dedup import dedup_earliest, dedup_latest, qualify_row_number
+from tallyloom.operators.dedup import (
+    address_columns,
+    dedup_earliest,
+    dedup_latest,
+    dedup_latest_stored,
+    qualify_row_number,
+    with_address,
+)
 from tallyloom.operators.joins import (
     join_cross_scalar,
     join_full_outer,
@@ -45,6 +52,7 @@ from tallyloom.operators.timeseries import (
 )
 
 __all__ = [
+    "address_columns",
     "agg_global",
     "check_accepted_values",
     "check_expression",
@@ -57,6 +65,7 @@ __all__ = [
     "date_spine",
     "dedup_earliest",
     "dedup_latest",
+    "dedup_latest_stored",
     "distinct_error",
     "distinct_over",
     "distinct_sketches",
@@ -80,4 +89,5 @@ __all__ = [
     "top_k_by_count",
     "union_all",
     "unpivot_reactions",
+    "with_address",
 ]

@@ -8,11 +8,17 @@ from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from tallyloom.operators import check_row_counts, mart_row_summary, observe_checks, run_checks
+from tallyloom.operators import (
+    check_row_counts,
+    mart_row_summary,
+    observe_checks,
+    run_checks,
+    with_address,
+)
 from tallyloom.plans.marts import MART_MODELS, youtube_videos_enriched
 from tallyloom.plans.staging import STAGING_MODELS, youtube_channel_rows
 from tallyloom.plans.suite import SUITE
-from tallyloom.session import configure
+from tallyloom.session import configure, sized_for
 from tallyloom.sources import materialize_table, materialize_view, read_sources
 from tallyloom.sources.schemas import EVENT_TABLES
 
@@ -52,6 +58,9 @@ WAVES = [
         "mart_executive_summary",
     ],
 ]
+# Raw tables whose rows are much wider than the keys and times they are chosen by, and are not
+# shuffled after that: only addresses are.
+CHOSEN_WHERE_STORED = ["facebook_posts", "tiktok_live_history", "tiktok_posts", "youtube_comments"]
 THREADS = 4  # fixed value: models built at the same time
 
 
@@ -100,7 +109,8 @@ def refresh_marts(
     def read_raw(name: str) -> DataFrame:
         # Live events land by a job of their own, which may not have run yet.
         absent = "empty" if name in EVENT_TABLES else missing
-        return read_sources(spark, raw_root, [name], absent)[name]
+        rows = read_sources(spark, raw_root, [name], absent)[name]
+        return with_address(rows) if name in CHOSEN_WHERE_STORED else rows
 
     models = ModelFrames(read_raw, as_of)
     if views:
@@ -113,7 +123,7 @@ def refresh_marts(
             df, observed[name] = observe_checks(df, SUITE.get(name, {}))
         return materialize_table(df, f"{mart_root.rstrip('/')}/{folder}")
 
-    with ThreadPoolExecutor(THREADS) as pool:
+    with sized_for(spark, raw_root), ThreadPoolExecutor(THREADS) as pool:
         for wave in WAVES:
             # Plans are made here, only the writes run side by side.
             frames = [models[name] for name in wave]

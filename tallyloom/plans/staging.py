@@ -28,7 +28,13 @@ from tallyloom.functions import (
     trim_blank,
     utc_timestamp,
 )
-from tallyloom.operators import dedup_earliest, dedup_latest, unpivot_reactions
+from tallyloom.operators import (
+    address_columns,
+    dedup_earliest,
+    dedup_latest,
+    dedup_latest_stored,
+    unpivot_reactions,
+)
 
 Raw = Mapping[str, DataFrame]
 
@@ -54,7 +60,9 @@ def _row_key() -> list[Column]:
 def _latest_landed(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The newest row per key; of rows of one time that with the largest row key."""
     packed = rows.select("*", *_row_key()).drop("row_key")
-    return dedup_latest(packed, keys, "ingested_at", ROW_KEY_TIES).drop(*ROW_KEY_TIES)
+    # Of stored rows the first 28 bits are enough to choose by; those that share them are compared whole.
+    digits = F.conv(F.substring(F.hex(ROW_KEY_TIES[0]), 1, 7), 16, 10).cast("int")
+    return dedup_latest_stored(packed, keys, "ingested_at", ROW_KEY_TIES, digits).drop(*ROW_KEY_TIES)
 
 
 def _ingested() -> Column:
@@ -92,6 +100,7 @@ def stg_facebook_posts(raw: Raw) -> DataFrame:
         default_nulls("content_type", "unknown").alias("content_type"),
         _ingested(),
         "row_key",
+        *address_columns(raw["facebook_posts"]),
     )
     return _latest_landed(typed, ["post_id"])
 
@@ -145,6 +154,7 @@ def stg_youtube_comments(raw: Raw) -> DataFrame:
         F.col("published_at").cast("date").alias("published_at"),
         _ingested(),
         "row_key",
+        *address_columns(raw["youtube_comments"]),
     )
     keys = ["video_id", "comment_author", "published_at"]
     return _latest_landed(typed, keys)
@@ -165,7 +175,7 @@ def stg_tiktok_live(raw: Raw) -> DataFrame:
     ties = [
         "duration_raw", "live_title_raw", "total_view_raw", "total_gifter_raw", "total_likes_raw",
     ]
-    latest = dedup_latest(rows, ["room_id"], "ingested_at", ties)
+    latest = dedup_latest_stored(rows, ["room_id"], "ingested_at", ties)
     span = F.col("duration_raw")
     return latest.select(
         "room_id",
