@@ -1,9 +1,10 @@
 """The daily refresh from what is new: newest rows by key in hash buckets, marts in versions.
 
 A staging model that takes the newest row per key does not need every batch that ever landed, only
-the newest raw row per key. Those rows are kept in hash buckets of the key. A batch is added to the buckets
-that it touches as a run, without a shuffle and without moving what they hold; readers keep the newest
-row per key over the runs of a bucket. A bucket with more than so many runs is merged into one. The
+the newest raw row per key. Those rows are kept in hash buckets of the key. The last batches are read in
+the files where they have landed, which must stay for so long. When there are more than so many, they go
+into the buckets that they touch as one run, without a shuffle and without moving what those hold; readers
+keep the newest row per key over all runs. A bucket with more than so many runs is merged into one. The
 other buckets are carried over by reference. Which files are new is told by their modification time, which Spark takes from the
 listing, so files of older batches are not opened, and rows that arrive late with an old ingest time
 count like any other. Reading a file twice changes nothing.
@@ -17,24 +18,27 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.operators import observe_checks
 from tallyloom.plans.marts import MART_MODELS
-from tallyloom.plans.refresh import THREADS, WAVES, ModelFrames
+from tallyloom.plans.refresh import CHOSEN_WHERE_STORED, THREADS, WAVES, ModelFrames
 from tallyloom.plans.suite import SUITE
-from tallyloom.session import configure
+from tallyloom.session import configure, sized_for
 from tallyloom.sources.schemas import EVENT_TABLES, RAW_TABLES
 from tallyloom.sources.versions import (
     Version,
+    changed_at,
     commit,
     current_version,
     drop_unused,
     folders,
     materialize_version,
+    read_landed,
     read_version,
     write_folder,
 )
@@ -42,7 +46,8 @@ from tallyloom.sources.versions import (
 #: Hash buckets of a new table of newest rows: as many as tasks should share a full merge.
 BUCKETS = 32
 BUCKET = "__bucket"
-#: Runs of a bucket that stay apart: rows of a bucket are written again once in so many batches.
+#: Batches that stay where they have landed, and runs of a bucket that stay apart: rows are copied into
+#: their buckets once in so many batches, and those of a bucket written again once in so many copies.
 RUNS = 8
 
 #: Raw table -> (keys, ties) of the rows that staging can choose. The keys are those of the staging
@@ -66,6 +71,14 @@ NEWEST: dict[str, tuple[list[str], list[str]]] = {
 }
 
 
+def _with_span(spans: list[dict], landed: dict) -> list[dict]:
+    """Spans of landed batches with one more; it is one span with the last if that ends where it begins."""
+    *earlier, last = spans or [None]
+    if last and (last["path"], last["until"]) == (landed["path"], landed["since"]):
+        return [*earlier, {**last, "until": landed["until"], "batches": last["batches"] + 1}]
+    return [*spans, {**landed, "batches": 1}]
+
+
 def merge_newest(
     batch: DataFrame,
     path: str,
@@ -74,6 +87,7 @@ def merge_newest(
     tie_cols: Sequence[str] = (),
     buckets: int = BUCKETS,
     notes: dict | None = None,
+    landed: dict | None = None,
 ) -> Version | None:
     """Merge a batch into the table of newest rows per key at ``path``; the version after it.
 
@@ -81,6 +95,10 @@ def merge_newest(
     and batches included. Only buckets that a key of the batch falls into are written; each of them is
     merged and written whole when it has more than ``RUNS`` runs. The number of buckets is that of the
     first batch. An empty batch changes nothing but the notes.
+
+    A batch that is stored already may say so: ``landed`` has its table's folder (``path``) and the
+    modification times of its files (``since`` and ``until``, in milliseconds). It is not written until there
+    are more than ``RUNS`` such batches.
     """
     spark = batch.sparkSession
     base = current_version(spark, path)
@@ -92,6 +110,16 @@ def merge_newest(
         return rows.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(count)).cast("int"))
 
     parts = dict(base.parts) if base else {}
+    spans = base.notes.get("landed", []) if base else []
+    if landed:
+        spans = _with_span(spans, landed)
+        if sum(s["batches"] for s in spans) <= RUNS:
+            version = commit(spark, path, base, parts, {**noted, "landed": spans})
+            drop_unused(spark, path)
+            return version
+        batch = reduce(DataFrame.unionByName, read_landed(spark, Version(0, {}, {"landed": spans}), batch.schema))
+    elif spans:
+        noted["landed"] = spans
     for bucket, run in write_folder(placed(batch), path, BUCKET).items():
         parts[bucket] = [*folders(parts.get(bucket, [])), run]
     full = [bucket for bucket, runs in parts.items() if len(folders(runs)) > RUNS]
@@ -113,14 +141,9 @@ def _landed(spark: SparkSession, raw_root: str, name: str, missing: str) -> Data
         return None
 
 
-def _changed() -> Column:
-    """When a row's file was written, in milliseconds."""
-    return F.unix_millis(F.col("_metadata.file_modification_time"))
-
-
 def _state_since(rows: DataFrame, since: int) -> list[int]:
     """The newest modification time of files not older than ``since``, and their rows."""
-    found = rows.where(_changed() >= since).agg(F.max(_changed()).alias("at"), F.count("*").alias("n")).first()
+    found = rows.where(changed_at() >= since).agg(F.max(changed_at()).alias("at"), F.count("*").alias("n")).first()
     return [found["at"] or 0, found["n"]]
 
 
@@ -149,8 +172,9 @@ class _Inputs:
         noted = {"state": [newest_at, _state_since(rows, newest_at)[1]]}
         if name in NEWEST:
             keys, ties = NEWEST[name]
-            new = rows.where(_changed() >= seen)
-            version = merge_newest(new, path, keys, "ingested_at", ties, self.buckets, noted)
+            new = rows.where(changed_at().between(seen, newest_at))
+            span = {"path": f"{self.raw_root.rstrip('/')}/{name}", "since": seen, "until": newest_at}
+            version = merge_newest(new, path, keys, "ingested_at", ties, self.buckets, noted, span if newest_at else None)
         else:
             version = commit(self.spark, path, base, {}, noted)
         self.states[name] = [version.number]
@@ -159,7 +183,8 @@ class _Inputs:
         schema = {**RAW_TABLES, **EVENT_TABLES}[name]
         if name in NEWEST:
             # Runs are not merged here: every staging model keeps the newest row per key anyway.
-            return read_version(self.spark, f"{self.store}/{name}", schema, merged=False)
+            path, addressed = f"{self.store}/{name}", name in CHOSEN_WHERE_STORED
+            return read_version(self.spark, path, schema, merged=False, addressed=addressed)
         rows = _landed(self.spark, self.raw_root, name, self.missing)
         return self.spark.createDataFrame([], schema) if rows is None else rows
 
@@ -211,7 +236,7 @@ def refresh_incremental(
             df, observed[name] = observe_checks(df, SUITE.get(name, {}))
         return materialize_version(df, path, notes)
 
-    with ThreadPoolExecutor(THREADS) as pool:
+    with sized_for(spark, raw_root), ThreadPoolExecutor(THREADS) as pool:
         list(pool.map(inputs.advance, raw_names))
         for wave in WAVES:
             names = [n for n in wave if n in needed]

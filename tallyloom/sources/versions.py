@@ -6,7 +6,8 @@ dies leaves folders which no manifest names. Parts that a version does not touch
 by reference. Two writers of one table do not mix: the second to finish fails.
 
 A part may also be a list of folders: runs of rows of which readers keep the newest per key, as the
-notes of the version say (``newest``: keys, order and ties).
+notes of the version say (``newest``: keys, order and ties). Runs may also lie in files of another table,
+which are not copied: the notes name its folder and the span of modification times (``landed``).
 """
 
 from __future__ import annotations
@@ -15,11 +16,13 @@ import json
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallyloom.operators.dedup import dedup_latest
+from tallyloom.operators.dedup import dedup_latest, with_address
 from tallyloom.sources.sinks import COMPRESSION
 
 _MANIFESTS = "_versions"
@@ -94,6 +97,20 @@ def commit(
     return version
 
 
+def changed_at() -> Column:
+    """When a row's file was written, in milliseconds."""
+    return F.unix_millis(F.col("_metadata.file_modification_time"))
+
+
+def read_landed(spark: SparkSession, version: Version, schema: StructType | str | None = None) -> list[DataFrame]:
+    """The runs of a version that lie in files of other tables; files of other times are not opened."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return [
+        reader.parquet(span["path"]).where(changed_at().between(span["since"], span["until"]))
+        for span in version.notes.get("landed", [])
+    ]
+
+
 def write_folder(df: DataFrame, path: str, part: str | None = None) -> dict[str, str]:
     """Write a new data folder; the parts in it, by value of column ``part`` or one named ''."""
     folder = f"data-{uuid.uuid4().hex}"
@@ -112,31 +129,40 @@ def read_version(
     version: Version | None = None,
     parts: Iterable[str] | None = None,
     merged: bool = True,
+    addressed: bool = False,
 ) -> DataFrame:
     """The rows of a version (the newest if none is given), or of some of its parts.
 
     Parts in runs are merged to the newest row per key, unless the reader does so itself
-    (``merged=False``); the other parts are read as they are stored.
+    (``merged=False``); the other parts are read as they are stored. ``addressed`` rows, which are not
+    merged, say where they are stored (``with_address``).
     """
     version = version or current_version(spark, path)
     named = version.parts if version else {}
     chosen = [named[p] for p in (named if parts is None else parts) if p in named]
-    if not chosen:
+    landed = read_landed(spark, version, schema) if version and parts is None else []
+    if not chosen and not landed:
         if schema is None:
             raise ValueError(f"{path} has no version to read a schema from")
         return spark.createDataFrame([], schema)
     reader = spark.read if schema is None else spark.read.schema(schema)
 
-    def read(some: list[str | list[str]]) -> DataFrame:
-        return reader.parquet(*[f"{path}/{f}" for part in some for f in folders(part)])
-
-    in_runs = [part for part in chosen if not isinstance(part, str)] if merged else []
-    if not in_runs:
-        return read(chosen)
-    by = version.notes["newest"]
-    newest = dedup_latest(read(in_runs), by["keys"], by["order"], by["ties"])
-    whole = [part for part in chosen if isinstance(part, str)]
-    return read(whole).unionByName(newest) if whole else newest
+    def read(some: list[str | list[str]]) -> list[DataFrame]:
+        return [reader.parquet(*[f"{path}/{f}" for part in some for f in folders(part)])] if some else []
+
+    if addressed:
+        return with_address(*read(chosen), *landed)
+    if not merged:
+        return reduce(DataFrame.unionByName, [*read(chosen), *landed])
+    # Rows that lie elsewhere may have the keys of any part.
+    in_runs = chosen if landed else [part for part in chosen if not isinstance(part, str)]
+    whole = [] if landed else [part for part in chosen if isinstance(part, str)]
+    frames = read(whole)
+    if in_runs or landed:
+        by = version.notes["newest"]
+        runs = reduce(DataFrame.unionByName, [*read(in_runs), *landed])
+        frames.append(dedup_latest(runs, by["keys"], by["order"], by["ties"]))
+    return reduce(DataFrame.unionByName, frames)
 
 
 def materialize_version(df: DataFrame, path: str, notes: dict | None = None) -> DataFrame:
