@@ -23,6 +23,8 @@ _BLOCK, _BITS, _TIED = "__block", "__bits", "__tied"
 _BLOCK_BITS = 15  # of Spark's bitmaps, which hold 32,768 places in 4 KB
 #: Bitmaps that may be broadcast: 64 MB, for half a billion rows. Beyond that whole rows are shuffled.
 MAX_BLOCKS = 1 << 14
+#: Rows of one key and one newest time that are told apart by their addresses; keys with more are hot.
+MAX_TIED = 64
 
 
 def qualify_row_number(
@@ -100,19 +102,28 @@ def dedup_latest_stored(
 
     The winners' addresses come back to the files as bitmaps, a bit per row. ``hint`` is something
     short that sorts as ``tie_cols`` do, as far as it tells rows apart: those are read and shuffled, with keys
-    and address, for rows that share key, newest time and hint alone. A frame without addresses goes the
-    way of ``dedup_latest``.
+    and address, for rows that share key, newest time and hint alone. At most ``MAX_TIED`` rows of a key
+    leave a partition. A frame without addresses goes the way of ``dedup_latest``.
     """
     if not address_columns(df):
         return dedup_latest(df, keys, order_col, tie_cols)
     hints = [] if hint is None else [hint.alias("__hint")]
     narrow = df.select(*keys, order_col, *hints, *ADDRESS)
     order = [F.col(c).desc_nulls_last() for c in (order_col, *["__hint"] * len(hints))]
-    first = qualify_row_number(narrow, keys, order, rank=F.rank)
-    several = F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1
-    marks = _marks(first.select(*ADDRESS, several.alias(_TIED)), _TIED)
+    # A key with very many rows sends so many of each partition, whether they tie or not.
+    few = qualify_row_number(narrow, keys, order, MAX_TIED)
+    first = qualify_row_number(few, keys, order, rank=F.rank)
+    first = first.withColumn(_TIED, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    marks = _marks(first.select(*ADDRESS, (F.col(_TIED) > 1).alias(_TIED)), _TIED)
     alone, tied = marks.where(~F.col(_TIED)).drop(_TIED), marks.where(_TIED).drop(_TIED)
-    compared = _marked(df, tied).select(*keys, order_col, *tie_cols, *ADDRESS)
+    # Rows of hot keys may be missing above. All of them, and those of keys of the same hash, are compared.
+    number = F.xxhash64(*keys).alias("__number")
+    # Addresses are asked for here too, so that all branches read the same shuffle.
+    hot = first.where(F.col(_TIED) >= MAX_TIED).groupBy(number).agg(F.max(F.struct(*ADDRESS)).alias("last"))
+    hot = hot.where(F.col(f"last.{ADDRESS[1]}") >= 0)
+    whole = [*keys, order_col, *tie_cols, *ADDRESS]
+    of_hot = df.select(*whole, number).join(F.broadcast(hot), "__number", "left_semi").select(*whole)
+    compared = _marked(df, tied).select(*whole).unionByName(of_hot)
     won = alone.unionByName(_marks(dedup_latest(compared, keys, order_col, tie_cols)))
     won = won.groupBy(ADDRESS[0], _BLOCK).agg(F.bitmap_or_agg(_BITS).alias(_BITS))
     return _marked(df, won).drop(*ADDRESS)

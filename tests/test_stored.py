@@ -32,8 +32,9 @@ def landed(n=400):
     return made + rng.sample(made, n // 4)
 
 
-@pytest.mark.parametrize("hinted", [True, False])
-def test_rows_chosen_by_address_equal_dedup(spark, tmp_path, hinted):
+@pytest.mark.parametrize("hinted, most", [(True, 64), (False, 64), (True, 3), (False, 2)])
+def test_rows_chosen_by_address_equal_dedup(spark, tmp_path, monkeypatch, hinted, most):
+    monkeypatch.setattr(dedup, "MAX_TIED", most)
     given, paths = landed(), [str(tmp_path / "one file's"), str(tmp_path / "two")]
     spark.createDataFrame(given[:300], SCHEMA).repartition(3).write.parquet(paths[0])
     spark.createDataFrame(given[300:], SCHEMA).repartition(2).write.parquet(paths[1])
@@ -59,6 +60,18 @@ def test_bitmaps_of_long_files(spark, tmp_path):
     assert odd.agg(F.count("*"), F.sum(F.col("at") % 2), F.max("at")).first() == (50_000, 50_000, n - 1)
 
 
+def test_a_hot_key_sends_few_rows_of_each_partition(spark, tmp_path):
+    """All of its rows have one time, as those of one landed batch do."""
+    path = str(tmp_path / "t")
+    spark.range(40_000).selectExpr("1 as id", "0 as at", "lpad(id % 7777, 5, '0') as tie").repartition(2).write.parquet(path)
+    found = dedup_latest_stored(with_address(spark.read.parquet(path)), ["id"], "at", ["tie"])
+    assert [r.tie for r in found.collect()] == ["07776"]
+    final = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    made = re.findall(r"(?m)^[ :]*\+- Exchange hashpartitioning\(id", final)
+    assert len(made) <= 2 and "ReusedExchange" in final
+    assert re.search(r"Exchange hashpartitioning\(id.*\n.*WindowGroupLimit .* 64, Partial", found._jdf.queryExecution().executedPlan().toString())
+
+
 def test_rows_of_no_file_and_very_many_rows_have_no_address(spark, tmp_path, monkeypatch):
     frame = spark.createDataFrame(landed(), SCHEMA)
     assert with_address(frame).columns == frame.columns
